@@ -17,63 +17,59 @@ def email(value: Column) -> Column:
     return F.lower(F.regexp_replace(value, r"\s+", ""))
 
 
-def _tail(value: Column, skip: int) -> Column:
-    return F.substring(value, skip + 1, 2**31 - 1)
+class _Rewrite:
+    """A pattern that turns dialled digits into ``+<code><number>``.
 
+    Only the parts of the number that stay are captured, each way to read it in
+    groups of its own; groups that took no part are empty in the replacement. Text
+    the pattern does not fit is left as it is, and so are plus signs at the end.
+    """
+
+    def __init__(self, pattern: str, groups: int, code: str = "") -> None:
+        self._pattern = rf"^{pattern}\+*$"
+        self._replacement = f"+{code}" + "".join(f"${i + 1}" for i in range(groups))
+
+    def __call__(self, value: Column) -> Column:
+        return F.regexp_replace(value, self._pattern, self._replacement)
 
-def _without(value: Column, prefix: str) -> Column:
-    return F.when(value.startswith(prefix), _tail(value, len(prefix))).otherwise(value)
 
+def _digits(lengths: Sequence[int]) -> str:
+    return "|".join(rf"\d{{{n}}}" for n in sorted(lengths))
 
-def _dialable(national: Column, region: PhoneRegion) -> Column:
-    """``+<code><national>`` if the length is possible, else NULL."""
-    plus = f"+{region.calling_code}"
-    bare = _tail(national, len(region.trunk_prefix))
-    return F.when(
-        national.startswith(region.trunk_prefix)
-        & F.length(bare).isin(*region.lengths),
-        F.concat(F.lit(plus), bare),
-    ).when(
-        F.length(national).isin(*region.possible_lengths),
-        F.concat(F.lit(plus), national),
+
+def _number(region: PhoneRegion) -> str:
+    """A national number, without its trunk prefix if it has one (two groups)."""
+    return (
+        f"(?:{region.trunk_prefix}({_digits(region.lengths)})"
+        f"|({_digits(region.possible_lengths)}))"
     )
 
 
-def _from_code(digits: Column, regions: Sequence[PhoneRegion]) -> Column:
-    """Digits that begin with a calling code; NULL if unknown or impossible."""
-    known = [
-        F.when(
-            digits.startswith(region.calling_code),
-            _dialable(_tail(digits, len(region.calling_code)), region),
-        )
-        for region in regions
-    ]
-    return F.coalesce(*known)
+def _with_code(prefix: str, regions: Sequence[PhoneRegion]) -> _Rewrite:
+    """Numbers written as ``prefix``, a known calling code and a possible number."""
+    known = "|".join(f"({r.calling_code}){_number(r)}" for r in regions)
+    return _Rewrite(f"{prefix}(?:{known})", groups=3 * len(regions))
 
 
-def _domestic(
-    digits: Column, region: PhoneRegion, regions: Sequence[PhoneRegion]
-) -> Column:
-    """Digits dialled from inside ``region``; NULL if no possible number."""
-    dial_out = region.dial_out_prefix
-    national = _without(_tail(digits, len(region.calling_code)), region.trunk_prefix)
-    # A number may carry its own calling code without a plus. That reading wins
-    # when the digits are too long otherwise, or only valid without the code.
-    carries_code = F.length(digits) > max(region.lengths)
+def _domestic(region: PhoneRegion) -> _Rewrite:
+    """Possible numbers of ``region`` dialled from inside it.
+
+    They may carry their own calling code without a plus. It is taken for one when
+    the digits are too long otherwise, or valid only without it.
+    """
+    code, trunk = region.calling_code, region.trunk_prefix
+    too_long = max(region.lengths) + 1 - len(code)
+    carries_code = rf"{code}\d{{{too_long},}}\+*$"
     if region.national_pattern:
-        whole = f"^(?:{region.national_pattern})$"
-        carries_code = carries_code | (~digits.rlike(whole) & national.rlike(whole))
-    return (
-        F.when(
-            digits.rlike(f"^{dial_out}[1-9]"),
-            _from_code(_tail(digits, len(dial_out)), regions),
-        )
-        .when(
-            digits.startswith(region.calling_code) & carries_code,
-            _dialable(national, region),
-        )
-        .otherwise(_dialable(digits, region))
+        valid = rf"(?:{region.national_pattern})\+*$"
+        carries_code += rf"|(?!{valid}){code}(?:{trunk}|(?!{trunk})){valid}"
+    any_length = _digits(region.possible_lengths)
+    own_code = (
+        f"(?={carries_code}){code}"
+        f"(?:{trunk}{_number(region)}|(?!{trunk})({any_length}))"
     )
+    abroad = f"(?!{region.dial_out_prefix}[1-9])"
+    return _Rewrite(f"(?:{own_code}|{abroad}{_number(region)})", groups=5, code=code)
 
 
 def phone(
@@ -87,26 +83,17 @@ def phone(
     Anything else is returned as cleaned.
     """
     kept = F.regexp_replace(value, "[^0-9+]", "")
-    digits = F.regexp_replace(kept, r"^\++|\++$", "")
-    readable = digits.rlike("^[0-9]+$")
-
-    local = [
-        F.when(
-            country == region.country,
-            F.coalesce(
-                F.when(readable, _domestic(digits, region, regions)),
-                F.concat(F.lit(f"+{region.calling_code}"), kept),
-            ),
-        )
-        for region in regions
-        if region.country is not None
-    ]
-    foreign = F.coalesce(F.when(readable, _from_code(digits, regions)), kept)
-    return (
-        F.when(kept == "", F.lit(None).cast("string"))
-        .when(kept.startswith("+"), foreign)
-        .otherwise(F.coalesce(*local, kept))
+    normal = F.when(kept == "", F.lit(None).cast("string")).when(
+        kept.startswith("+"), _with_code(r"\++", regions)(kept)
     )
+    for region in regions:
+        if region.country is not None:
+            dialled = _with_code(region.dial_out_prefix, regions)(kept)
+            dialled = _domestic(region)(dialled)
+            # Whatever has no plus by now is no possible number, but keeps a code.
+            coded = F.regexp_replace(dialled, r"^(?!\+)", f"+{region.calling_code}")
+            normal = normal.when(country == region.country, coded)
+    return normal.otherwise(kept)
 
 
 def blank_to_null(value: Column) -> Column:

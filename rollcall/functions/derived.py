@@ -21,11 +21,14 @@ def reference_day(as_of: AsOf = None) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 
-def percentage(part: Column, whole: Column) -> Column:
+def percentage_sql(part: str, whole: str) -> str:
     """``100 * part / whole`` to two places; 0 when there is nothing to divide by."""
-    return F.when(whole > 0, F.round(part * F.lit(100) / whole, 2)).otherwise(
-        F.lit(0.0)
-    )
+    return f"CASE WHEN {whole} > 0 THEN round({part} * 100 / {whole}, 2) ELSE 0.0D END"
+
+
+def percentage(part: str, whole: str) -> Column:
+    """:func:`percentage_sql` of two columns."""
+    return F.expr(percentage_sql(part, whole))
 
 
 def match_quality(confidence: Column) -> Column:

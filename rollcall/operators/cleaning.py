@@ -76,15 +76,20 @@ def latest_per_key(
     )
 
 
+def ingestion_time(at: dt.datetime | Column | None = None) -> Column:
+    """The given time, or the time the query starts."""
+    if at is None:
+        return F.current_timestamp()
+    return at if isinstance(at, Column) else F.lit(at).cast("timestamp")
+
+
 def with_lineage(
     df: DataFrame, source: str, at: dt.datetime | Column | None = None
 ) -> DataFrame:
-    """Add the source name and the ingestion time (query start unless given)."""
-    if at is None:
-        at = F.current_timestamp()
-    elif not isinstance(at, Column):
-        at = F.lit(at).cast("timestamp")
-    return df.withColumns({"source": F.lit(source), "ingestion_timestamp": at})
+    """Add the source name and the ingestion time."""
+    return df.withColumns(
+        {"source": F.lit(source), "ingestion_timestamp": ingestion_time(at)}
+    )
 
 
 def clean_crm(

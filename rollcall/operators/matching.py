@@ -211,7 +211,9 @@ def match_stats(mapping: DataFrame) -> DataFrame:
     counts = mapping.groupBy("match_type").agg(F.count(F.lit(1)).alias("count"))
     # One row per match type by now, so the grand total is a tiny sum.
     total = F.sum("count").over(Window.partitionBy())
-    return counts.withColumn("percentage", percentage(F.col("count"), total))
+    return counts.withColumn("_total", total).select(
+        "match_type", "count", percentage("count", "_total").alias("percentage")
+    )
 
 
 def match_rate(mapping: DataFrame) -> DataFrame:
@@ -219,6 +221,4 @@ def match_rate(mapping: DataFrame) -> DataFrame:
     totals = mapping.agg(
         F.count("match_type").alias("matched"), F.count(F.lit(1)).alias("total")
     )
-    return totals.withColumn(
-        "match_rate", percentage(F.col("matched"), F.col("total"))
-    )
+    return totals.withColumn("match_rate", percentage("matched", "total"))

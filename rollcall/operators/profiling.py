@@ -4,6 +4,9 @@ Each check is a small ``DataFrame``. A whole profile is one row computed in one
 job: every per-row check sits in one global aggregate, and uniqueness adds one
 aggregation by key that is combined before it is shuffled, so a repeated key (or
 a NULL one) never piles up in one task.
+
+Figures are first counted into plain columns (``_rows``, ``_full_<column>``, ...)
+and then laid out by SQL expressions, one string per line of the result.
 """
 
 from __future__ import annotations
@@ -14,155 +17,154 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.functions import percentage
+from rollcall.functions.derived import percentage_sql
+from rollcall.operators.cleaning import ingestion_time
 from rollcall.rules import ProfileSpec
 
-def _rows() -> Column:
-    return F.count(F.lit(1))
+Formats = Sequence[tuple[str, str, str]]
+
+_COMPLETENESS = ("complete_count", "total_records", "null_count", "completeness_percentage")
+_VALIDITY = ("valid_count", "non_null_count", "invalid_count", "validity_percentage")
+_UNIQUENESS = (
+    "total_records",
+    "distinct_records",
+    "duplicate_count",
+    "duplicate_groups_count",
+    "uniqueness_percentage",
+)
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _text(value: str | None) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _struct(values: Sequence[str], names: Sequence[str]) -> str:
+    pairs = zip(values, names, strict=True)
+    return "struct(" + ", ".join(f"{v} AS {_name(n)}" for v, n in pairs) + ")"
 
 
-def _unpivot(row: DataFrame, entries: Sequence[Column], layout: str) -> DataFrame:
-    """One output row per struct; none for an empty list."""
-    if not entries:
-        return row.sparkSession.createDataFrame([], layout)
-    return row.select(F.inline(F.array(*entries)))
+def _lines(row: DataFrame, first: str, entries: dict[str, list[str]], names) -> DataFrame:
+    """One output row per entry: its label and its figures."""
+    layout = (first, *names)
+    structs = [_struct([_text(k), *v], layout) for k, v in entries.items()]
+    if not structs:  # keep the layout, without rows
+        blank = ["CAST(NULL AS STRING)"] + ["CAST(0 AS BIGINT)"] * (len(names) - 1)
+        structs = [_struct([*blank, "0.0D"], layout)]
+        row = row.filter(F.lit(False))
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
+
+
+def _distinct(names: Sequence[str]) -> list[str]:
+    return list(dict.fromkeys(names))
 
 
 def row_count(df: DataFrame, source: str) -> DataFrame:
-    return df.agg(_rows().alias("total_records")).select(
+    return df.agg(_size("total_records")).select(
         F.lit(source).alias("source"), "total_records"
     )
 
 
-# --- single checks ------------------------------------------------------------
+def _size(alias: str) -> Column:
+    return F.count(F.lit(1)).alias(alias)
 
 
-def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Non-NULL share per column. A column ``df`` lacks gets NULL figures."""
-    present = [c for c in dict.fromkeys(columns) if c in df.columns]
-    row = df.agg(
-        _rows().alias("_rows"), *[F.count(F.col(c)).alias(f"_full_{c}") for c in present]
-    )
-    total = F.col("_rows")
-
-    def entry(name: str) -> Column:
-        known = name in present
-        full = F.col(f"_full_{name}") if known else F.lit(None).cast("bigint")
-        share = percentage(full, total) if known else F.lit(None).cast("double")
-        return F.struct(
-            F.lit(name).alias("column_name"),
-            full.alias("complete_count"),
-            total.alias("total_records"),
-            (total - full).alias("null_count"),
-            share.alias("completeness_percentage"),
-        )
-
-    return _unpivot(
-        row,
-        [entry(c) for c in dict.fromkeys(columns)],
-        "column_name string, complete_count bigint, total_records bigint, "
-        "null_count bigint, completeness_percentage double",
-    )
+# --- figures ------------------------------------------------------------------
 
 
-def validity(df: DataFrame, formats: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """Share of non-NULL values that fit a pattern, per ``(label, column, pattern)``."""
-    known = [entry for entry in formats if entry[1] in df.columns]
-    layout = (
-        "field string, valid_count bigint, non_null_count bigint, "
-        "invalid_count bigint, validity_percentage double"
-    )
-    if not known:
-        return _unpivot(df, [], layout)
-    row = df.agg(*_validity_counts(known))
+def _count_filled(columns: Sequence[str]) -> list[Column]:
+    return [F.count(_name(c)).alias(f"_full_{c}") for c in columns]
 
-    def entry(label: str) -> Column:
-        good, some = F.col(f"_good_{label}"), F.col(f"_some_{label}")
-        return F.struct(
-            F.lit(label).alias("field"),
-            good.alias("valid_count"),
-            some.alias("non_null_count"),
-            (some - good).alias("invalid_count"),
-            percentage(good, some).alias("validity_percentage"),
-        )
 
-    return _unpivot(row, [entry(label) for label, _, _ in known], layout)
+def _filled(column: str) -> list[str]:
+    full = _name(f"_full_{column}")
+    return [full, "_rows", f"_rows - {full}", percentage_sql(full, "_rows")]
 
 
-def _validity_counts(formats: Sequence[tuple[str, str, str]]) -> list[Column]:
+def _count_valid(formats: Formats) -> list[Column]:
     counts = []
     for label, column, pattern in formats:
-        value = F.col(column)
+        value = F.col(_name(column))
         counts.append(F.count_if(value.rlike(pattern)).alias(f"_good_{label}"))
         counts.append(F.count(value).alias(f"_some_{label}"))
     return counts
 
 
-def uniqueness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct values (NULL is one) and repeated groups per column.
+def _valid(label: str) -> list[str]:
+    good, some = _name(f"_good_{label}"), _name(f"_some_{label}")
+    return [good, some, f"{some} - {good}", percentage_sql(good, some)]
+
 
-    All columns are counted in one pass, as grouping sets.
+def _count_groups(position: int = 0, width: int = 1) -> list[Column]:
+    """Figures over the groups (``_n`` rows each) of one of ``width`` grouping sets.
+
+    ``grouping_id`` has one bit per column, the first column's highest; a set bit
+    means that the column is *not* part of the set.
     """
-    known = [c for c in dict.fromkeys(columns) if c in df.columns]
-    layout = (
-        "column_name string, total_records bigint, distinct_records bigint, "
-        "duplicate_count bigint, duplicate_groups_count bigint, "
-        "uniqueness_percentage double"
-    )
-    if not known:
-        return _unpivot(df, [], layout)
-    size = _rows().alias("_n")
-    if len(known) == 1:
-        groups = df.groupBy(*known).agg(size).withColumn("_set", F.lit(0))
-    else:
-        sets = df.groupingSets([[c] for c in known], *known)
-        groups = sets.agg(size, F.grouping_id().alias("_set"))
-    row = groups.agg(
-        *[c for i in range(len(known)) for c in _uniqueness_counts(i, len(known))]
+    own = F.col("_set") == 2**width - 1 - 2 ** (width - 1 - position)
+    rows = F.coalesce(F.sum(F.when(own, F.col("_n"))), F.lit(0))
+    return [
+        rows.alias(f"_keyed_{position}"),
+        F.count_if(own).alias(f"_distinct_{position}"),
+        F.count_if(own & (F.col("_n") > 1)).alias(f"_repeated_{position}"),
+    ]
+
+
+def _unique(position: int = 0) -> list[str]:
+    rows, distinct, repeated = (
+        f"_{figure}_{position}" for figure in ("keyed", "distinct", "repeated")
     )
+    share = percentage_sql(distinct, rows)
+    return [rows, distinct, f"{rows} - {distinct}", repeated, share]
 
-    def entry(position: int, name: str) -> Column:
-        total, distinct, repeated = (
-            F.col(f"{figure}_{position}") for figure in _UNIQUENESS
-        )
-        return F.struct(
-            F.lit(name).alias("column_name"),
-            total.alias("total_records"),
-            distinct.alias("distinct_records"),
-            (total - distinct).alias("duplicate_count"),
-            repeated.alias("duplicate_groups_count"),
-            percentage(distinct, total).alias("uniqueness_percentage"),
-        )
 
-    return _unpivot(row, [entry(i, c) for i, c in enumerate(known)], layout)
+# --- single checks ------------------------------------------------------------
 
 
-_UNIQUENESS = ("_total", "_distinct", "_repeated")
+def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Non-NULL share per column. A column ``df`` lacks gets NULL figures."""
+    present = set(df.columns)
+    wanted = _distinct(columns)
+    row = df.agg(_size("_rows"), *_count_filled([c for c in wanted if c in present]))
+    unknown = ["CAST(NULL AS BIGINT)", "_rows", "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"]
+    entries = {c: _filled(c) if c in present else unknown for c in wanted}
+    return _lines(row, "column_name", entries, _COMPLETENESS)
 
 
-def _uniqueness_counts(position: int = 0, width: int = 1) -> list[Column]:
-    """Figures over the groups of one of ``width`` grouping sets.
+def validity(df: DataFrame, formats: Formats) -> DataFrame:
+    """Share of non-NULL values that fit a pattern, per ``(label, column, pattern)``."""
+    known = [entry for entry in formats if entry[1] in df.columns]
+    row = df.agg(_size("_rows"), *_count_valid(known))
+    return _lines(row, "field", {f[0]: _valid(f[0]) for f in known}, _VALIDITY)
 
-    ``grouping_id`` has one bit per column, the first column's highest; a set bit
-    means that the column is *not* part of the set.
+
+def uniqueness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct values (NULL is one) and repeated groups per column.
+
+    All columns are counted in one pass, as grouping sets. Columns ``df`` lacks
+    are left out.
     """
-    own = F.col("_set") == 2**width - 1 - 2 ** (width - 1 - position)
-    total, distinct, repeated = (f"{figure}_{position}" for figure in _UNIQUENESS)
-    return [
-        F.coalesce(F.sum(F.when(own, F.col("_n"))), F.lit(0)).alias(total),
-        F.count_if(own).alias(distinct),
-        F.count_if(own & (F.col("_n") > 1)).alias(repeated),
-    ]
+    known = [c for c in _distinct(columns) if c in df.columns]
+    if len(known) > 1:
+        sets = df.groupingSets([[_name(c)] for c in known], *map(_name, known))
+        groups = sets.agg(_size("_n"), F.grouping_id().alias("_set"))
+    else:
+        groups = df.groupBy(*map(_name, known)).agg(_size("_n"), F.lit(0).alias("_set"))
+    counts = [c for i in range(len(known)) for c in _count_groups(i, len(known))]
+    row = groups.agg(*(counts or [_size("_rows")]))
+    entries = {c: _unique(i) for i, c in enumerate(known)}
+    return _lines(row, "column_name", entries, _UNIQUENESS)
 
 
 def freshness(df: DataFrame, column: str) -> DataFrame:
     """Earliest and latest date; NULL if ``df`` lacks the column."""
-    if column in df.columns:
-        bounds = [F.min(column).alias("min_date"), F.max(column).alias("max_date")]
-    else:
-        nothing = F.max(F.lit(None).cast("date"))
-        bounds = [nothing.alias("min_date"), nothing.alias("max_date")]
-    return df.agg(*bounds).select(
+    value = F.col(_name(column)) if column in df.columns else F.lit(None).cast("date")
+    return df.agg(F.min(value).alias("min_date"), F.max(value).alias("max_date")).select(
         F.lit(column).alias("column_name"), "min_date", "max_date"
     )
 
@@ -170,10 +172,6 @@ def freshness(df: DataFrame, column: str) -> DataFrame:
 # --- a whole profile ----------------------------------------------------------
 
 
-def _first_present(df: DataFrame, names: Sequence[str]) -> str | None:
-    return next((name for name in names if name in df.columns), None)
-
-
 def profile(
     df: DataFrame,
     source: str,
@@ -184,82 +182,47 @@ def profile(
 
     Checks on columns the input lacks are left out of their section.
     """
-    columns = [c for c in spec.columns if c in df.columns]
-    formats = [entry for entry in spec.formats if entry[1] in df.columns]
-    key = _first_present(df, spec.unique_columns)
-    dated = _first_present(df, spec.date_columns)
-
-    counts = [_rows().alias("_rows")]
-    counts += [F.count(F.col(c)).alias(f"_full_{c}") for c in columns]
-    counts += _validity_counts(formats)
+    present = df.columns
+    columns = [c for c in _distinct(spec.columns) if c in present]
+    formats = [entry for entry in spec.formats if entry[1] in present]
+    key = next((c for c in spec.unique_columns if c in present), None)
+    dated = next((c for c in spec.date_columns if c in present), None)
+
+    counts = [_size("_rows"), *_count_filled(columns), *_count_valid(formats)]
+    oldest = newest = "CAST(NULL AS DATE)"
     if dated is not None:
-        counts += [F.min(dated).alias("_oldest"), F.max(dated).alias("_newest")]
+        oldest, newest = "_oldest", "_newest"
+        counts += [F.min(_name(dated)).alias(oldest), F.max(_name(dated)).alias(newest)]
     row = df.agg(*counts)
     if key is not None:
-        groups = df.groupBy(key).agg(_rows().alias("_n"), F.lit(0).alias("_set"))
-        row = _side_by_side(row, groups.agg(*_uniqueness_counts()))
-
-    total = F.col("_rows")
-    if at is None:
-        at = F.current_timestamp()
-    elif not isinstance(at, Column):
-        at = F.lit(at).cast("timestamp")
-
-    full = {
-        c: F.struct(
-            F.col(f"_full_{c}").alias("complete_count"),
-            total.alias("total_records"),
-            (total - F.col(f"_full_{c}")).alias("null_count"),
-            percentage(F.col(f"_full_{c}"), total).alias("completeness_percentage"),
-        )
-        for c in columns
+        groups = df.groupBy(_name(key)).agg(_size("_n"), F.lit(0).alias("_set"))
+        row = _side_by_side(row, groups.agg(*_count_groups()))
+
+    # The report calls the rows a format was checked on total_records, too.
+    valid_names = ("valid_count", "total_records", "invalid_count", "validity_percentage")
+    complete = {c: _struct(_filled(c), _COMPLETENESS) for c in columns}
+    valid = {f[0]: _struct(_valid(f[0]), valid_names) for f in formats}
+    unique = {key: _struct(_unique(), _UNIQUENESS)} if key is not None else {}
+    fresh = _struct([_text(dated), oldest, newest], ("column", "min_date", "max_date"))
+    sections = {
+        "completeness": _struct(complete.values(), complete),
+        "format_validity": _struct(valid.values(), valid),
+        "uniqueness": _struct(unique.values(), unique),
+        "freshness": fresh,
     }
-    valid = {
-        label: F.struct(
-            F.col(f"_good_{label}").alias("valid_count"),
-            F.col(f"_some_{label}").alias("total_records"),
-            (F.col(f"_some_{label}") - F.col(f"_good_{label}")).alias("invalid_count"),
-            percentage(F.col(f"_good_{label}"), F.col(f"_some_{label}")).alias(
-                "validity_percentage"
-            ),
-        )
-        for label, _, _ in formats
-    }
-    unique = {}
-    if key is not None:
-        total_keys, distinct = F.col("_total_0"), F.col("_distinct_0")
-        unique[key] = F.struct(
-            total_keys.alias("total_records"),
-            distinct.alias("distinct_records"),
-            (total_keys - distinct).alias("duplicate_count"),
-            F.col("_repeated_0").alias("duplicate_groups_count"),
-            percentage(distinct, total_keys).alias("uniqueness_percentage"),
-        )
-    fresh = F.struct(
-        F.lit(dated).cast("string").alias("column"),
-        (F.col("_oldest") if dated else F.lit(None)).cast("date").alias("min_date"),
-        (F.col("_newest") if dated else F.lit(None)).cast("date").alias("max_date"),
-    )
     return row.select(
         F.lit(source).alias("source"),
-        total.alias("total_records"),
-        at.alias("generated_at"),
-        F.lit(len(df.columns)).alias("column_count"),
-        _section(full).alias("completeness"),
-        _section(valid).alias("format_validity"),
-        _section(unique).alias("uniqueness"),
-        fresh.alias("freshness"),
+        F.col("_rows").alias("total_records"),
+        ingestion_time(at).alias("generated_at"),
+        F.lit(len(present)).alias("column_count"),
+        *[F.expr(sql).alias(name) for name, sql in sections.items()],
     )
 
 
-def _section(entries: dict[str, Column]) -> Column:
-    return F.struct(*[value.alias(name) for name, value in entries.items()])
-
-
 def _side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
     """Columns of two one-row frames in one row."""
     both = left.unionByName(right, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return both.agg(*[F.max(_name(c)).alias(c) for c in both.columns])
 
 
 def profile_lines(report: DataFrame) -> DataFrame:
@@ -267,35 +230,23 @@ def profile_lines(report: DataFrame) -> DataFrame:
 
     Figures are in ``metric_value``, dates in ``metric_date``.
     """
-    lines = [
-        _line("summary", None, name, F.col(name))
-        for name in ("total_records", "column_count")
-    ]
+    layout = ("section", "column_name", "metric", "metric_value", "metric_date")
+
+    def line(section: str, column: str, metric: str, figure="NULL", date="NULL") -> str:
+        values = (f"CAST({figure} AS DOUBLE)", f"CAST({date} AS DATE)")
+        return _struct([_text(section), column, _text(metric), *values], layout)
+
+    schema = report.schema
+    lines = [line("summary", _text(None), m, m) for m in ("total_records", "column_count")]
     for section in ("completeness", "format_validity", "uniqueness"):
-        for entry in report.schema[section].dataType.fields:
+        for entry in schema[section].dataType.fields:
+            path = f"{section}.{_name(entry.name)}"
             lines += [
-                _line(section, entry.name, m, F.col(f"{section}.`{entry.name}`.{m}"))
+                line(section, _text(entry.name), m, f"{path}.{m}")
                 for m in entry.dataType.names
             ]
-    dated = F.col("freshness.column")
-    for bound in ("min_date", "max_date"):
-        lines.append(_line("freshness", dated, bound, None, F.col(f"freshness.{bound}")))
-    return report.select("source", F.inline(F.array(*lines)))
-
-
-def _line(
-    section: str,
-    column: str | Column | None,
-    metric: str,
-    value: Column | None,
-    date: Column | None = None,
-) -> Column:
-    missing = F.lit(None)
-    name = column if isinstance(column, Column) else F.lit(column)
-    return F.struct(
-        F.lit(section).alias("section"),
-        name.cast("string").alias("column_name"),
-        F.lit(metric).alias("metric"),
-        (missing if value is None else value).cast("double").alias("metric_value"),
-        (missing if date is None else date).cast("date").alias("metric_date"),
-    )
+    lines += [
+        line("freshness", "freshness.column", bound, date=f"freshness.{bound}")
+        for bound in ("min_date", "max_date")
+    ]
+    return report.selectExpr("source", f"inline(array({', '.join(lines)}))")
