@@ -21,6 +21,7 @@ def local_session(cpus: str = "8") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("checks")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")

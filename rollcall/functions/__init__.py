@@ -1,6 +1,13 @@
 """``Column`` builders."""
 
-from rollcall.functions.contact import all_present, blank_to_null, email, phone
+from rollcall.functions.contact import (
+    all_present,
+    blank_to_null,
+    dialled,
+    email,
+    international,
+    phone,
+)
 from rollcall.functions.dates import parse_date
 from rollcall.functions.derived import (
     data_quality_score,
@@ -16,7 +23,9 @@ __all__ = [
     "all_present",
     "blank_to_null",
     "data_quality_score",
+    "dialled",
     "email",
+    "international",
     "is_active",
     "match_quality",
     "parse_date",

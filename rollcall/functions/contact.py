@@ -68,32 +68,48 @@ def _domestic(region: PhoneRegion) -> _Rewrite:
         f"(?={carries_code}){code}"
         f"(?:{trunk}{_number(region)}|(?!{trunk})({any_length}))"
     )
-    abroad = f"(?!{region.dial_out_prefix}[1-9])"
-    return _Rewrite(f"(?:{own_code}|{abroad}{_number(region)})", groups=5, code=code)
+    return _Rewrite(f"(?:{own_code}|{_number(region)})", groups=5, code=code)
 
 
-def phone(
-    value: Column, country: Column, regions: Sequence[PhoneRegion] = PHONE_REGIONS
+def dialled(value: Column) -> Column:
+    """A phone number as dialled: digits and ``+`` only."""
+    return F.regexp_replace(value, "[^0-9+]", "")
+
+
+def international(
+    number: Column, country: Column, regions: Sequence[PhoneRegion] = PHONE_REGIONS
 ) -> Column:
-    """International form of a phone number, using the country as context.
+    """International form of a dialled number, using the country as context.
 
-    Everything but digits and ``+`` is dropped; nothing left means NULL. Numbers
-    with a leading ``+`` keep it and lose a stray trunk prefix. Numbers of a known
-    country get its calling code, even when they cannot be a complete number.
-    Anything else is returned as cleaned.
+    An empty number is NULL. Numbers with a leading ``+`` keep it and lose a stray
+    trunk prefix. Numbers of a known country get its calling code, even when they
+    cannot be a complete number. Anything else is returned as it is.
     """
-    kept = F.regexp_replace(value, "[^0-9+]", "")
-    normal = F.when(kept == "", F.lit(None).cast("string")).when(
-        kept.startswith("+"), _with_code(r"\++", regions)(kept)
+    normal = F.when(number == "", F.lit(None).cast("string")).when(
+        number.startswith("+"), _with_code(r"\++", regions)(number)
     )
     for region in regions:
-        if region.country is not None:
-            dialled = _with_code(region.dial_out_prefix, regions)(kept)
-            dialled = _domestic(region)(dialled)
-            # Whatever has no plus by now is no possible number, but keeps a code.
-            coded = F.regexp_replace(dialled, r"^(?!\+)", f"+{region.calling_code}")
-            normal = normal.when(country == region.country, coded)
-    return normal.otherwise(kept)
+        if region.country is None:
+            continue
+        here, out = country == region.country, region.dial_out_prefix
+        abroad = number.startswith(out) & ~number.startswith(f"{out}0")
+        for applies, rewrite in (
+            (here & abroad, _with_code(out, regions)),
+            (here, _domestic(region)),
+        ):
+            # What has no plus after that is no possible number, but keeps a code.
+            coded = F.regexp_replace(
+                rewrite(number), r"^(?!\+)", f"+{region.calling_code}"
+            )
+            normal = normal.when(applies, coded)
+    return normal.otherwise(number)
+
+
+def phone(
+    value: Column, country: Column, regions: Sequence[PhoneRegion] = PHONE_REGIONS
+) -> Column:
+    """:func:`international` form of a phone number in any spelling."""
+    return international(dialled(value), country, regions)
 
 
 def blank_to_null(value: Column) -> Column:

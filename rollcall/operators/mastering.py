@@ -17,24 +17,29 @@ from rollcall.functions import (
 )
 from rollcall.functions.derived import AsOf
 from rollcall.operators.cleaning import with_lineage
-from rollcall.operators.purchases import aggregate_transactions
+from rollcall.operators.keys import HASH
+from rollcall.operators.purchases import email_facts
 from rollcall.rules import FieldRule, Settings
 from rollcall.schemas import ANALYTICS_COLUMNS, MASTER_COLUMNS, SAMPLE_COLUMNS
 
 
-def attach_facts(customers: DataFrame, facts: DataFrame) -> DataFrame:
-    """Left join purchase facts to ``crm``-aliased customers by email.
+def attach_facts(customers: DataFrame, trx: DataFrame, sample_size: int) -> DataFrame:
+    """Left join purchase facts (``trx``) to ``crm``-aliased customers by email.
 
     Customers without an email match nothing, but a plain outer join would send
     all of them to one task. They get a join key of their own instead, which
-    spreads them; the second half of the condition keeps that key from matching.
+    spreads them; the last part of the condition keeps that key from matching.
     """
     spread = F.concat(F.lit("no email "), F.coalesce("crm.customer_id", F.lit("")))
-    keyed = customers.withColumn("_join_key", F.coalesce("crm.normalized_email", spread))
-    condition = (F.col("_join_key") == F.col("trx.normalized_email")) & F.col(
-        "crm.normalized_email"
-    ).isNotNull()
-    return keyed.join(facts.alias("trx"), condition, "left")
+    key = F.coalesce("crm.normalized_email", spread)
+    keyed = customers.withColumns({"_join_key": key, "_join_hash": F.xxhash64(key)})
+    condition = (
+        (F.col("_join_hash") == F.col(f"trx.{HASH}"))
+        & (F.col("_join_key") == F.col("trx.normalized_email"))
+        & F.col("crm.normalized_email").isNotNull()
+    )
+    facts = email_facts(trx, sample_size).alias("trx")
+    return keyed.join(facts, condition, "left")
 
 
 def survive(rules: Sequence[FieldRule]) -> dict[str, Column]:
@@ -42,15 +47,6 @@ def survive(rules: Sequence[FieldRule]) -> dict[str, Column]:
     return {rule.field: F.coalesce(*rule.sources) for rule in rules}
 
 
-def _link(crm: DataFrame, facts: DataFrame, mapping: DataFrame) -> DataFrame:
-    customers = mapping.alias("map").join(
-        crm.alias("crm"),
-        F.col("map.crm_customer_id") == F.col("crm.customer_id"),
-        "left",
-    )
-    return attach_facts(customers, facts)
-
-
 def survivorship(
     crm: DataFrame,
     trx: DataFrame,
@@ -58,8 +54,10 @@ def survivorship(
     settings: Settings = Settings(),
 ) -> DataFrame:
     """The merged record before derived fields."""
-    facts = aggregate_transactions(
-        trx, settings.sample_size, keep_missing_email=False
+    customers = mapping.alias("map").join(
+        crm.alias("crm"),
+        F.col("map.crm_customer_id") == F.col("crm.customer_id"),
+        "left",
     )
     fields = {
         "gold_customer_id": F.col("map.gold_customer_id"),
@@ -73,9 +71,8 @@ def survivorship(
     }
     wanted = [c for c in MASTER_COLUMNS if c in fields]
     wanted += [c for c in fields if c not in MASTER_COLUMNS]
-    return _link(crm, facts, mapping).select(
-        *[fields[name].alias(name) for name in wanted]
-    )
+    merged = attach_facts(customers, trx, settings.sample_size)
+    return merged.select(*[fields[name].alias(name) for name in wanted])
 
 
 def derive(

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions import all_present, blank_to_null, percentage
+from rollcall.operators.keys import hash_led
 from rollcall.rules import MATCH_RULES, MatchRule
 from rollcall.schemas import MAPPING_COLUMNS, PAIR_COLUMNS
 
@@ -43,12 +44,15 @@ def match_pairs(crm: DataFrame, trx: DataFrame, rule: MatchRule) -> DataFrame:
         return df.select(*extra, *parts).filter(all_present([F.col(n) for n in names]))
 
     shown = F.concat_ws("|", *[F.col(c) for c in rule.label_columns])
-    customers = keyed(
-        crm, F.col("customer_id").alias("crm_customer_id"), shown.alias("match_key")
+    customers, keys = hash_led(
+        keyed(
+            crm, F.col("customer_id").alias("crm_customer_id"), shown.alias("match_key")
+        ),
+        names,
     )
-    transactions = keyed(trx, F.col("transaction_id"))
+    transactions, _ = hash_led(keyed(trx, F.col("transaction_id")), names)
     return (
-        customers.join(transactions, names, "inner")
+        customers.join(transactions, keys, "inner")
         .withColumns(
             {
                 "match_type": F.lit(rule.name),
@@ -120,8 +124,9 @@ def _candidates(
             F.lit(None).cast("string").alias("transaction_id"),
         ).filter(F.lit(False))
     customers = _rule_keys(crm, "customer_id", ranked)
-    transactions = _rule_keys(trx, "transaction_id", ranked)
-    keys = [c for c in customers.columns if c != "customer_id"]
+    parts = [c for c in customers.columns if c != "customer_id"]
+    customers, keys = hash_led(customers, parts)
+    transactions, _ = hash_led(_rule_keys(trx, "transaction_id", ranked), parts)
     reduced = transactions.groupBy(*keys).agg(
         F.min("transaction_id").alias("transaction_id")
     )

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.operators.keys import hash_led
+
 # Output name -> transaction column, for the details of the latest purchase.
 LATEST_DETAILS = {
     "txn_normalized_phone": "normalized_phone",
@@ -30,14 +34,12 @@ def _latest() -> Column:
 
 def latest_transaction(trx: DataFrame) -> DataFrame:
     """Details of the latest transaction per email; NULL emails form one group."""
-    return (
-        trx.groupBy("normalized_email")
-        .agg(_latest().alias("_latest"))
-        .select("normalized_email", "_latest.*")
-    )
+    keyed, keys = hash_led(trx, ["normalized_email"])
+    latest = keyed.groupBy(*keys).agg(_latest().alias("_latest"))
+    return latest.select("normalized_email", "_latest.*")
 
 
-def sample_ids(trx: DataFrame, keys: list[str], size: int) -> DataFrame:
+def sample_ids(trx: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
     """The ``size`` lowest transaction ids per group, as a sorted array.
 
     A plain ``collect_list`` would gather a whole group, however large, in one
@@ -64,42 +66,45 @@ def sample_ids(trx: DataFrame, keys: list[str], size: int) -> DataFrame:
     )
 
 
-def aggregate_transactions(
-    trx: DataFrame, sample_size: int = 100, keep_missing_email: bool = True
-) -> DataFrame:
-    """First and last purchase, count, sample ids and latest details per email.
+def keyed_facts(trx: DataFrame, keys: Sequence[str], sample_size: int) -> DataFrame:
+    """First and last purchase, count, sample ids and latest details per group.
 
-    Transactions without an email form one group; without
-    ``keep_missing_email`` they are left out before anything is shuffled.
+    Both halves are partitioned by ``keys``, which must not be NULL, so joining
+    them moves nothing.
     """
-    if keep_missing_email:
-        # Two columns that are never NULL stand in for the email, so both halves
-        # below stay joinable on the partitioning their aggregation produced.
-        keys = ["_email", "_missing"]
-        email = F.when(~F.col("_missing"), F.col("_email")).alias("normalized_email")
-        keyed = trx.withColumns(
-            {
-                "_email": F.coalesce("normalized_email", F.lit("")),
-                "_missing": F.col("normalized_email").isNull(),
-            }
-        )
-    else:
-        keys = ["normalized_email"]
-        email = F.col("normalized_email")
-        keyed = trx.filter(F.col("normalized_email").isNotNull())
-
-    facts = keyed.groupBy(*keys).agg(
+    facts = trx.groupBy(*keys).agg(
         F.min("purchase_date").alias("first_purchase_date"),
         F.max("purchase_date").alias("last_purchase_date"),
         F.count(F.lit(1)).alias("total_transactions"),
         _latest().alias("_latest"),
     )
     none = F.array().cast("array<string>")
-    return facts.join(sample_ids(keyed, keys, sample_size), keys, "left").select(
-        email,
+    return facts.join(sample_ids(trx, keys, sample_size), list(keys), "left").select(
+        *keys,
         "first_purchase_date",
         "last_purchase_date",
         "total_transactions",
         F.coalesce("sample_transaction_ids", none).alias("sample_transaction_ids"),
         "_latest.*",
     )
+
+
+def email_facts(trx: DataFrame, sample_size: int = 100) -> DataFrame:
+    """Facts per existing email, with the hash of it they are partitioned by."""
+    known = trx.filter(F.col("normalized_email").isNotNull())
+    keyed, keys = hash_led(known, ["normalized_email"])
+    return keyed_facts(keyed, keys, sample_size)
+
+
+def aggregate_transactions(trx: DataFrame, sample_size: int = 100) -> DataFrame:
+    """Purchase facts per email; transactions without one form a group, too."""
+    # Two columns that are never NULL stand in for the email.
+    marked = trx.withColumns(
+        {
+            "_email": F.coalesce("normalized_email", F.lit("")),
+            "_missing": F.col("normalized_email").isNull(),
+        }
+    )
+    keyed, keys = hash_led(marked, ["_email", "_missing"])
+    email = F.when(~F.col("_missing"), F.col("_email")).alias("normalized_email")
+    return keyed_facts(keyed, keys, sample_size).select(email, "*").drop(*keys)
