@@ -17,7 +17,7 @@ from rollcall.functions import (
 )
 from rollcall.functions.derived import AsOf
 from rollcall.operators.cleaning import with_lineage
-from rollcall.operators.keys import HASH
+from rollcall.operators.keys import HASH, hash_led
 from rollcall.operators.purchases import email_facts
 from rollcall.rules import FieldRule, Settings
 from rollcall.schemas import ANALYTICS_COLUMNS, MASTER_COLUMNS, SAMPLE_COLUMNS
@@ -29,6 +29,10 @@ def attach_facts(customers: DataFrame, trx: DataFrame, sample_size: int) -> Data
     Customers without an email match nothing, but a plain outer join would send
     all of them to one task. They get a join key of their own instead, which
     spreads them; the last part of the condition keeps that key from matching.
+
+    An email may be shared by very many customers. Spark splits such a partition
+    when both sides were shuffled for this join alone, so the facts are hashed anew
+    instead of being joined on the partitioning of their aggregation.
     """
     spread = F.concat(F.lit("no email "), F.coalesce("crm.customer_id", F.lit("")))
     key = F.coalesce("crm.normalized_email", spread)
@@ -38,8 +42,8 @@ def attach_facts(customers: DataFrame, trx: DataFrame, sample_size: int) -> Data
         & (F.col("_join_key") == F.col("trx.normalized_email"))
         & F.col("crm.normalized_email").isNotNull()
     )
-    facts = email_facts(trx, sample_size).alias("trx")
-    return keyed.join(facts, condition, "left")
+    facts, _ = hash_led(email_facts(trx, sample_size), ["normalized_email"])
+    return keyed.join(facts.alias("trx"), condition, "left")
 
 
 def survive(rules: Sequence[FieldRule]) -> dict[str, Column]:

@@ -127,9 +127,11 @@ def _candidates(
     parts = [c for c in customers.columns if c != "customer_id"]
     customers, keys = hash_led(customers, parts)
     transactions, _ = hash_led(_rule_keys(trx, "transaction_id", ranked), parts)
-    reduced = transactions.groupBy(*keys).agg(
-        F.min("transaction_id").alias("transaction_id")
-    )
+    lowest = F.min("transaction_id").alias("transaction_id")
+    # A key may belong to very many customers. Spark splits such a partition of a
+    # join, but only if both sides were shuffled for that join and nothing else;
+    # hashing the reduced keys anew parts it from the shuffle of the aggregate.
+    reduced, _ = hash_led(transactions.groupBy(*keys).agg(lowest), parts)
     return customers.join(reduced, keys, "inner").select(
         "customer_id", _RANK, "transaction_id"
     )

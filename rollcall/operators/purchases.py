@@ -90,7 +90,7 @@ def keyed_facts(trx: DataFrame, keys: Sequence[str], sample_size: int) -> DataFr
 
 
 def email_facts(trx: DataFrame, sample_size: int = 100) -> DataFrame:
-    """Facts per existing email, with the hash of it they are partitioned by."""
+    """Purchase facts per email, without the group that has none."""
     known = trx.filter(F.col("normalized_email").isNotNull())
     keyed, keys = hash_led(known, ["normalized_email"])
     return keyed_facts(keyed, keys, sample_size)
