@@ -1,9 +1,9 @@
 """Both feeds, derived from the ``customer`` and ``orders`` test tables.
 
-The SQL is common to Spark and DuckDB. It covers every row of both tables; extra
-rows repeat some of them, as older or identical copies. Orders of every seventh
-customer become guest purchases that match nobody, so some customers stay
-unmatched.
+The SQL is common to Spark and DuckDB, which only name two functions differently.
+It covers every row of both tables; some rows are repeated, as older or identical
+copies. Orders of every seventh customer become guest purchases that match nobody,
+so some customers stay unmatched.
 """
 
 from __future__ import annotations
@@ -18,9 +18,11 @@ AS_OF_TIME = dt.datetime(2001, 12, 31, 12, 0, 0)
 
 CRM_RAW_SQL = """
 WITH k AS (
-  SELECT c_custkey AS k, 0 AS dup FROM {customer}
-  UNION ALL SELECT c_custkey AS k, 1 AS dup FROM {customer} WHERE c_custkey % 12 = 0
-  UNION ALL SELECT c_custkey AS k, 0 AS dup FROM {customer} WHERE c_custkey % 30 = 1)
+  SELECT c_custkey AS k,
+    {explode}(CASE WHEN c_custkey % 12 = 0 THEN {array}(0, 1)
+                   WHEN c_custkey % 30 = 1 THEN {array}(0, 0)
+                   ELSE {array}(0) END) AS dup
+  FROM {customer})
 SELECT
   ' CRM' || lpad(cast(k as string), 8, '0') AS customer_id,
   'First' || cast(k % 97 as string) || ' ' AS first_name,
@@ -50,10 +52,12 @@ FROM k
 """
 
 TRX_RAW_SQL = """
-WITH o AS (
-  SELECT o_orderkey, o_custkey, cast(o_orderdate as date) AS d FROM {orders}
-  UNION ALL SELECT o_orderkey, o_custkey, cast(o_orderdate as date) - 30 AS d FROM {orders}
-            WHERE o_orderkey % 50 = 0)
+WITH copies AS (
+  SELECT o_orderkey, o_custkey, cast(o_orderdate as date) AS ordered,
+    {explode}(CASE WHEN o_orderkey % 50 = 0 THEN {array}(0, 30)
+                   ELSE {array}(0) END) AS days_older
+  FROM {orders}),
+o AS (SELECT o_orderkey, o_custkey, ordered - days_older AS d FROM copies)
 SELECT
   'TXN' || lpad(cast(o_orderkey as string), 9, '0') AS transaction_id,
   CASE WHEN o_custkey % 7 = 6
@@ -145,25 +149,37 @@ FROM (SELECT o_orderkey AS id, cast(cast(o_orderdate as date) as string) AS iso
 """
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def duckdb(sql: str) -> str:
+    return sql.format(
+        customer="customer", orders="orders", explode="unnest", array="list_value"
+    )
+
+
+def spark_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    frames = {
+        name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        for name in ("customer", "orders")
+        if f"{{{name}}}" in sql
+    }
+    names = {name: f"{{{name}}}" for name in frames}
+    return spark.sql(sql.format(**names, explode="explode", array="array"), **frames)
 
 
 def crm_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(CRM_RAW_SQL, customer=table(spark, sf_dir, "customer"))
+    return spark_sql(spark, sf_dir, CRM_RAW_SQL)
 
 
 def trx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(TRX_RAW_SQL, orders=table(spark, sf_dir, "orders"))
+    return spark_sql(spark, sf_dir, TRX_RAW_SQL)
 
 
 def email_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(EMAIL_CASES_SQL, customer=table(spark, sf_dir, "customer"))
+    return spark_sql(spark, sf_dir, EMAIL_CASES_SQL)
 
 
 def phone_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(PHONE_CASES_SQL, customer=table(spark, sf_dir, "customer"))
+    return spark_sql(spark, sf_dir, PHONE_CASES_SQL)
 
 
 def date_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(DATE_CASES_SQL, orders=table(spark, sf_dir, "orders"))
+    return spark_sql(spark, sf_dir, DATE_CASES_SQL)

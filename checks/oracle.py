@@ -11,7 +11,6 @@ from checks import fixture
 from rollcall.rules import EMAIL_PATTERN, PHONE_PATTERN, ProfileSpec
 from rollcall.schemas import ANALYTICS_COLUMNS, MASTER_COLUMNS, SAMPLE_COLUMNS
 
-TABLES = {"customer": "customer", "orders": "orders"}
 AS_OF = f"DATE '{fixture.AS_OF}'"
 
 CRM_TEXT = ("customer_id", "first_name", "last_name", "email", "phone", "address",
@@ -155,8 +154,8 @@ def _pairs(rule: str, confidence: str, keys: tuple[str, ...], label: str) -> str
 
 
 STEPS = {
-    "crm_raw": fixture.CRM_RAW_SQL.format(**TABLES),
-    "trx_raw": fixture.TRX_RAW_SQL.format(**TABLES),
+    "crm_raw": fixture.duckdb(fixture.CRM_RAW_SQL),
+    "trx_raw": fixture.duckdb(fixture.TRX_RAW_SQL),
     "crm_tidy": f"""SELECT trim(customer_id) AS customer_id, trim(first_name) AS first_name,
       trim(last_name) AS last_name, email, phone, trim(address) AS address,
       trim(city) AS city, trim(country) AS country,
@@ -320,11 +319,11 @@ FINAL = {
     "crm_clean": "SELECT * FROM crm_tidy",
     "trx_clean": "SELECT * FROM trx_tidy",
     "normalize_email": f"SELECT id, email, {mail('email')} AS normalized_email "
-    f"FROM ({fixture.EMAIL_CASES_SQL.format(**TABLES)})",
+    f"FROM ({fixture.duckdb(fixture.EMAIL_CASES_SQL)})",
     "normalize_phone": "SELECT id, country, phone, normalized_phone FROM "
-    + with_phone(f"({fixture.PHONE_CASES_SQL.format(**TABLES)})"),
+    + with_phone(f"({fixture.duckdb(fixture.PHONE_CASES_SQL)})"),
     "normalize_date": f"SELECT id, text, {day('text')} AS parsed "
-    f"FROM ({fixture.DATE_CASES_SQL.format(**TABLES)})",
+    f"FROM ({fixture.duckdb(fixture.DATE_CASES_SQL)})",
     "dedup_crm": _newest("crm_raw", "customer_id", "last_updated", CRM_TEXT),
     "dedup_trx": _newest("trx_raw", "transaction_id", "purchase_date", TRX_TEXT),
     "lineage_columns": "SELECT customer_id, last_updated, 'CRM' AS source, "
