@@ -140,7 +140,8 @@ def dedup_trx(feeds: Feeds) -> DataFrame:
 
 @query
 def lineage_columns(feeds: Feeds) -> DataFrame:
-    traced = op.with_lineage(feeds.crm_raw, "CRM", fixture.AS_OF_TIME)
+    at = F.lit(str(fixture.AS_OF_TIME)).cast("timestamp")
+    traced = op.with_lineage(feeds.crm_raw, "CRM", at)
     return traced.select(
         "customer_id",
         "last_updated",
