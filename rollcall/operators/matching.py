@@ -138,9 +138,10 @@ def _candidates(
 
 
 def _strongest(candidates: DataFrame) -> DataFrame:
+    keyed, keys = hash_led(candidates, ["customer_id"])
     best = F.min(F.struct(_RANK, "transaction_id"))
     return (
-        candidates.groupBy("customer_id")
+        keyed.groupBy(*keys)
         .agg(best.alias("_best"))
         .select("customer_id", f"_best.{_RANK}", "_best.transaction_id")
     )
