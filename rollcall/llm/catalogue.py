@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rollcall.llm.decontamination import contaminated
+from rollcall.llm.embeddings import linked_vectors
+from rollcall.llm.html_text import main_text
+from rollcall.llm.licenses import license_scan
+from rollcall.llm.line_dedup import without_repeated_lines
 from rollcall.llm.mixing import mixed_sources
 from rollcall.llm.near_dedup import near_duplicates
 from rollcall.llm.quality import scored_quality
@@ -45,6 +50,27 @@ def op2_token_codes(spark: SparkSession, folder: str) -> DataFrame:
     return read_digests(work.read("codes"))
 
 
+@_query
+def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linked_vectors(table(spark, folder, "embeddings", "vec_id", "embedding"), Workspace(spark))
+
+
+@_query
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = without_repeated_lines(table(spark, folder, "documents", "doc_id", "text"), Workspace(spark))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(table(spark, folder, "documents", "doc_id", "text")).drop("spans")
+
+
+@_query
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages", "page_id", "url", "html"), Workspace(spark))
+
+
 @_query
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents", "doc_id", "text"), Workspace(spark), size=4)
@@ -58,7 +84,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixed_sources(table(spark, folder, "documents", "doc_id", "text", "source"), Workspace(spark))
+    mixed = mixed_sources(table(spark, folder, "documents", "doc_id", "text", "source"), Workspace(spark))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 @_query

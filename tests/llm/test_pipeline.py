@@ -1,0 +1,40 @@
+from __future__ import annotations
+
+from conftest import SMALL, blank_words
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from rollcall.llm import catalogue
+
+
+def test_all_queries_are_registered():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in catalogue.QUERIES)
+    assert numbers == list(range(1, 11))
+    assert set(catalogue.QUERIES) | {"pipeline"} <= set(contract.queries())
+    assert set(catalogue.ORACLE_SQL) <= set(catalogue.QUERIES)
+
+
+def test_stages_over_documents(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    columns, counts = docs.columns, [docs.count()]
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SMALL).write.parquet(f"{tmp_path}/{number}")
+        docs = spark.read.parquet(f"{tmp_path}/{number}")
+        if number < 4:
+            assert docs.columns == columns
+        counts.append(docs.count())
+    assert counts[0] > counts[1] > counts[2] > counts[3] > 0
+    mixed = spark.read.parquet(f"{tmp_path}/3")
+    assert counts[5] == mixed.count()
+    before = spark.read.parquet(f"{tmp_path}/2").collect()
+    words = sum(len(blank_words(r.text)) for r in before)
+    assert abs(sum(len(blank_words(r.text)) for r in mixed.collect()) - words) <= 32 * 20
+    whole = corpus_pipeline.run(spark, SMALL)
+    assert whole.count() == counts[5]
+    assert sorted(whole.collect()) == sorted(docs.collect())
+
+
+def test_no_documents(spark, tmp_path):
+    for name in ("documents", "benchmark", "labels"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from rollcall.llm.catalogue import word_bpe
+from rollcall.llm.token_codes import Shard, WordTokenizer, pack, read_digests, read_ids, write_codes
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(word_bpe())
+
+
+@given(st.lists(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=200), max_size=6))
+@settings(max_examples=60, deadline=None)
+def test_round_trip_and_random_access(documents):
+    ids = np.array([i for x in documents for i in x], np.uint32)
+    names = [None if k % 3 == 2 else k - 1 for k in range(len(documents))]
+    shard = Shard(pack(names, [len(x) for x in documents], ids))
+    assert [(name, own.tolist()) for name, own in shard.documents()] == list(zip(names, documents, strict=True))
+    assert [shard.token(k) for k in range(len(ids))] == ids.tolist()
+    with pytest.raises(IndexError):
+        shard.token(len(ids))
+
+
+@given(st.lists(st.text(alphabet=st.sampled_from("aB é  \t\n'.<|>x1ß́  Σ"), max_size=40), max_size=5))
+@settings(max_examples=100, deadline=None)
+def test_words_one_by_one_equal_whole_texts(tokenizer, texts):
+    found, lengths = WordTokenizer(word_bpe())(pa.array(texts, pa.string()))
+    want = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert lengths.tolist() == [len(x) for x in want]
+    assert found.tolist() == [i for x in want for i in x]
+
+
+ROWS = [
+    (None, "no id"), (5, "Hello, World! It's <|endoftext|> time"), (-3, None), (0, ""), (5, "Hello"), (5, "Hello"),
+    (9, "word " * 3000), (2, "ünïcode çà 中文 \U0001f600"),
+]
+
+
+@pytest.mark.parametrize("shard_ids", [1, 50, 1 << 20])
+def test_files_equal_the_tokenizer(documents, work, tokenizer, shard_ids):
+    path = f"{work.folder}/codes"
+    write_codes(documents(ROWS), path, word_bpe(), shard_ids=shard_ids, partitions=3)
+    want = {}
+    for name, text in ROWS:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        want.setdefault(name, []).append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    got = sorted(read_digests(work.read("codes")).collect(), key=lambda r: r.start)
+    names = [r.doc_id for r in got]
+    assert names == sorted(names, key=lambda x: (x is not None, x))
+    start, seen = 0, {}
+    for r in got:
+        assert r.start == start
+        start += r.n_tokens
+        seen.setdefault(r.doc_id, []).append((r.n_tokens, r.ids_crc32))
+    assert {k: sorted(v) for k, v in seen.items()} == {k: sorted(v) for k, v in want.items()}
+    ids = {r.doc_id: r.ids for r in read_ids(work.read("codes")).collect()}
+    assert ids[2] == tokenizer.encode(ROWS[7][1], add_special_tokens=False).ids + [2]
+
+
+def test_no_documents(documents, work):
+    write_codes(documents([(1, "x")]).limit(0), f"{work.folder}/codes", word_bpe())
+    assert read_digests(work.read("codes")).collect() == []
