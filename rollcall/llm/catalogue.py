@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.llm import oracle
 from rollcall.llm.decontamination import contaminated
 from rollcall.llm.embeddings import linked_vectors
 from rollcall.llm.html_text import main_text
@@ -21,7 +22,7 @@ from rollcall.llm.toxicity import scored_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = oracle.STATEMENTS
 
 
 def word_bpe() -> str:

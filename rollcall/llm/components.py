@@ -23,6 +23,14 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 
+def _is_star_forest(links: DataFrame) -> bool:
+    """Whether everyone has one smaller neighbour, which has none itself."""
+    ends = links.select(F.col("a").alias("id"), F.lit(1).alias("smaller"), F.lit(0).alias("larger"))
+    ends = ends.unionByName(links.select(F.col("b").alias("id"), F.lit(0).alias("smaller"), F.lit(1).alias("larger")))
+    counts = ends.groupBy("id").agg(F.sum("smaller").alias("smaller"), F.max("larger").alias("larger"))
+    return counts.where("smaller > 1 or smaller = 1 and larger = 1").isEmpty()
+
+
 def components(links: DataFrame, work: Workspace, name: str = "components") -> DataFrame:
     """(id, component) of every vertex that has a link and isn't its component's smallest.
 
@@ -32,12 +40,9 @@ def components(links: DataFrame, work: Workspace, name: str = "components") -> D
     before the shuffle; no vertex's neighbours meet in one task.
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    links, before, step = work.write(links.distinct(), f"{name}-0"), None, 0
-    while True:
-        totals = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        now = tuple(links.agg(F.count("*"), totals).first())
-        if now[0] == 0 or now == before:
-            return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
-        before, step = now, step + 1
-        links = work.write(_small_star(_large_star(links).distinct()).distinct(), f"{name}-{step}")
+    links, step = work.write(links.distinct(), f"{name}-0"), 0
+    while not _is_star_forest(links):
+        step += 1
+        links = work.write(_small_star(_large_star(links)).distinct(), f"{name}-{step}")
         work.remove(f"{name}-{step - 1}")
+    return links.select(F.col("a").alias("id"), F.col("b").alias("component"))

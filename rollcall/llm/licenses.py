@@ -55,8 +55,8 @@ NOTICES = (
 PHRASE_WORDS, NOTICE_WORDS = 2, 4
 #: Diagonals of a notice this near to each other are one span.
 GAP = 8
-#: Of a notice's words, so many must stand in the span.
-SHARE = 0.8
+#: Of a notice's words, so many must stand in the span; all of them of a notice under so many words.
+SHARE, SHORT = 0.8, 10
 
 
 def _words(text: Column) -> Column:
@@ -140,9 +140,10 @@ def license_scan(documents: DataFrame, phrases=PHRASES, notices=NOTICES) -> Data
             F.when(s["k"] == PHRASE_WORDS, (of_span(s) == s["words"]).cast("double"))
             .otherwise(F.size(F.array_intersect(of_span(s), s["words"])) / F.size(F.array_distinct(s["words"])))
             .alias("share"),
+            F.when(F.size(s["words"]) < SHORT, 1.0).otherwise(SHARE).alias("asked"),
         ),
     )
-    held = held.withColumn("spans", F.filter(verified, lambda s: s["share"] >= SHARE))
+    held = held.withColumn("spans", F.filter(verified, lambda s: s["share"] >= s["asked"]))
     held = held.withColumn("base", F.filter("spans", lambda s: s["k"] == PHRASE_WORDS))
     joined = lambda name: F.array_join(F.array_sort(F.array_distinct(F.col(f"{name}.label"))), ",")
     return held.select(
@@ -154,5 +155,5 @@ def license_scan(documents: DataFrame, phrases=PHRASES, notices=NOTICES) -> Data
         joined("base").alias("base_labels"),
         joined("spans").alias("labels"),
         F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.array_max("spans.share"), F.lit(0.0))).alias("score"),
-        F.transform("spans", lambda s: s.dropFields("k")).alias("spans"),
+        F.transform("spans", lambda s: s.dropFields("k", "asked")).alias("spans"),
     )

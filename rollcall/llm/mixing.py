@@ -75,6 +75,10 @@ def source_targets(sizes: DataFrame, repeats: int = REPEATS) -> DataFrame:
     return sizes.select("source_key", "source", "source_size", "weight", target.cast("double").alias("target"))
 
 
+def _number(digest: Column) -> Column:
+    return F.conv(F.substring(digest, 1, 7), 16, 10).cast("long")
+
+
 def _piece(begin: Column, end: Column, low: Column, high: Column) -> Column:
     """The words of a text at begin..end that lie in low..high, counted from its first."""
     start = F.greatest(begin, low)
@@ -117,7 +121,7 @@ def mixed_sources(
         order.alias("order"),
         *(F.col(name).alias(f"carried_{name}") for name in carry),
     )
-    rows = rows.withColumn("shard", F.pmod(F.conv(F.substring("order", 1, 7), 16, 10).cast("long"), F.lit(shards)))
+    rows = rows.withColumn("shard", F.pmod(_number(F.col("order")), F.lit(shards)))
     if not carry:
         rows = work.write(rows, "sizes")
 
@@ -136,7 +140,8 @@ def mixed_sources(
     # A source that is taken whole so many times needs no blocks.
     full = F.col("target") >= F.lit(repeats) * F.col("source_size")
     quota = F.when(full, most).otherwise(F.least(most, F.col("seats") * F.lit(block)))
-    start = F.pmod(F.xxhash64(F.lit(seed), "source_key", "shard"), F.ceil(F.col("words") / F.lit(block))) * F.lit(block)
+    chance = _number(F.md5(F.concat_ws("|", F.lit(seed), "source_key", F.col("shard").cast("string"))))
+    start = F.when(F.col("words") > 0, F.pmod(chance, F.ceil(F.col("words") / F.lit(block))) * F.lit(block))
     parts = parts.select(
         "source_key", "shard", "words", "source_size", "target", quota.alias("quota"), F.coalesce(start, F.lit(0)).alias("start")
     )

@@ -8,10 +8,13 @@
    smallest class there, which makes as many pairs as members.
 4. A pair's similarity is estimated from the packed bits, corrected for values that
    agree by chance. What comes near the threshold is confirmed on the full sets.
-5. Keys whose members still lie in different components are compared in blocks, so
-   that no link between components is missed. A block returns at most one link per
-   member, never its pairs.
+5. In keys whose members still lie in different components, all outside the largest one
+   are compared with everyone, in blocks, so that no link between components is
+   missed. A block returns a link per component that it joins, never its pairs.
 6. Components of the confirmed links give the smallest reachable id.
+
+Both sides of the joins of whole tables grow with the corpus; they are merge joins at every
+size, whose hot keys adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ CHANCE = 2.0**-BITS
 #: Standard deviations below the threshold at which a pair is still confirmed in full.
 MARGIN = 5.0
 #: Members of a key that one block holds.
-BLOCK = 128
+BLOCK = 256
 
 _SEEDS = np.random.default_rng(20240607)
 _FACTOR = _SEEDS.integers(0, 2**64, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -132,48 +135,55 @@ def _similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(one) + len(other) - shared)
 
 
-def _near(bits: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row the later rows whose packed values agree often enough."""
-    for i in range(len(bits) - 1):
-        x = bits[i + 1 :] ^ bits[i]
-        differ = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_LANES)).sum(axis=1)
-        yield i, i + 1 + np.flatnonzero(HASHES - differ >= least)
+def _equal(bits: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """How many packed values of row i and each of the others are equal."""
+    x = bits[others] ^ bits[i]
+    return HASHES - np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_LANES)).sum(axis=1, dtype=np.int64)
 
 
 def _bits_of(frame: pd.DataFrame) -> np.ndarray:
     return np.array(frame["bits"].tolist(), np.int64).reshape(-1, PACKED).view(np.uint64)
 
 
-def _across(frame: pd.DataFrame, i: int, near: np.ndarray) -> np.ndarray:
-    """Partners in another component; pairs within one block half belong to its own block."""
-    own, half = frame["component"].to_numpy(), frame["half"].to_numpy()
-    apart = (own[near] != own[i]) & ((half[near] != half[i]) | frame["alone"].iloc[0])
-    return near[apart]
+def _apart(frame: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """For each asking row of a block, the others of other components."""
+    asks, component = frame["asks"].to_numpy(), frame["component"].to_numpy()
+    others = np.flatnonzero(~asks)
+    for i in np.flatnonzero(asks):
+        yield i, others[component[others] != component[i]]
 
 
 def _plausible(least: float):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        found = np.zeros(len(frame), bool)
-        for i, near in _near(_bits_of(frame), least):
-            near = _across(frame, i, near)
+        bits, found = _bits_of(frame), np.zeros(len(frame), bool)
+        for i, others in _apart(frame):
+            near = others[_equal(bits, i, others) >= least]
             found[near] = True
-            found[i] |= len(near) > 0
-        return frame.loc[found, ["key", "one", "two", "half", "alone", "rep", "component", "bits"]]
+            found[i] = len(near) > 0
+        return frame.loc[found, ["key", "asking", "held", "asks", "rep", "component", "bits"]]
 
     return run
 
 
 def _links(least: float, percent: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        reps, sets = frame["rep"].to_numpy(), [np.asarray(x, np.int64) for x in frame["shingles"]]
-        frame = frame.copy()
+        bits, sets = _bits_of(frame), [np.asarray(x, np.int64) for x in frame["shingles"]]
+        component = frame["component"].to_numpy()
+        joined: dict[int, int] = {}  # components that links have joined, by one of them
+
+        def top(x: int) -> int:
+            while x in joined:
+                x = joined[x]
+            return x
+
         links = []
-        for i, near in _near(_bits_of(frame), least):
-            for j in _across(frame, i, near):
-                own = frame["component"].to_numpy()
-                if own[i] != own[j] and _similar(sets[i], sets[j], percent):
-                    links.append((reps[i], reps[j]))
-                    frame.loc[frame["component"] == own[j], "component"] = own[i]
+        for i, others in _apart(frame):
+            equal = _equal(bits, i, others)
+            order = np.argsort(-equal, kind="stable")
+            for j in others[order[equal[order] >= least]]:
+                if top(component[i]) != top(component[j]) and _similar(sets[i], sets[j], percent):
+                    links.append((component[i], component[j]))
+                    joined[top(component[i])] = top(component[j])
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return run
@@ -212,14 +222,9 @@ def near_duplicates(
     )
     linked = sketches.where("doc_id is not null and n_shingles > 0")
     prints = ["print_1", "print_2"]
-    reps = work.write(linked.groupBy(*prints).agg(F.min("doc_id").alias("rep")), "reps")
     first = F.struct("bits", "bands")
-    classes = work.write(
-        linked.groupBy(*prints).agg(F.min("doc_id").alias("rep"), F.min_by(first, "doc_id").alias("first")).select(
-            "rep", "first.*"
-        ),
-        "classes",
-    )
+    classes = linked.groupBy(*prints).agg(F.min("doc_id").alias("rep"), F.min_by(first, "doc_id").alias("first"))
+    classes = work.write(classes.select(*prints, "rep", "first.*"), "classes")
     members = classes.select("rep", F.explode("bands").alias("key"))
     hubs = members.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
     shared = work.write(members.join(hubs, "key"), "shared")
@@ -227,8 +232,8 @@ def near_duplicates(
     pairs = shared.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     bits = classes.select("rep", "bits")
     near = (
-        pairs.join(bits.toDF("b", "bits_b"), "b")
-        .join(bits.toDF("a", "bits_a"), "a")
+        pairs.join(bits.toDF("b", "bits_b").hint("merge"), "b")
+        .join(bits.toDF("a", "bits_a").hint("merge"), "a")
         .withColumn("equal", agreement("bits_a", "bits_b"))
         .where(F.col("equal") >= least_agreement(percent / 100))
         .select("a", "b", "equal")
@@ -236,13 +241,15 @@ def near_duplicates(
     near = work.write(near, "near")
     ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
     sets = work.write(
-        documents.join(ids, "doc_id", "left_semi").mapInArrow(_sets(size, separators), "doc_id long, shingles array<long>"),
+        documents.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(
+            _sets(size, separators), "doc_id long, shingles array<long>"
+        ),
         "sets",
     )
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     star = (
-        near.join(sets.toDF("b", "shingles_b"), "b")
-        .join(sets.toDF("a", "shingles_a"), "a")
+        near.join(sets.toDF("b", "shingles_b").hint("merge"), "b")
+        .join(sets.toDF("a", "shingles_a").hint("merge"), "a")
         .select("a", "b", common.alias("common"), (F.size("shingles_a") + F.size("shingles_b")).alias("sizes"))
         .where(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("sizes") - F.col("common")))
         .select("a", "b")
@@ -251,12 +258,17 @@ def near_duplicates(
     star = work.write(star, "star")
     work.remove("sets")
     joined = components(star, work, "first")
-
-    links = star.unionByName(_remaining_links(documents, classes, shared, joined, work, size, percent, separators))
-    links = work.write(links, "links")
-    joined = components(links, work, "all")
-
-    of_class = reps.join(joined.toDF("rep", "component"), "rep", "left").select(
+    links = _remaining_links(documents, classes, shared, joined, work, size, percent, separators)
+    if links is not None:
+        # Links between components, as links between their smallest members.
+        further = components(links, work, "further").toDF("component", "smaller")
+        joined = (
+            joined.unionByName(further.select(F.col("component").alias("id"), "component"))
+            .join(further, "component", "left")
+            .select("id", F.coalesce("smaller", "component").alias("component"))
+        )
+
+    of_class = classes.join(joined.toDF("rep", "component"), "rep", "left").select(
         *prints, "rep", F.coalesce("component", "rep").alias("component")
     )
     own = (
@@ -282,46 +294,50 @@ def _remaining_links(
     size: int,
     percent: int,
     separators: bytes,
-) -> DataFrame:
-    """Links between components that the comparison with the smallest member can't show."""
+) -> DataFrame | None:
+    """Links (a, b) between components that the comparison with the smallest member can't show; None
+    if no key has members of several components that haven't been compared."""
     least = least_agreement(percent / 100)
     # Two members of a key have been compared already.
     members = shared.where("n > 2").join(joined.toDF("rep", "component"), "rep", "left")
     members = members.withColumn("component", F.coalesce("component", "rep"))
     # The smallest member has been compared with all others of its key.
-    others = members.where("rep <> hub")
+    others = members.where("rep <> hub").select("key", "rep", "component")
+    sizes = others.groupBy("key", "component").agg(F.count("*").alias("n"))
     split = (
-        others.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("others"))
-        .where("low <> high")
-        .select("key", F.ceil(F.col("others") / BLOCK).alias("blocks"))
+        sizes.groupBy("key")
+        .agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("n"))
+        .where("most < n")
     )
-    members = others.join(split, "key").select("key", "rep", "component", "blocks")
-    members = members.withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
-    # Every pair of a key's blocks makes a group; a block meets itself, too.
-    placed = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("long") - 1)))
-    placed = placed.select(
-        "key",
-        "rep",
-        "component",
-        F.least("own", "with").alias("one"),
-        F.greatest("own", "with").alias("two"),
-        (F.col("own") > F.col("with")).cast("int").alias("half"),
-        (F.col("own") == F.col("with")).alias("alone"),
+    blocks = lambda n: F.ceil(n / BLOCK)
+    split = split.select("key", "largest", blocks(F.col("n")).alias("held_blocks"), blocks(F.col("n") - F.col("most")).alias("asking_blocks"))
+    split = work.write(split, "split")
+    if split.isEmpty():
+        return None
+    # Everyone outside a key's largest component asks all members of the key.
+    members = others.join(split, "key")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    of_rep = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
+    columns = ["key", "asking", "held", "asks", "rep", "component"]
+    asking = members.where("component <> largest").withColumns(
+        {"asking": of_rep("asking_blocks"), "held": every("held_blocks"), "asks": F.lit(True)}
     )
-    schema = "key long, one long, two long, half int, alone boolean, rep long, component long, bits array<long>"
+    held = members.withColumns({"asking": every("asking_blocks"), "held": of_rep("held_blocks"), "asks": F.lit(False)})
+    placed = asking.select(columns).unionByName(held.select(columns))
+    schema = "key long, asking long, held long, asks boolean, rep long, component long, bits array<long>"
     plausible = (
-        placed.join(classes.select("rep", "bits"), "rep")
-        .groupBy("key", "one", "two")
+        placed.join(classes.select("rep", "bits").hint("merge"), "rep")
+        .groupBy("key", "asking", "held")
         .applyInPandas(_plausible(least), schema)
     )
     plausible = work.write(plausible, "plausible")
-    sets = documents.join(plausible.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
+    ids = plausible.select(F.col("rep").alias("doc_id")).distinct()
+    sets = documents.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(
         _sets(size, separators), "doc_id long, shingles array<long>"
     )
     return (
-        plausible.join(sets.toDF("rep", "shingles"), "rep")
-        .groupBy("key", "one", "two")
+        plausible.join(sets.toDF("rep", "shingles").hint("merge"), "rep")
+        .groupBy("key", "asking", "held")
         .applyInPandas(_links(least, percent), "a long, b long")
         .distinct()
     )
