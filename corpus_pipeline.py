@@ -40,7 +40,7 @@ def token_codes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in files of directly addressable codes, and what is read back from them:
     doc_id, start, n_tokens, ids_crc32. Rows of one doc_id follow each other."""
     work = Workspace(spark)
-    write_codes(docs, f"{work.folder}/codes", word_bpe())
+    write_codes(docs, work.path("codes"), word_bpe())
     return read_digests(work.read("codes"))
 
 

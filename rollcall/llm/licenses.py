@@ -129,7 +129,8 @@ def license_scan(documents: DataFrame, phrases=PHRASES, notices=NOTICES) -> Data
         F.array_sort(F.collect_list(F.struct("start", "stop", "label", "k", "words"))).alias("spans")
     )
 
-    held = rows.join(spans, "row", "left").withColumn("words", _words(F.col("text")))
+    # Both sides grow with the corpus.
+    held = rows.join(spans.hint("merge"), "row", "left").withColumn("words", _words(F.col("text")))
     of_span = lambda s: F.slice(F.col("words"), s["start"] + 1, s["stop"] - s["start"])
     verified = F.transform(
         F.coalesce("spans", F.array().cast(dict(spans.dtypes)["spans"])),

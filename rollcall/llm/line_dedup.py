@@ -8,7 +8,8 @@ of the next, which adds up their numbers; keys that reach the limit there leave
 repeated keys and are never counted again. In the end all runs are merged once, and lines of
 repeated keys are anti-joined away from all documents but their keepers.
 
-Only DataFrame operations.
+The joins are merge joins at every size, since both of their sides grow with the corpus. Only
+DataFrame operations.
 """
 
 from __future__ import annotations
@@ -61,7 +62,7 @@ class Runs:
     def add(self, keys: DataFrame) -> None:
         """Anti-join a batch's keys with the repeated ones and keep the rest as a run."""
         if self.repeated:
-            keys = keys.join(self._union(self.repeated).select(*_KEY), _KEY, "left_anti")
+            keys = keys.join(self._union(self.repeated).select(*_KEY).hint("merge"), _KEY, "left_anti")
         name = self._write(keys, "run")
         for level in range(len(self.levels) + 1):
             if level == len(self.levels):
@@ -127,12 +128,12 @@ def without_repeated_lines(
         runs.add(own.groupBy(*_KEY).agg(F.count("*").alias("documents"), F.max("doc_id").alias("keeper")))
     keepers = work.write(runs.keepers(), "keepers")
 
-    gone = lines.join(keepers, _KEY).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    gone = lines.join(keepers.hint("merge"), _KEY).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     gone = gone.select("row", "place").distinct().groupBy("row").agg(F.collect_list("place").alias("gone"))
     gone = work.write(gone, "gone")
     places = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), "gone")
     kept = F.array_join(F.transform(places, lambda k: F.get("lines", k)), "\n")
-    split = rows.join(gone, "row", "left").withColumn("lines", F.split("text", "\n"))
+    split = rows.join(gone.hint("merge"), "row", "left").withColumn("lines", F.split("text", "\n"))
     return split.withColumn("n_lines", F.size("lines")).select(
         "doc_id",
         F.col("n_lines").cast("long").alias("n_lines"),

@@ -351,7 +351,7 @@ def without_near_duplicates(documents: DataFrame, work: Workspace, **options) ->
     found = work.write(near_duplicates(documents, work, **options).select("doc_id", "kept"), "kept")
     gone = found.where("not kept").select("doc_id").distinct().join(found.where("kept").select("doc_id"), "doc_id", "left_anti")
     gone = gone.withColumnRenamed("doc_id", "gone_id")
-    left = documents.join(gone, documents["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+    left = documents.join(gone.hint("merge"), documents["doc_id"].cast("long") == gone["gone_id"], "left_anti")
     # Only rows that share an id can repeat; the others pass by the window.
     copies = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
     copies = copies.select(F.col("doc_id").alias("copied_id"))

@@ -30,16 +30,22 @@ class Workspace:
             folder = tempfile.mkdtemp(prefix="rollcall-")
             spark.conf.set("spark.checkpoint.dir", folder)
         self.folder = f"{folder.rstrip('/')}/rollcall-{uuid.uuid4().hex}"
+        self.paths: dict[str, str] = {}
+
+    def path(self, name: str) -> str:
+        """A new path for a table; the name stands for it from now on."""
+        self.paths[name] = f"{self.folder}/{uuid.uuid4().hex[:8]}-{name}"
+        return self.paths[name]
 
     def write(self, frame: DataFrame, name: str) -> DataFrame:
         """The frame, written once and read back."""
-        frame.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        frame.write.parquet(self.path(name))
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+        return self.spark.read.parquet(self.paths[name])
 
     def remove(self, name: str) -> None:
         """Delete a table that no later job reads."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

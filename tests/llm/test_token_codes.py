@@ -48,8 +48,7 @@ ROWS = [
 
 @pytest.mark.parametrize("shard_ids", [1, 50, 1 << 20])
 def test_files_equal_the_tokenizer(documents, work, tokenizer, shard_ids):
-    path = f"{work.folder}/codes"
-    write_codes(documents(ROWS), path, word_bpe(), shard_ids=shard_ids, partitions=3)
+    write_codes(documents(ROWS), work.path("codes"), word_bpe(), shard_ids=shard_ids, partitions=3)
     want = {}
     for name, text in ROWS:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
@@ -68,5 +67,5 @@ def test_files_equal_the_tokenizer(documents, work, tokenizer, shard_ids):
 
 
 def test_no_documents(documents, work):
-    write_codes(documents([(1, "x")]).limit(0), f"{work.folder}/codes", word_bpe())
+    write_codes(documents([(1, "x")]).limit(0), work.path("codes"), word_bpe())
     assert read_digests(work.read("codes")).collect() == []
