@@ -41,7 +41,7 @@ def token_codes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id, start, n_tokens, ids_crc32. Rows of one doc_id follow each other."""
     work = Workspace(spark)
     write_codes(docs, work.path("codes"), word_bpe())
-    return read_digests(work.read("codes"))
+    return read_digests(work.read("codes"), work)
 
 
 STAGES = [

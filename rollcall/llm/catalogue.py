@@ -48,7 +48,7 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op2_token_codes(spark: SparkSession, folder: str) -> DataFrame:
     work = Workspace(spark)
     write_codes(table(spark, folder, "documents", "doc_id", "text"), work.path("codes"), word_bpe())
-    return read_digests(work.read("codes"))
+    return read_digests(work.read("codes"), work)
 
 
 @_query

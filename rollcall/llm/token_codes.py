@@ -17,9 +17,11 @@ all little-endian. Shards are rows of a Parquet table that Spark's committer wri
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,14 +30,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollcall.llm.tables import Workspace
 from rollcall.llm.words import text_column
 
 MAGIC = b"DAC1"
 WIDTH = 8
 #: Ids after which a shard is closed; a longer document has a shard of its own.
 SHARD_IDS = 1 << 20
-#: Bytes of text that are tokenized at once.
-SLICE = 4 << 20
+#: Bytes of text that are tokenized at once, and words whose ids are remembered.
+SLICE, KNOWN = 2 << 20, 1 << 19
 
 
 def encode(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -123,29 +126,55 @@ class Shard:
 
 
 class WordTokenizer:
-    """A tokenizer whose words never reach over ASCII white space, each word encoded once."""
+    """A tokenizer whose words never reach over ASCII white space, each word encoded once.
+
+    The ids of the first ``KNOWN`` distinct words are remembered, which are mostly the
+    frequent ones; others are encoded anew in each slice that has them.
+    """
 
     def __init__(self, path: str):
+        # Spark runs as many tasks as there are cores.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after another, and where they begin and end."""
+        encoded = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)))))
+        return np.fromiter((i for ids in encoded for i in ids), np.uint32, int(ends[-1])), ends
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has."""
         parts = pc.ascii_split_whitespace(text_column(texts))
         coded = parts.flatten().dictionary_encode()
-        encoded = [x.ids for x in self.tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter((i for x in encoded for i in x), np.uint32, int(lengths.sum()))
-        starts = np.cumsum(lengths) - lengths
-        word = np.asarray(coded.indices)
-        n = lengths[word]
-        ends = np.cumsum(n)
-        # Word w's ids lie at starts[w]; place p of the output is the (p - its word's first place)-th of them.
-        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[word] - (ends - n), n)]
+        names = coded.dictionary.to_pylist()
+        new = [name for name in names if name not in self.known]
+        ids, ends = self._encoded(new)
+        ids, ends = np.concatenate((self.ids, ids)), np.concatenate((self.ends, ends[1:] + self.ends[-1]))
+        first, room = len(self.known), max(0, KNOWN - len(self.known))
+        number = dict(zip(new, range(first, first + len(new)), strict=True))
+        own = np.fromiter((number[name] if name in number else self.known[name] for name in names), np.int64, len(names))
+        if room and new:
+            self.known.update(zip(new[:room], range(first, first + room), strict=False))
+            self.ids, self.ends = ids[: ends[len(self.known)]], ends[: len(self.known) + 1]
+
+        word = own[np.asarray(coded.indices)]
+        n = ends[word + 1] - ends[word]
+        places = np.concatenate(([0], np.cumsum(n)))
+        # The p-th id of all is the (p - its word's first place)-th of its word.
+        found = ids[np.arange(places[-1]) + np.repeat(ends[word] - places[:-1], n)]
         of_text = np.asarray(parts.offsets, np.int64)
-        places = np.concatenate(([0], ends))[of_text - of_text[0]]
-        return ids, np.diff(places)
+        return found, np.diff(places[of_text - of_text[0]])
+
+
+@lru_cache(maxsize=1)
+def tokenizer_of(path: str) -> WordTokenizer:
+    """One tokenizer per Python worker, which serves many tasks."""
+    return WordTokenizer(path)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -163,7 +192,7 @@ def _packed(path: str, end_id: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer, part = WordTokenizer(path), TaskContext.get().partitionId()
+        tokenizer, part = tokenizer_of(path), TaskContext.get().partitionId()
         names, counts, ids, held, number = [], [], [], 0, 0
 
         def closed() -> pa.RecordBatch:
@@ -226,21 +255,22 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield frame.astype({"doc_id": "Int64"})
 
 
-def shard_starts(shards: DataFrame) -> DataFrame:
+def shard_starts(shards: DataFrame, work: Workspace) -> DataFrame:
     """Column ``start``: ids of all shards before. Parts are added up first, so that the
-    window over everything has a row per part."""
+    window over everything has a row per part. The starts are written, so that Spark knows
+    their size and moves no codes while they are few."""
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("before"))
     within = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     places = shards.select("part", "number", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("start"))
     places = places.join(parts, "part").select("part", "number", (F.col("start") + F.col("before")).alias("start"))
-    return shards.join(places, ["part", "number"])
+    return shards.join(work.write(places, "starts"), ["part", "number"])
 
 
-def read_digests(shards: DataFrame) -> DataFrame:
+def read_digests(shards: DataFrame, work: Workspace) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from its shard."""
-    return shard_starts(shards).select("codes", "start").mapInPandas(
+    return shard_starts(shards, work).select("codes", "start").mapInPandas(
         _digests, "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
 

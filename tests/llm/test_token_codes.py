@@ -53,7 +53,7 @@ def test_files_equal_the_tokenizer(documents, work, tokenizer, shard_ids):
     for name, text in ROWS:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
         want.setdefault(name, []).append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-    got = sorted(read_digests(work.read("codes")).collect(), key=lambda r: r.start)
+    got = sorted(read_digests(work.read("codes"), work).collect(), key=lambda r: r.start)
     names = [r.doc_id for r in got]
     assert names == sorted(names, key=lambda x: (x is not None, x))
     start, seen = 0, {}
@@ -68,4 +68,4 @@ def test_files_equal_the_tokenizer(documents, work, tokenizer, shard_ids):
 
 def test_no_documents(documents, work):
     write_codes(documents([(1, "x")]).limit(0), work.path("codes"), word_bpe())
-    assert read_digests(work.read("codes")).collect() == []
+    assert read_digests(work.read("codes"), work).collect() == []
