@@ -3,7 +3,8 @@
 The SQL is common to Spark and DuckDB, which only name two functions differently.
 It covers every row of both tables; some rows are repeated, as older or identical
 copies. Orders of every seventh customer become guest purchases that match nobody,
-so some customers stay unmatched.
+so some customers stay unmatched. Both feeds have blank emails, and one customer in
+a thousand has no id.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ WITH k AS (
                    ELSE {array}(0) END) AS dup
   FROM {customer})
 SELECT
-  ' CRM' || lpad(cast(k as string), 8, '0') AS customer_id,
+  CASE WHEN k % 1000 <> 77 THEN ' CRM' || lpad(cast(k as string), 8, '0') END AS customer_id,
   'First' || cast(k % 97 as string) || ' ' AS first_name,
   'Last' || cast(k % 101 as string) AS last_name,
-  CASE WHEN k % 8 = 0 THEN NULL
+  CASE WHEN k % 40 = 16 THEN ''
+       WHEN k % 40 = 24 THEN '   '
+       WHEN k % 8 = 0 THEN NULL
        WHEN k % 8 = 1 THEN '  Cust' || cast(k as string) || ' @Example.COM '
        WHEN k % 40 = 3 THEN 'bad-address-' || cast(k as string)
        ELSE 'cust' || cast(k as string) || '@example.com' END AS email,
@@ -62,6 +65,8 @@ SELECT
   'TXN' || lpad(cast(o_orderkey as string), 9, '0') AS transaction_id,
   CASE WHEN o_custkey % 7 = 6
          THEN CASE WHEN o_orderkey % 2 = 0 THEN 'guest' || cast(o_custkey as string) || '@example.org' END
+       WHEN o_orderkey % 40 = 10 THEN ''
+       WHEN o_orderkey % 40 = 30 THEN ' '
        WHEN o_custkey % 8 = 0 OR o_orderkey % 10 = 0 OR o_custkey % 5 = 4 THEN NULL
        ELSE 'cust' || cast(o_custkey as string) || '@example.com' END AS customer_email,
   CASE WHEN o_custkey % 7 = 6 THEN 'Guest' ELSE 'First' || cast(o_custkey % 97 as string) END
@@ -97,7 +102,7 @@ FROM {customer}
 
 PHONE_CASES_SQL = """
 SELECT id, country,
-  CASE id % 24
+  CASE id % 30
     WHEN 0 THEN NULL
     WHEN 1 THEN ''
     WHEN 2 THEN '+4479' || n8
@@ -121,6 +126,12 @@ SELECT id, country,
     WHEN 20 THEN '079' || n8 || '+'
     WHEN 21 THEN '079+' || n8
     WHEN 22 THEN '-- ()'
+    WHEN 24 THEN '001415555' || substr(n8, 5, 4)
+    WHEN 25 THEN '00353 86 ' || substr(n8, 2, 7)
+    WHEN 26 THEN '00 49 151 ' || n8
+    WHEN 27 THEN '+353 0 86 ' || substr(n8, 2, 7)
+    WHEN 28 THEN '＋４４ ７９' || n8
+    WHEN 29 THEN '٠٧٩' || n8
     ELSE '0' || substr(n8, 1, 7) END AS phone
 FROM (
   SELECT c_custkey AS id, lpad(cast(c_custkey as string), 8, '0') AS n8,
@@ -131,7 +142,7 @@ FROM (
 
 DATE_CASES_SQL = """
 SELECT id,
-  CASE id % 12
+  CASE id % 13
     WHEN 0 THEN iso
     WHEN 1 THEN replace(iso, '-', '')
     WHEN 2 THEN NULL
@@ -143,6 +154,7 @@ SELECT id,
     WHEN 8 THEN substr(iso, 1, 4) || '-02-30'
     WHEN 9 THEN substr(iso, 1, 4) || '1301'
     WHEN 10 THEN iso || ' 10:00:00'
+    WHEN 11 THEN iso || 'T10:00:00'
     ELSE substr(iso, 3, 8) END AS text
 FROM (SELECT o_orderkey AS id, cast(cast(o_orderdate as date) as string) AS iso
       FROM {orders}) AS dated

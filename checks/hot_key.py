@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks.compare import local_session
-from checks.queries import Feeds
+from checks.queries import Feeds, output_folder
 from rollcall.operators import all_matches, best_match
-from rollcall.sources import stage
 
 HOT = "+447900000000"
 
@@ -35,14 +34,16 @@ def main() -> None:
     feeds = Feeds(spark, sf_dir)
     shared = F.xxhash64("customer_id") % 3 == 0
     phone = F.when(shared, HOT).otherwise(F.col("normalized_phone"))
-    crm = stage(feeds.crm.withColumn("normalized_phone", phone), "crm")
+    scratch = output_folder(spark)
+    crm = scratch.stage(feeds.crm.withColumn("normalized_phone", phone), "crm")
     everyone = {"normalized_phone": F.lit(HOT), "normalized_email": F.lit(None).cast("string")}
-    trx = stage(feeds.trx.withColumns(everyone), "trx")
+    trx = scratch.stage(feeds.trx.withColumns(everyone), "trx")
     for name, find in (("reduced", best_match), ("pairwise", pairwise)):
         for _ in range(2):
             start = time.perf_counter()
             find(crm, trx).write.format("noop").mode("overwrite").save()
             print(f"{name}: {time.perf_counter() - start:.2f} s", flush=True)
+    scratch.remove()
     spark.stop()
 
 

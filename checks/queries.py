@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -14,7 +15,7 @@ from rollcall import functions as fn
 from rollcall import operators as op
 from rollcall.rules import MASTER_PROFILE, MATCH_RULES, ProfileSpec
 from rollcall.sources import (
-    new_folder,
+    Scratch,
     read_crm,
     read_transactions,
     write_analytics,
@@ -27,6 +28,14 @@ EMAIL_RULE, PHONE_RULE, NAME_RULE = MATCH_RULES
 SPEC = ProfileSpec()
 
 
+def output_folder(spark: SparkSession) -> Scratch:
+    """A new folder for what a query writes; a local session without one gets its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.startswith("local["):
+        folder = tempfile.mkdtemp(prefix="checks-")
+    return Scratch(spark, folder)
+
+
 @dataclass(frozen=True)
 class Feeds:
     """The frames queries start from, each planned at most once."""
@@ -56,7 +65,8 @@ class Feeds:
 
     @cached_property
     def master(self) -> DataFrame:
-        return op.build_master(self.crm, self.trx, self.mapping, as_of=fixture.AS_OF)
+        mapping = op.reconcile(self.crm, self.trx, keyed=True)
+        return op.build_master(self.crm, self.trx, mapping, as_of=fixture.AS_OF)
 
     @cached_property
     def facts(self) -> DataFrame:
@@ -87,14 +97,14 @@ def _comparable(master: DataFrame) -> DataFrame:
 
 @query
 def crm_csv_roundtrip(feeds: Feeds) -> DataFrame:
-    path = new_folder(feeds.spark, "crm_csv")
+    path = f"{output_folder(feeds.spark).folder}/crm_csv"
     write_feed(feeds.crm_raw, path)
     return read_crm(feeds.spark, path)
 
 
 @query
 def trx_csv_roundtrip(feeds: Feeds) -> DataFrame:
-    path = new_folder(feeds.spark, "trx_csv")
+    path = f"{output_folder(feeds.spark).folder}/trx_csv"
     write_feed(feeds.trx_raw, path)
     return read_transactions(feeds.spark, path)
 
@@ -125,7 +135,11 @@ def normalize_phone(feeds: Feeds) -> DataFrame:
 @query
 def normalize_date(feeds: Feeds) -> DataFrame:
     cases = fixture.date_cases(feeds.spark, feeds.sf_dir)
-    return cases.select("id", "text", fn.parse_date(F.col("text")).alias("parsed"))
+    text = F.col("text")
+    optional = fn.parse_date(text, ("yyyy-MM-dd['T'HH:mm:ss]", "yyyyMMdd"))
+    return cases.select(
+        "id", "text", fn.parse_date(text).alias("parsed"), optional.alias("parsed_optional")
+    )
 
 
 @query
@@ -255,6 +269,11 @@ def match_threshold(feeds: Feeds) -> DataFrame:
     return op.all_matches(feeds.crm, feeds.trx, threshold=0.7)
 
 
+@query
+def match_key_counts(feeds: Feeds) -> DataFrame:
+    return op.match_key_counts(feeds.crm, feeds.trx)
+
+
 @query
 def best_match(feeds: Feeds) -> DataFrame:
     return op.best_match(feeds.crm, feeds.trx)
@@ -270,6 +289,12 @@ def reconcile(feeds: Feeds) -> DataFrame:
     return feeds.mapping
 
 
+@query
+def staged_reuse(feeds: Feeds) -> DataFrame:
+    scratch = output_folder(feeds.spark)
+    return op.reconcile(scratch.stage(feeds.crm, "crm"), scratch.stage(feeds.trx, "trx"))
+
+
 @query
 def match_stats(feeds: Feeds) -> DataFrame:
     return op.match_stats(feeds.mapping)
@@ -369,21 +394,20 @@ def master_sample(feeds: Feeds) -> DataFrame:
 
 @query
 def sink_master_parquet(feeds: Feeds) -> DataFrame:
-    return _comparable(write_master(feeds.master, new_folder(feeds.spark, "layers")))
+    return _comparable(write_master(feeds.master, output_folder(feeds.spark).folder))
 
 
 @query
 def sink_analytics_parquet(feeds: Feeds) -> DataFrame:
-    folder = new_folder(feeds.spark, "layers")
+    folder = output_folder(feeds.spark).folder
     return write_analytics(write_master(feeds.master, folder), folder)
 
 
 @query
 def sink_quality_json(feeds: Feeds) -> DataFrame:
     report = op.profile(feeds.crm, "CRM", at=fixture.AS_OF_TIME)
-    path = write_report(
-        report, new_folder(feeds.spark, "reports"), "CRM", fixture.AS_OF_TIME
-    )
+    folder = output_folder(feeds.spark).folder
+    path = write_report(report, folder, "CRM", fixture.AS_OF_TIME)
     written = feeds.spark.read.schema(report.schema).json(path, multiLine=True)
     return op.profile_lines(written)
 

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from rollcall.operators import master_sample, match_rate
 from rollcall.plans import master_feeds, publish
 from rollcall.rules import Settings
-from rollcall.sources import read_crm, read_transactions
+from rollcall.sources import Scratch, read_crm, read_transactions
 
 
 def _arguments() -> argparse.Namespace:
@@ -20,6 +20,10 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--transactions", required=True, help="purchase feed (CSV)")
     parser.add_argument("--layers", required=True, help="folder for both layers")
     parser.add_argument("--reports", required=True, help="folder for quality reports")
+    parser.add_argument(
+        "--scratch",
+        help="shared folder for intermediate tables (default: spark.checkpoint.dir)",
+    )
     parser.add_argument("--config", help="JSON file with thresholds and patterns")
     parser.add_argument(
         "--as-of", type=dt.date.fromisoformat, help="pin the reference day"
@@ -35,14 +39,15 @@ def main() -> None:
             settings = Settings.from_mapping(json.load(file))
     spark = SparkSession.builder.appName("rollcall").getOrCreate()
     try:
-        run = master_feeds(
-            read_crm(spark, args.crm),
-            read_transactions(spark, args.transactions),
-            settings,
-            as_of=args.as_of,
-            staged=True,
-        )
-        done = publish(run, args.layers, args.reports, settings)
+        with Scratch(spark, args.scratch) as scratch:
+            run = master_feeds(
+                read_crm(spark, args.crm),
+                read_transactions(spark, args.transactions),
+                settings,
+                as_of=args.as_of,
+                scratch=scratch,
+            )
+            done = publish(run, args.layers, args.reports, settings)
         done.stats.show()
         match_rate(done.master).show()
         master_sample(done.master).show(truncate=20)

@@ -71,9 +71,21 @@ def _domestic(region: PhoneRegion) -> _Rewrite:
     return _Rewrite(f"(?:{own_code}|{_number(region)})", groups=5, code=code)
 
 
+def _decimals() -> tuple[str, str]:
+    """All decimal digits but the ASCII ones, and the ASCII digit of each; wide plus signs."""
+    other = [chr(c) for c in range(0x80, 0x10000) if chr(c).isdecimal()]
+    return "".join(other) + "\uff0b\ufe62", "".join(str(int(c)) for c in other) + "++"
+
+
+_DECIMALS = _decimals()
+
+
 def dialled(value: Column) -> Column:
-    """A phone number as dialled: digits and ``+`` only."""
-    return F.regexp_replace(value, "[^0-9+]", "")
+    """A phone number as dialled: digits and ``+`` only, digits of any script as ASCII."""
+    ascii_digits = F.when(
+        F.octet_length(value) > F.char_length(value), F.translate(value, *_DECIMALS)
+    ).otherwise(value)
+    return F.regexp_replace(ascii_digits, "[^0-9+]", "")
 
 
 def international(
@@ -82,25 +94,26 @@ def international(
     """International form of a dialled number, using the country as context.
 
     An empty number is NULL. Numbers with a leading ``+`` keep it and lose a stray
-    trunk prefix. Numbers of a known country get its calling code, even when they
-    cannot be a complete number. Anything else is returned as it is.
+    trunk prefix. In a known country, its dial-out prefix and a known calling code
+    become ``+`` and that code; other numbers get the country's own code, even when
+    they cannot be a complete number. Anything else is returned as it is.
     """
     normal = F.when(number == "", F.lit(None).cast("string")).when(
         number.startswith("+"), _with_code(r"\++", regions)(number)
     )
+    codes = "|".join(region.calling_code for region in regions)
     for region in regions:
         if region.country is None:
             continue
         here, out = country == region.country, region.dial_out_prefix
         abroad = number.startswith(out) & ~number.startswith(f"{out}0")
-        for applies, rewrite in (
-            (here & abroad, _with_code(out, regions)),
-            (here, _domestic(region)),
-        ):
+        # Lengths no region has still leave the calling code that was dialled, if
+        # there are enough digits behind it for a number.
+        some = rf"^{out}(?=(?:{codes})\d{{4}})"
+        outside = F.regexp_replace(_with_code(out, regions)(number), some, "+")
+        for applies, rewritten in ((here & abroad, outside), (here, _domestic(region)(number))):
             # What has no plus after that is no possible number, but keeps a code.
-            coded = F.regexp_replace(
-                rewrite(number), r"^(?!\+)", f"+{region.calling_code}"
-            )
+            coded = F.regexp_replace(rewritten, r"^(?!\+)", f"+{region.calling_code}")
             normal = normal.when(applies, coded)
     return normal.otherwise(number)
 

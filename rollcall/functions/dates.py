@@ -16,8 +16,10 @@ def parse_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     for pattern in formats:
         parsed = F.try_to_date(value, pattern)
         # A failed parse costs an exception inside the JVM. Text that lacks the
-        # separators of a format cannot fit it, so it is not even tried.
-        for separator in sorted({c for c in pattern if not c.isalnum()}):
-            parsed = F.when(value.contains(separator), parsed)
+        # separators of a format cannot fit it, so it is not even tried. Quoted and
+        # optional parts may hold separators that the text need not show.
+        if not set("'[]") & set(pattern):
+            for separator in sorted({c for c in pattern if not c.isalnum()}):
+                parsed = F.when(value.contains(separator), parsed)
         attempts.append(parsed)
     return F.coalesce(*attempts)

@@ -21,14 +21,10 @@ def reference_day(as_of: AsOf = None) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 
-def percentage_sql(part: str, whole: str) -> str:
+def percentage(part: Column | str, whole: Column | str) -> Column:
     """``100 * part / whole`` to two places; 0 when there is nothing to divide by."""
-    return f"CASE WHEN {whole} > 0 THEN round({part} * 100 / {whole}, 2) ELSE 0.0D END"
-
-
-def percentage(part: str, whole: str) -> Column:
-    """:func:`percentage_sql` of two columns."""
-    return F.expr(percentage_sql(part, whole))
+    part, whole = (F.col(x) if isinstance(x, str) else x for x in (part, whole))
+    return F.when(whole > 0, F.round(part * 100 / whole, 2)).otherwise(0.0)
 
 
 def match_quality(confidence: Column) -> Column:

@@ -18,6 +18,7 @@ from rollcall.operators.mastering import (
 from rollcall.operators.matching import (
     all_matches,
     best_match,
+    match_key_counts,
     match_pairs,
     match_rate,
     match_stats,
@@ -49,6 +50,7 @@ __all__ = [
     "latest_per_key",
     "latest_transaction",
     "master_sample",
+    "match_key_counts",
     "match_pairs",
     "match_rate",
     "match_stats",

@@ -9,12 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions import dialled, email, international, parse_date
+from rollcall.operators.keys import unused
 from rollcall.rules import Settings
+from rollcall.schemas import CRM_RAW, TRANSACTION_RAW
 
 
 def tidy_crm(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Trim, normalise and type the customer feed, row by row."""
-    return _prepared(raw).select(
+    number = unused(raw, "_dialled")
+    return _prepared(raw, number).select(
         F.trim("customer_id").alias("customer_id"),
         F.trim("first_name").alias("first_name"),
         F.trim("last_name").alias("last_name"),
@@ -26,13 +29,14 @@ def tidy_crm(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
         _date("registration_date", settings),
         _date("last_updated", settings),
         email(F.col("email")).alias("normalized_email"),
-        _phone(settings),
+        _phone(number, settings),
     )
 
 
 def tidy_transactions(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Trim, normalise and type the purchase feed, row by row."""
-    return _prepared(raw).select(
+    number = unused(raw, "_dialled")
+    return _prepared(raw, number).select(
         F.trim("transaction_id").alias("transaction_id"),
         "customer_email",
         F.trim("first_name").alias("first_name"),
@@ -43,19 +47,19 @@ def tidy_transactions(raw: DataFrame, settings: Settings = Settings()) -> DataFr
         "country",
         _date("purchase_date", settings),
         email(F.col("customer_email")).alias("normalized_email"),
-        _phone(settings),
+        _phone(number, settings),
     )
 
 
-def _prepared(raw: DataFrame) -> DataFrame:
+def _prepared(raw: DataFrame, dialled_as: str) -> DataFrame:
     """What the phone rule looks at more than once, computed once."""
     return raw.withColumns(
-        {"country": F.trim("country"), "_dialled": dialled(F.col("phone"))}
+        {"country": F.trim("country"), dialled_as: dialled(F.col("phone"))}
     )
 
 
-def _phone(settings: Settings) -> Column:
-    number = international(F.col("_dialled"), F.col("country"), settings.phone_regions)
+def _phone(dialled_as: str, settings: Settings) -> Column:
+    number = international(F.col(dialled_as), F.col("country"), settings.phone_regions)
     return number.alias("normalized_phone")
 
 
@@ -72,17 +76,16 @@ def latest_per_key(
     default), so the choice never depends on how the data is partitioned. Rows
     without a key form one group. Spark limits every group to one row per input
     task before it shuffles, so a key that holds a large share of all rows costs
-    no more than any other.
+    no more than any other. A hash leads the key, as in :func:`hash_led`.
     """
     if ties is None:
         ties = [name for name in df.columns if name not in (key, newest)]
-    order = Window.partitionBy(key).orderBy(
+    order = Window.partitionBy(F.xxhash64(key), key).orderBy(
         F.col(newest).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]
     )
+    rank = unused(df, "_rank")
     return (
-        df.withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
+        df.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(rank)
     )
 
 
@@ -108,7 +111,8 @@ def clean_crm(
     at: dt.datetime | Column | None = None,
 ) -> DataFrame:
     """The customer feed: tidied, one row per customer, with lineage."""
-    latest = latest_per_key(tidy_crm(raw, settings), "customer_id", "last_updated")
+    ties = [c for c in CRM_RAW.names if c not in ("customer_id", "last_updated")]
+    latest = latest_per_key(tidy_crm(raw, settings), "customer_id", "last_updated", ties)
     return with_lineage(latest, "CRM", at)
 
 
@@ -118,7 +122,9 @@ def clean_transactions(
     at: dt.datetime | Column | None = None,
 ) -> DataFrame:
     """The purchase feed: tidied, one row per transaction, with lineage."""
+    # Normalised columns follow from the others, so they decide nothing.
+    ties = [c for c in TRANSACTION_RAW.names if c not in ("transaction_id", "purchase_date")]
     latest = latest_per_key(
-        tidy_transactions(raw, settings), "transaction_id", "purchase_date"
+        tidy_transactions(raw, settings), "transaction_id", "purchase_date", ties
     )
     return with_lineage(latest, "TRX", at)

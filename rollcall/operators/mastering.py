@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import (
+    blank_to_null,
     data_quality_score,
     is_active,
     match_quality,
@@ -17,33 +19,42 @@ from rollcall.functions import (
 )
 from rollcall.functions.derived import AsOf
 from rollcall.operators.cleaning import with_lineage
-from rollcall.operators.keys import HASH, hash_led
+from rollcall.operators.keys import ID_KEY, hash_led, id_key
 from rollcall.operators.purchases import email_facts
 from rollcall.rules import FieldRule, Settings
-from rollcall.schemas import ANALYTICS_COLUMNS, MASTER_COLUMNS, SAMPLE_COLUMNS
+from rollcall.schemas import (
+    ANALYTICS_COLUMNS,
+    MAPPING_COLUMNS,
+    MASTER_COLUMNS,
+    SAMPLE_COLUMNS,
+)
 
 
-def attach_facts(customers: DataFrame, trx: DataFrame, sample_size: int) -> DataFrame:
+def attach_facts(
+    customers: DataFrame, trx: DataFrame, sample_size: int, match_blank: bool = False
+) -> DataFrame:
     """Left join purchase facts (``trx``) to ``crm``-aliased customers by email.
 
     Customers without an email match nothing, but a plain outer join would send
     all of them to one task. They get a join key of their own instead, which
     spreads them; the last part of the condition keeps that key from matching.
+    Blank emails count as missing, as they do in the email rule, unless
+    ``match_blank`` is set.
 
     An email may be shared by very many customers. Spark splits such a partition
     when both sides were shuffled for this join alone, so the facts are hashed anew
     instead of being joined on the partitioning of their aggregation.
     """
-    spread = F.concat(F.lit("no email "), F.coalesce("crm.customer_id", F.lit("")))
-    key = F.coalesce("crm.normalized_email", spread)
-    keyed = customers.withColumns({"_join_key": key, "_join_hash": F.xxhash64(key)})
+    email = F.col("crm.normalized_email")
+    email = email if match_blank else blank_to_null(email)
+    key = F.coalesce(email, F.concat(F.lit("no email "), F.coalesce("crm.customer_id", F.lit(""))))
+    facts, keys = hash_led(email_facts(trx, sample_size, match_blank), ["normalized_email"])
     condition = (
-        (F.col("_join_hash") == F.col(f"trx.{HASH}"))
-        & (F.col("_join_key") == F.col("trx.normalized_email"))
-        & F.col("crm.normalized_email").isNotNull()
+        (F.xxhash64(key) == F.col(f"trx.{keys[0]}"))
+        & (key == F.col("trx.normalized_email"))
+        & email.isNotNull()
     )
-    facts, _ = hash_led(email_facts(trx, sample_size), ["normalized_email"])
-    return keyed.join(facts.alias("trx"), condition, "left")
+    return customers.join(facts.alias("trx"), condition, "left")
 
 
 def survive(rules: Sequence[FieldRule]) -> dict[str, Column]:
@@ -57,12 +68,18 @@ def survivorship(
     mapping: DataFrame,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """The merged record before derived fields."""
-    customers = mapping.alias("map").join(
-        crm.alias("crm"),
-        F.col("map.crm_customer_id") == F.col("crm.customer_id"),
-        "left",
+    """The merged record before derived fields.
+
+    A customer without an id keeps its fields, too. A mapping that ``reconcile``
+    has ``keyed`` is joined where its rows are.
+    """
+    if not set(ID_KEY) <= set(mapping.columns):
+        mapping = mapping.select(*MAPPING_COLUMNS, *id_key("crm_customer_id"))
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(f"map.{name}") == own for name, own in zip(ID_KEY, id_key("crm.customer_id"), strict=True)],
     )
+    customers = mapping.alias("map").join(crm.alias("crm"), same, "left")
     fields = {
         "gold_customer_id": F.col("map.gold_customer_id"),
         **survive(settings.field_rules),
@@ -75,7 +92,9 @@ def survivorship(
     }
     wanted = [c for c in MASTER_COLUMNS if c in fields]
     wanted += [c for c in fields if c not in MASTER_COLUMNS]
-    merged = attach_facts(customers, trx, settings.sample_size)
+    by_email = [rule for rule in settings.match_rules if rule.keys == ("normalized_email",)]
+    match_blank = any(rule.match_blank for rule in by_email)
+    merged = attach_facts(customers, trx, settings.sample_size, match_blank)
     return merged.select(*[fields[name].alias(name) for name in wanted])
 
 

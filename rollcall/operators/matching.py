@@ -10,17 +10,17 @@ time the two sides meet.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions import all_present, blank_to_null, percentage
-from rollcall.operators.keys import hash_led
+from rollcall.operators.keys import ID_KEY, hash_led, id_key
 from rollcall.rules import MATCH_RULES, MatchRule
 from rollcall.schemas import MAPPING_COLUMNS, PAIR_COLUMNS
 
 _RANK = "_rule_rank"
+_SHOWN = "_shown"
 
 
 def gold_id(customer_id: Column) -> Column:
@@ -37,44 +37,76 @@ def _key_parts(rule: MatchRule) -> list[Column]:
 
 def match_pairs(crm: DataFrame, trx: DataFrame, rule: MatchRule) -> DataFrame:
     """All (customer, transaction) pairs that agree on every key of ``rule``."""
-    names = [f"_key{i}" for i in range(len(rule.keys))]
+    return all_matches(crm, trx, [rule])
 
-    def keyed(df: DataFrame, *extra: Column) -> DataFrame:
-        parts = [c.alias(n) for c, n in zip(_key_parts(rule), names, strict=True)]
-        return df.select(*extra, *parts).filter(all_present([F.col(n) for n in names]))
 
-    shown = F.concat_ws("|", *[F.col(c) for c in rule.label_columns])
-    customers, keys = hash_led(
-        keyed(
-            crm, F.col("customer_id").alias("crm_customer_id"), shown.alias("match_key")
-        ),
-        names,
-    )
-    transactions, _ = hash_led(keyed(trx, F.col("transaction_id")), names)
-    return (
-        customers.join(transactions, keys, "inner")
-        .withColumns(
-            {
-                "match_type": F.lit(rule.name),
-                "confidence_score": F.lit(float(rule.confidence)),
-            }
-        )
-        .select(*PAIR_COLUMNS)
+def all_matches(
+    crm: DataFrame,
+    trx: DataFrame,
+    rules: Sequence[MatchRule] = MATCH_RULES,
+    threshold: float = 0.0,
+) -> DataFrame:
+    """The pairs of every rule whose confidence reaches ``threshold``.
+
+    All rules share one join. The result is as large as the question makes it: a
+    key of many customers and many transactions gives all of their pairs.
+    :func:`match_key_counts` tells beforehand how many.
+    """
+    ranked = _ranked(rules, threshold)
+    if not ranked:
+        texts = [F.lit(None).cast("string").alias(c) for c in PAIR_COLUMNS[1:-1]]
+        score = F.lit(0.0).alias(PAIR_COLUMNS[-1])
+        ids = F.col("customer_id").alias(PAIR_COLUMNS[0])
+        return crm.select(ids, *texts, score).filter(F.lit(False))
+    transactions = _rule_keys(trx, "transaction_id", ranked)
+    parts = [c for c in transactions.columns if c != "transaction_id"]
+    customers, keys = hash_led(_rule_keys(crm, "customer_id", ranked, shown=True), parts)
+    transactions, _ = hash_led(transactions, parts)
+    kind, score = _kind_and_score(ranked)
+    return customers.join(transactions, keys, "inner").select(
+        F.col("customer_id").alias("crm_customer_id"),
+        "transaction_id",
+        F.col(_SHOWN).alias("match_key"),
+        kind.alias("match_type"),
+        score.alias("confidence_score"),
     )
 
 
-def all_matches(
+def match_key_counts(
     crm: DataFrame,
     trx: DataFrame,
     rules: Sequence[MatchRule] = MATCH_RULES,
     threshold: float = 0.0,
 ) -> DataFrame:
-    """The pairs of every rule whose confidence reaches ``threshold``."""
-    kept = _ranked(rules, threshold)
-    if not kept:
-        return match_pairs(crm, trx, rules[0]).filter(F.lit(False))
-    pairs = [match_pairs(crm, trx, rule) for rule in kept]
-    return reduce(DataFrame.unionByName, pairs)
+    """Customers, transactions and pairs of every key that both sides have, per rule.
+
+    Both sides are counted by key before they meet, so that no pair is built.
+    """
+    ranked = _ranked(rules, threshold)
+    if not ranked:
+        counts = [F.lit(0).cast("long").alias(c) for c in ("customers", "transactions", "pairs")]
+        texts = [F.lit(None).cast("string").alias(c) for c in ("match_type", "match_key")]
+        return crm.select(*texts, *counts).filter(F.lit(False))
+    customers = _rule_keys(crm, "customer_id", ranked)
+    parts = [c for c in customers.columns if c != "customer_id"]
+
+    def counted(df: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
+        keyed, keys = hash_led(df, parts)
+        return keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys
+
+    ours, keys = counted(customers, "customers")
+    theirs, _ = counted(_rule_keys(trx, "transaction_id", ranked), "transactions")
+    label = F.lit(None).cast("string")
+    for rank, rule in enumerate(ranked):
+        own = F.concat_ws("|", *parts[1 : 1 + len(rule.keys)])
+        label = F.when(F.col(_RANK) == rank, own).otherwise(label)
+    return ours.join(theirs, keys, "inner").select(
+        _kind_and_score(ranked)[0].alias("match_type"),
+        label.alias("match_key"),
+        "customers",
+        "transactions",
+        (F.col("customers") * F.col("transactions")).alias("pairs"),
+    )
 
 
 # --- one transaction per customer ---------------------------------------------
@@ -90,8 +122,10 @@ def _ranked(rules: Sequence[MatchRule], threshold: float) -> list[MatchRule]:
     return sorted(kept, key=lambda r: (r.confidence, r.priority), reverse=True)
 
 
-def _rule_keys(df: DataFrame, id_column: str, ranked: Sequence[MatchRule]) -> DataFrame:
-    """One narrow row per rule a row has a complete key for.
+def _rule_keys(
+    df: DataFrame, id_column: str, ranked: Sequence[MatchRule], shown: bool = False
+) -> DataFrame:
+    """One narrow row per rule a row has a complete key for; ``shown`` adds its label.
 
     All rules share one scan and one shuffle: the rank of the rule is part of the
     key, and rules with fewer key columns are padded with a constant.
@@ -102,9 +136,11 @@ def _rule_keys(df: DataFrame, id_column: str, ranked: Sequence[MatchRule]) -> Da
     def entry(rank: int, rule: MatchRule) -> Column:
         parts = [part.cast("string") for part in _key_parts(rule)]
         parts += [F.lit("")] * (width - len(parts))
+        label = F.concat_ws("|", *[F.col(c) for c in rule.label_columns])
         return F.struct(
             F.lit(rank).alias(_RANK),
             *[part.alias(name) for part, name in zip(parts, names, strict=True)],
+            *([label.alias(_SHOWN)] if shown else []),
         )
 
     entries = F.array(*[entry(rank, rule) for rank, rule in enumerate(ranked)])
@@ -131,36 +167,48 @@ def _candidates(
     # A key may belong to very many customers. Spark splits such a partition of a
     # join, but only if both sides were shuffled for that join and nothing else;
     # hashing the reduced keys anew parts it from the shuffle of the aggregate.
-    reduced, _ = hash_led(transactions.groupBy(*keys).agg(lowest), parts)
+    reduced = transactions.groupBy(*keys).agg(lowest).drop(keys[0])
+    reduced, _ = hash_led(reduced, parts)
     return customers.join(reduced, keys, "inner").select(
         "customer_id", _RANK, "transaction_id"
     )
 
 
 def _strongest(candidates: DataFrame) -> DataFrame:
-    keyed, keys = hash_led(candidates, ["customer_id"])
+    """Grouped by what is never NULL, so that a later join on the id, a missing one
+    included, finds the rows where they are."""
     best = F.min(F.struct(_RANK, "transaction_id"))
+    customer_id = F.when(~F.col("_id_missing"), F.col("_id_text")).alias("customer_id")
     return (
-        keyed.groupBy(*keys)
+        candidates.select(*id_key("customer_id"), _RANK, "transaction_id")
+        .groupBy(*ID_KEY)
         .agg(best.alias("_best"))
-        .select("customer_id", f"_best.{_RANK}", "_best.transaction_id")
+        .select(*ID_KEY, customer_id, f"_best.{_RANK}", "_best.transaction_id")
     )
 
 
-def _as_mapping(best: DataFrame, ranked: Sequence[MatchRule]) -> DataFrame:
-    kind = F.lit(None).cast("string")
-    score = F.lit(0.0)
+def _kind_and_score(ranked: Sequence[MatchRule]) -> tuple[Column, Column]:
+    """Name and confidence of the rule of a rank."""
+    kind, score = F.lit(None).cast("string"), F.lit(0.0)
     for rank, rule in enumerate(ranked):
         here = F.col(_RANK) == rank
         kind = F.when(here, rule.name).otherwise(kind)
         score = F.when(here, float(rule.confidence)).otherwise(score)
+    return kind, score
+
+
+def _as_mapping(
+    best: DataFrame, ranked: Sequence[MatchRule], extra: Sequence[str] = ()
+) -> DataFrame:
+    kind, score = _kind_and_score(ranked)
     return best.select(
         F.col("customer_id").alias("crm_customer_id"),
         "transaction_id",
         kind.alias("match_type"),
         score.alias("confidence_score"),
         gold_id(F.col("customer_id")).alias("gold_customer_id"),
-    ).select(*MAPPING_COLUMNS)
+        *extra,
+    ).select(*MAPPING_COLUMNS, *extra)
 
 
 def best_match(
@@ -179,8 +227,10 @@ def best_match(
 
 def unmatched_customers(crm: DataFrame, matched: DataFrame) -> DataFrame:
     """Customers that do not appear in ``matched``, in mapping layout."""
-    ids = matched.select(F.col("crm_customer_id").alias("customer_id"))
-    alone = crm.select("customer_id").join(ids, "customer_id", "left_anti")
+    known = matched.select(*id_key("crm_customer_id"))
+    alone = crm.select("customer_id", *id_key("customer_id")).join(
+        known, list(ID_KEY), "left_anti"
+    )
     return _as_mapping(
         alone.withColumns(
             {_RANK: F.lit(None).cast("int"), "transaction_id": F.lit(None).cast("string")}
@@ -194,12 +244,15 @@ def reconcile(
     trx: DataFrame,
     rules: Sequence[MatchRule] = MATCH_RULES,
     threshold: float = 0.5,
+    keyed: bool = False,
 ) -> DataFrame:
     """One row per customer: the strongest match, or none with confidence 0.
 
     Every customer also enters as a "no match" candidate of the weakest rank.
     Picking the strongest candidate then keeps unmatched customers, without an
-    anti join and a union of its result.
+    anti join and a union of its result. ``keyed`` adds the columns the rows are
+    grouped by, which saves :func:`~rollcall.operators.mastering.survivorship`
+    their shuffle.
     """
     ranked = _ranked(rules, threshold)
     nobody = crm.select(
@@ -208,7 +261,8 @@ def reconcile(
         F.lit(None).cast("string").alias("transaction_id"),
     )
     found = _candidates(crm, trx, ranked)
-    return _as_mapping(_strongest(found.unionByName(nobody)), ranked)
+    strongest = _strongest(found.unionByName(nobody))
+    return _as_mapping(strongest, ranked, ID_KEY if keyed else ())
 
 
 # --- figures ------------------------------------------------------------------
@@ -218,9 +272,9 @@ def match_stats(mapping: DataFrame) -> DataFrame:
     """Customers and share of all customers per match type (NULL: unmatched)."""
     counts = mapping.groupBy("match_type").agg(F.count(F.lit(1)).alias("count"))
     # One row per match type by now, so the grand total is a tiny sum.
-    total = F.sum("count").over(Window.partitionBy())
-    return counts.withColumn("_total", total).select(
-        "match_type", "count", percentage("count", "_total").alias("percentage")
+    total = F.sum("count").over(Window.partitionBy()).alias("total")
+    return counts.select("match_type", "count", total).select(
+        "match_type", "count", percentage("count", "total").alias("percentage")
     )
 
 

@@ -6,18 +6,18 @@ aggregation by key that is combined before it is shuffled, so a repeated key (or
 a NULL one) never piles up in one task.
 
 Figures are first counted into plain columns (``_rows``, ``_full_<column>``, ...)
-and then laid out by SQL expressions, one string per line of the result.
+and then laid out as structs, one per line of the result.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.functions.derived import percentage_sql
+from rollcall.functions import percentage
 from rollcall.operators.cleaning import ingestion_time
 from rollcall.rules import ProfileSpec
 
@@ -38,26 +38,27 @@ def _name(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
-def _text(value: str | None) -> str:
-    if value is None:
-        return "CAST(NULL AS STRING)"
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _figure(name: str) -> Column:
+    return F.col(_name(name))
 
 
-def _struct(values: Sequence[str], names: Sequence[str]) -> str:
-    pairs = zip(values, names, strict=True)
-    return "struct(" + ", ".join(f"{v} AS {_name(n)}" for v, n in pairs) + ")"
+def _struct(values: Iterable[Column], names: Iterable[str]) -> Column:
+    return F.struct(*[v.alias(n) for v, n in zip(values, names, strict=True)])
 
 
-def _lines(row: DataFrame, first: str, entries: dict[str, list[str]], names) -> DataFrame:
+def _null(kind: str) -> Column:
+    return F.lit(None).cast(kind)
+
+
+def _lines(row: DataFrame, first: str, entries: dict[str, list[Column]], names) -> DataFrame:
     """One output row per entry: its label and its figures."""
     layout = (first, *names)
-    structs = [_struct([_text(k), *v], layout) for k, v in entries.items()]
+    structs = [_struct([F.lit(k), *v], layout) for k, v in entries.items()]
     if not structs:  # keep the layout, without rows
-        blank = ["CAST(NULL AS STRING)"] + ["CAST(0 AS BIGINT)"] * (len(names) - 1)
-        structs = [_struct([*blank, "0.0D"], layout)]
+        counts = [F.lit(0).cast("long")] * (len(names) - 1)
+        structs = [_struct([_null("string"), *counts, F.lit(0.0)], layout)]
         row = row.filter(F.lit(False))
-    return row.selectExpr(f"inline(array({', '.join(structs)}))")
+    return row.select(F.inline(F.array(*structs)))
 
 
 def _distinct(names: Sequence[str]) -> list[str]:
@@ -81,9 +82,9 @@ def _count_filled(columns: Sequence[str]) -> list[Column]:
     return [F.count(_name(c)).alias(f"_full_{c}") for c in columns]
 
 
-def _filled(column: str) -> list[str]:
-    full = _name(f"_full_{column}")
-    return [full, "_rows", f"_rows - {full}", percentage_sql(full, "_rows")]
+def _filled(column: str) -> list[Column]:
+    full, rows = _figure(f"_full_{column}"), F.col("_rows")
+    return [full, rows, rows - full, percentage(full, rows)]
 
 
 def _count_valid(formats: Formats) -> list[Column]:
@@ -95,9 +96,9 @@ def _count_valid(formats: Formats) -> list[Column]:
     return counts
 
 
-def _valid(label: str) -> list[str]:
-    good, some = _name(f"_good_{label}"), _name(f"_some_{label}")
-    return [good, some, f"{some} - {good}", percentage_sql(good, some)]
+def _valid(label: str) -> list[Column]:
+    good, some = _figure(f"_good_{label}"), _figure(f"_some_{label}")
+    return [good, some, some - good, percentage(good, some)]
 
 
 def _count_groups(position: int = 0, width: int = 1) -> list[Column]:
@@ -115,12 +116,11 @@ def _count_groups(position: int = 0, width: int = 1) -> list[Column]:
     ]
 
 
-def _unique(position: int = 0) -> list[str]:
+def _unique(position: int = 0) -> list[Column]:
     rows, distinct, repeated = (
-        f"_{figure}_{position}" for figure in ("keyed", "distinct", "repeated")
+        F.col(f"_{figure}_{position}") for figure in ("keyed", "distinct", "repeated")
     )
-    share = percentage_sql(distinct, rows)
-    return [rows, distinct, f"{rows} - {distinct}", repeated, share]
+    return [rows, distinct, rows - distinct, repeated, percentage(distinct, rows)]
 
 
 # --- single checks ------------------------------------------------------------
@@ -131,7 +131,7 @@ def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     present = set(df.columns)
     wanted = _distinct(columns)
     row = df.agg(_size("_rows"), *_count_filled([c for c in wanted if c in present]))
-    unknown = ["CAST(NULL AS BIGINT)", "_rows", "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)"]
+    unknown = [_null("long"), F.col("_rows"), _null("long"), _null("double")]
     entries = {c: _filled(c) if c in present else unknown for c in wanted}
     return _lines(row, "column_name", entries, _COMPLETENESS)
 
@@ -189,10 +189,10 @@ def profile(
     dated = next((c for c in spec.date_columns if c in present), None)
 
     counts = [_size("_rows"), *_count_filled(columns), *_count_valid(formats)]
-    oldest = newest = "CAST(NULL AS DATE)"
+    oldest = newest = _null("date")
     if dated is not None:
-        oldest, newest = "_oldest", "_newest"
-        counts += [F.min(_name(dated)).alias(oldest), F.max(_name(dated)).alias(newest)]
+        oldest, newest = F.col("_oldest"), F.col("_newest")
+        counts += [F.min(_name(dated)).alias("_oldest"), F.max(_name(dated)).alias("_newest")]
     row = df.agg(*counts)
     if key is not None:
         groups = df.groupBy(_name(key)).agg(_size("_n"), F.lit(0).alias("_set"))
@@ -203,7 +203,8 @@ def profile(
     complete = {c: _struct(_filled(c), _COMPLETENESS) for c in columns}
     valid = {f[0]: _struct(_valid(f[0]), valid_names) for f in formats}
     unique = {key: _struct(_unique(), _UNIQUENESS)} if key is not None else {}
-    fresh = _struct([_text(dated), oldest, newest], ("column", "min_date", "max_date"))
+    name = F.lit(dated).cast("string")
+    fresh = _struct([name, oldest, newest], ("column", "min_date", "max_date"))
     sections = {
         "completeness": _struct(complete.values(), complete),
         "format_validity": _struct(valid.values(), valid),
@@ -215,7 +216,7 @@ def profile(
         F.col("_rows").alias("total_records"),
         ingestion_time(at).alias("generated_at"),
         F.lit(len(present)).alias("column_count"),
-        *[F.expr(sql).alias(name) for name, sql in sections.items()],
+        *[section.alias(name) for name, section in sections.items()],
     )
 
 
@@ -232,21 +233,24 @@ def profile_lines(report: DataFrame) -> DataFrame:
     """
     layout = ("section", "column_name", "metric", "metric_value", "metric_date")
 
-    def line(section: str, column: str, metric: str, figure="NULL", date="NULL") -> str:
-        values = (f"CAST({figure} AS DOUBLE)", f"CAST({date} AS DATE)")
-        return _struct([_text(section), column, _text(metric), *values], layout)
+    def line(section: str, column: Column, metric: str, figure=None, date=None) -> Column:
+        values = (
+            _null("double") if figure is None else F.col(figure).cast("double"),
+            _null("date") if date is None else F.col(date).cast("date"),
+        )
+        return _struct([F.lit(section), column, F.lit(metric), *values], layout)
 
     schema = report.schema
-    lines = [line("summary", _text(None), m, m) for m in ("total_records", "column_count")]
+    lines = [line("summary", _null("string"), m, m) for m in ("total_records", "column_count")]
     for section in ("completeness", "format_validity", "uniqueness"):
         for entry in schema[section].dataType.fields:
             path = f"{section}.{_name(entry.name)}"
             lines += [
-                line(section, _text(entry.name), m, f"{path}.{m}")
+                line(section, F.lit(entry.name), m, f"{path}.{m}")
                 for m in entry.dataType.names
             ]
     lines += [
-        line("freshness", "freshness.column", bound, date=f"freshness.{bound}")
+        line("freshness", F.col("freshness.column"), bound, date=f"freshness.{bound}")
         for bound in ("min_date", "max_date")
     ]
-    return report.selectExpr("source", f"inline(array({', '.join(lines)}))")
+    return report.select("source", F.inline(F.array(*lines)))

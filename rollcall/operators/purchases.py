@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.operators.keys import hash_led
+from rollcall.functions import blank_to_null
+from rollcall.operators.keys import hash_led, unused
 
 # Output name -> transaction column, for the details of the latest purchase.
 LATEST_DETAILS = {
@@ -22,7 +23,7 @@ LATEST_DETAILS = {
     "txn_country": "country",
 }
 
-# Sample ids are picked in two steps; this many groups share the first one.
+# Sample ids of input tasks meet in this many lanes per group.
 SAMPLE_LANES = 256
 
 
@@ -43,26 +44,27 @@ def sample_ids(trx: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
     """The ``size`` lowest transaction ids per group, as a sorted array.
 
     A plain ``collect_list`` would gather a whole group, however large, in one
-    task before cutting it. Here every input task sends at most ``size`` rows per
-    group; those meet first per lane (a share of the input tasks), then per group,
-    so no task ever holds more than ``size`` ids per lane or per input task of its
-    lane. All of them are compared: the result is exact.
+    task before cutting it. Here the ids of a group meet first per input task, then
+    per lane (a share of the input tasks), then per group, and are cut to ``size``
+    each time. No task ever holds more than the ids of one input task, or ``size``
+    ids per input task of a lane, or per lane. All ids are compared: the result is
+    exact, and the plan is the same for every size.
     """
-    lane = "_lane"
-    # NULL ids come last here and are skipped by collect_list.
-    lowest = F.col("transaction_id").asc_nulls_last()
-    order = Window.partitionBy(*keys, lane).orderBy(lowest)
-    per_lane = (
-        trx.select(*keys, "transaction_id")
-        .withColumn(lane, F.spark_partition_id() % SAMPLE_LANES)
-        .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= size)
-        .groupBy(*keys, lane)
-        .agg(F.collect_list("transaction_id").alias("_ids"))
-    )
-    merged = F.sort_array(F.flatten(F.collect_list("_ids")))
-    return per_lane.groupBy(*keys).agg(
-        F.slice(merged, 1, size).alias("sample_transaction_ids")
+    task, lane = unused(trx, "_task"), unused(trx, "_lane")
+
+    def lowest(ids: Column) -> Column:
+        return F.slice(F.sort_array(ids), 1, size).alias("sample_transaction_ids")
+
+    merged = F.flatten(F.collect_list("sample_transaction_ids"))
+    return (
+        trx.select(*keys, "transaction_id", F.spark_partition_id().alias(task))
+        # NULL ids are skipped by collect_list.
+        .groupBy(*keys, task)
+        .agg(lowest(F.collect_list("transaction_id")))
+        .groupBy(*keys, (F.col(task) % SAMPLE_LANES).alias(lane))
+        .agg(lowest(merged))
+        .groupBy(*keys)
+        .agg(lowest(merged))
     )
 
 
@@ -89,22 +91,29 @@ def keyed_facts(trx: DataFrame, keys: Sequence[str], sample_size: int) -> DataFr
     )
 
 
-def email_facts(trx: DataFrame, sample_size: int = 100) -> DataFrame:
-    """Purchase facts per email, without the group that has none."""
-    known = trx.filter(F.col("normalized_email").isNotNull())
+def email_facts(
+    trx: DataFrame, sample_size: int = 100, match_blank: bool = False
+) -> DataFrame:
+    """Purchase facts per email, without the group that has none.
+
+    Blank emails have none either, unless ``match_blank`` is set.
+    """
+    email = F.col("normalized_email")
+    known = trx.filter((email if match_blank else blank_to_null(email)).isNotNull())
     keyed, keys = hash_led(known, ["normalized_email"])
-    return keyed_facts(keyed, keys, sample_size)
+    return keyed_facts(keyed, keys, sample_size).drop(keys[0])
 
 
 def aggregate_transactions(trx: DataFrame, sample_size: int = 100) -> DataFrame:
     """Purchase facts per email; transactions without one form a group, too."""
     # Two columns that are never NULL stand in for the email.
+    text, missing = unused(trx, "_email"), unused(trx, "_missing")
     marked = trx.withColumns(
         {
-            "_email": F.coalesce("normalized_email", F.lit("")),
-            "_missing": F.col("normalized_email").isNull(),
+            text: F.coalesce("normalized_email", F.lit("")),
+            missing: F.col("normalized_email").isNull(),
         }
     )
-    keyed, keys = hash_led(marked, ["_email", "_missing"])
-    email = F.when(~F.col("_missing"), F.col("_email")).alias("normalized_email")
+    keyed, keys = hash_led(marked, [text, missing])
+    email = F.when(~F.col(missing), F.col(text)).alias("normalized_email")
     return keyed_facts(keyed, keys, sample_size).select(email, "*").drop(*keys)

@@ -17,12 +17,13 @@ from rollcall.operators import (
     reconcile,
 )
 from rollcall.rules import Settings
-from rollcall.sources import stage, write_analytics, write_master, write_report
+from rollcall.schemas import MAPPING_COLUMNS
+from rollcall.sources import Scratch, write_analytics, write_master, write_report
 
 
 @dataclass(frozen=True)
 class Mastered:
-    """The frames of one run; lazy unless the cleaned feeds were staged."""
+    """The frames of one run; lazy, from staged feeds if there are any."""
 
     crm: DataFrame
     transactions: DataFrame
@@ -46,23 +47,24 @@ def master_feeds(
     settings: Settings = Settings(),
     as_of: AsOf = None,
     at: dt.datetime | None = None,
-    staged: bool = False,
+    scratch: Scratch | None = None,
 ) -> Mastered:
     """Clean both feeds, link them and build the mastered record.
 
-    With ``staged`` the cleaned feeds are written to the session's shared folder
-    first. Do that when more than one action follows: parsing and deduplicating
-    the feeds then happens once, and survives the loss of executors.
+    With ``scratch`` the cleaned feeds are staged there first. Do that when more
+    than one action follows: parsing and deduplicating the feeds then happens
+    once, and survives the loss of executors. The frames can be used until the
+    scratch tables are removed.
     """
     crm = clean_crm(crm_raw, settings, at)
     trx = clean_transactions(trx_raw, settings, at)
-    if staged:
-        crm, trx = stage(crm, "crm"), stage(trx, "transactions")
+    if scratch:
+        crm, trx = scratch.stage(crm, "crm"), scratch.stage(trx, "transactions")
     mapping = reconcile(
-        crm, trx, settings.match_rules, settings.confidence_threshold
+        crm, trx, settings.match_rules, settings.confidence_threshold, keyed=True
     )
     master = build_master(crm, trx, mapping, settings, as_of, at)
-    return Mastered(crm, trx, mapping, master)
+    return Mastered(crm, trx, mapping.select(*MAPPING_COLUMNS), master)
 
 
 def publish(

@@ -35,7 +35,14 @@ class PhoneRegion:
         return tuple(sorted({*self.lengths, *self.local_lengths}))
 
 
-# Public numbering-plan facts for the two supported countries.
+def _abroad(code: str, lengths: tuple[int, ...], trunk: str = "0") -> PhoneRegion:
+    """A calling code that is only recognised in international notation."""
+    return PhoneRegion(code, lengths, trunk_prefix=trunk)
+
+
+# Public numbering-plan facts. The two countries that feeds name, then calling
+# codes that are recognised in international notation: code, lengths of national
+# numbers, trunk prefix (0 unless given).
 PHONE_REGIONS = (
     PhoneRegion(
         country="UK",
@@ -50,6 +57,72 @@ PHONE_REGIONS = (
         lengths=(9,),
         national_pattern=r"[1-9]\d{8}",
     ),
+    _abroad("1", (10,), "1"),
+    _abroad("7", (10,), "8"),
+    _abroad("20", (8, 9, 10)),
+    _abroad("27", (9,)),
+    _abroad("30", (10,), ""),
+    _abroad("31", (9,)),
+    _abroad("32", (8, 9)),
+    _abroad("34", (9,), ""),
+    _abroad("36", (8, 9), "06"),
+    _abroad("39", (6, 7, 8, 9, 10, 11), ""),
+    _abroad("40", (9,)),
+    _abroad("41", (9,)),
+    _abroad("43", (7, 8, 9, 10, 11, 12, 13)),
+    _abroad("45", (8,), ""),
+    _abroad("46", (7, 8, 9)),
+    _abroad("47", (8,), ""),
+    _abroad("48", (9,), ""),
+    _abroad("49", (7, 8, 9, 10, 11)),
+    _abroad("51", (8, 9)),
+    _abroad("52", (10,), "01"),
+    _abroad("54", (10, 11)),
+    _abroad("55", (10, 11)),
+    _abroad("56", (9,), ""),
+    _abroad("57", (8, 10)),
+    _abroad("60", (8, 9, 10)),
+    _abroad("61", (9,)),
+    _abroad("62", (8, 9, 10, 11, 12)),
+    _abroad("63", (8, 9, 10)),
+    _abroad("64", (8, 9, 10)),
+    _abroad("65", (8,), ""),
+    _abroad("66", (8, 9)),
+    _abroad("81", (9, 10)),
+    _abroad("82", (8, 9, 10)),
+    _abroad("84", (9, 10)),
+    _abroad("86", (10, 11)),
+    _abroad("90", (10,)),
+    _abroad("91", (10,)),
+    _abroad("92", (9, 10)),
+    _abroad("98", (10,)),
+    _abroad("212", (9,)),
+    _abroad("213", (8, 9)),
+    _abroad("216", (8,), ""),
+    _abroad("234", (8, 10)),
+    _abroad("254", (9,)),
+    _abroad("351", (9,), ""),
+    _abroad("352", (6, 8, 9), ""),
+    _abroad("353", (7, 8, 9)),
+    _abroad("354", (7,), ""),
+    _abroad("356", (8,), ""),
+    _abroad("357", (8,), ""),
+    _abroad("358", (6, 7, 8, 9, 10)),
+    _abroad("359", (7, 8, 9)),
+    _abroad("370", (8,)),
+    _abroad("371", (8,), ""),
+    _abroad("372", (7, 8), ""),
+    _abroad("380", (9,)),
+    _abroad("381", (8, 9)),
+    _abroad("385", (8, 9)),
+    _abroad("386", (8,)),
+    _abroad("420", (9,), ""),
+    _abroad("421", (9,)),
+    _abroad("852", (8,), ""),
+    _abroad("886", (8, 9)),
+    _abroad("966", (9,)),
+    _abroad("971", (8, 9)),
+    _abroad("972", (8, 9)),
 )
 
 

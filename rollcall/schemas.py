@@ -9,7 +9,8 @@ def _strings(*names: str) -> StructType:
     return StructType([StructField(name, StringType(), True) for name in names])
 
 
-# Feeds arrive untyped; CSV columns bind by position, so the order matters.
+# Columns of the customer feed. Feeds arrive untyped; CSV columns bind
+# by position, so the order matters.
 CRM_RAW = _strings(
     "customer_id",
     "first_name",
@@ -23,6 +24,7 @@ CRM_RAW = _strings(
     "last_updated",
 )
 
+# Columns of the purchase feed, in order.
 TRANSACTION_RAW = _strings(
     "transaction_id",
     "customer_email",
@@ -35,6 +37,7 @@ TRANSACTION_RAW = _strings(
     "purchase_date",
 )
 
+# Columns of a match pair.
 PAIR_COLUMNS = (
     "crm_customer_id",
     "transaction_id",
@@ -43,6 +46,7 @@ PAIR_COLUMNS = (
     "confidence_score",
 )
 
+# Columns of the mapping.
 MAPPING_COLUMNS = (
     "crm_customer_id",
     "transaction_id",
@@ -51,6 +55,7 @@ MAPPING_COLUMNS = (
     "gold_customer_id",
 )
 
+# Columns of the mastered record, in order.
 MASTER_COLUMNS = (
     "gold_customer_id",
     "first_name",
@@ -82,6 +87,7 @@ MASTER_COLUMNS = (
     "ingestion_timestamp",
 )
 
+# Columns of the analyst layer, in order.
 ANALYTICS_COLUMNS = (
     "gold_customer_id",
     "first_name",
@@ -101,6 +107,7 @@ ANALYTICS_COLUMNS = (
     "data_quality_score",
 )
 
+# Columns of the sample.
 SAMPLE_COLUMNS = (
     "gold_customer_id",
     "first_name",

@@ -2,14 +2,12 @@
 
 from rollcall.sources.feeds import read_crm, read_transactions, write_feed
 from rollcall.sources.layers import write_analytics, write_master, write_report
-from rollcall.sources.scratch import new_folder, shared_folder, stage
+from rollcall.sources.scratch import Scratch
 
 __all__ = [
-    "new_folder",
+    "Scratch",
     "read_crm",
     "read_transactions",
-    "shared_folder",
-    "stage",
     "write_analytics",
     "write_feed",
     "write_master",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.operators.mastering import analytics_view
+from rollcall.sources.scratch import hadoop_path
 
 # Folder names of the two layers.
 FULL_LAYER = "gold_raw"
@@ -43,11 +44,19 @@ def write_report(
 ) -> str:
     """Write a one-row profile as an indented JSON document; returns its path.
 
-    Spark writes it, so any file system will do; the path is a directory with the
-    document as its single part file.
+    Spark writes the one part file, so any file system will do; that file is then
+    renamed to the path. A document of the same name is replaced.
     """
     path = report_path(folder, source, at or dt.datetime.now())
     options = {"pretty": "true", "ignoreNullFields": "false"}
     document = F.to_json(F.struct(*report.columns), options).alias("value")
-    report.select(document).coalesce(1).write.mode("overwrite").text(path)
+    parts = f"{path}.parts"
+    report.select(document).coalesce(1).write.mode("overwrite").text(parts)
+    spark = report.sparkSession
+    pattern, files = hadoop_path(spark, f"{parts}/part-*")
+    target, _ = hadoop_path(spark, path)
+    files.delete(target, True)
+    if not files.rename(files.globStatus(pattern)[0].getPath(), target):
+        raise OSError(f"can't rename the report to {path}")
+    files.delete(pattern.getParent(), True)
     return path

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,34 +9,42 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the session names it.
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, whichever that is."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    Only a local session, where one machine is the whole cluster, may go without;
-    it gets a temporary folder, remembered in the session.
+
+class Scratch:
+    """Intermediate tables of one run, below a folder that all executors see.
+
+    The caller names the folder, or the session does in ``spark.checkpoint.dir``.
+    Leaving the context removes what the run has staged.
     """
-    folder = spark.conf.get(_CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="rollcall-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
 
+    def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
+        folder = folder or spark.conf.get(_CHECKPOINT_DIR, None)
+        if not folder:
+            raise ValueError(f"name a folder every executor can reach, or set {_CHECKPOINT_DIR}")
+        self.spark = spark
+        self.folder = f"{folder.rstrip('/')}/rollcall-{uuid.uuid4().hex}"
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark)}/rollcall-{uuid.uuid4().hex}/{name}"
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once and go on from the written table.
 
+        Unlike a cache this outlives the executors that computed it, and later steps
+        read only the columns they need.
+        """
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and go on from the written table.
+    def remove(self) -> None:
+        location, files = hadoop_path(self.spark, self.folder)
+        files.delete(location, True)
 
-    Unlike a cache this outlives the executors that computed it, and later steps
-    read only the columns they need.
-    """
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.remove()

@@ -95,3 +95,11 @@ def test_lineage(spark, crm_raw, trx_raw):
     assert {r.source for r in trx.collect()} == {"TRX"}
     assert (len(crm.columns), len(trx.columns)) == (14, 13)
     assert crm.filter(F.col("ingestion_timestamp").isNull()).count() == 0
+
+
+def test_columns_named_like_helpers_stay(spark):
+    rows = [("a", 1, "x", "p"), ("a", 2, "y", "q"), (None, 3, "z", "r")]
+    df = spark.createDataFrame(rows, "k string, d int, _rank string, _hash string")
+    latest = latest_per_key(df, "k", "d")
+    assert latest.columns == df.columns
+    assert sorted(map(tuple, latest.collect()), key=str) == sorted([rows[1], rows[2]], key=str)

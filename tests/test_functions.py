@@ -55,7 +55,20 @@ PHONES = [
     # dialled abroad, and own code without a plus
     ("0044 7911 123456", "France", "+447911123456"),
     ("0033612345678", "UK", "+33612345678"),
-    ("00491234567", "UK", "+4400491234567"),
+    ("00491234567", "UK", "+491234567"),
+    ("0014155552671", "UK", "+14155552671"),
+    ("00353861234567", "UK", "+353861234567"),
+    ("00 49 151 12345678", "France", "+4915112345678"),
+    ("+353 0 86 1234567", None, "+353861234567"),
+    ("00 353 0 86 1234567", "UK", "+353861234567"),
+    ("00 39 06 1234 5678", "France", "+390612345678"),
+    ("0049 1", "UK", "+4400491"),
+    ("0049 1234", "UK", "+491234"),
+    ("00999 1234567", "UK", "+44009991234567"),
+    # digits of other scripts
+    ("＋４４ ７９１１ １２３４５６", "UK", "+447911123456"),
+    ("٠٧٩١١١٢٣٤٥٦", "UK", "+447911123456"),
+    ("०६१२३४५६७८", "France", "+33612345678"),
     ("447911123456", "UK", "+447911123456"),
     ("4407911123456", "UK", "+447911123456"),
     ("33612345678", "France", "+33612345678"),
@@ -82,15 +95,16 @@ def brute_phone(text, country):
     """The rule again, step by step, by string lengths."""
     if text is None:
         return None
-    kept = "".join(c for c in text if c in "0123456789+")
+    ascii_text = "".join(str(int(c)) if c.isdecimal() else "+" if c in "＋﹢" else c for c in text)
+    kept = "".join(c for c in ascii_text if c in "0123456789+")
     if not kept:
         return None
-    regions = {r.country: r for r in PHONE_REGIONS}
+    regions = {r.country: r for r in PHONE_REGIONS if r.country}
     bare = kept.strip("+")
 
     def possible(digits, region):
-        head, rest = digits[:1], digits[1:]
-        if head == "0" and len(rest) in region.lengths:
+        rest = digits.removeprefix(region.trunk_prefix)
+        if digits.startswith(region.trunk_prefix) and len(rest) in region.lengths:
             return f"+{region.calling_code}{rest}"
         if len(digits) in region.possible_lengths:
             return f"+{region.calling_code}{digits}"
@@ -99,7 +113,7 @@ def brute_phone(text, country):
     def coded(digits):
         for region in PHONE_REGIONS:
             if digits.startswith(region.calling_code):
-                return possible(digits[2:], region)
+                return possible(digits.removeprefix(region.calling_code), region)
         return None
 
     if kept.startswith("+"):
@@ -107,10 +121,12 @@ def brute_phone(text, country):
     if country not in regions:
         return kept
     region, found = regions[country], None
+    abroad = kept.startswith("00") and not kept.startswith("000")
+    known = any(re.match(rf"00{r.calling_code}\d{{4}}", kept) for r in PHONE_REGIONS)
     if bare.isdigit():
         national = bare[2:].removeprefix("0") if bare[2:].startswith("0") else bare[2:]
         valid = re.compile(region.national_pattern).fullmatch
-        if bare.startswith("00") and not bare.startswith("000") and len(bare) > 2:
+        if abroad:
             found = coded(bare[2:])
         elif bare.startswith(region.calling_code) and (
             len(bare) > max(region.lengths) or (not valid(bare) and valid(national))
@@ -118,13 +134,16 @@ def brute_phone(text, country):
             found = possible(national, region)
         else:
             found = possible(bare, region)
+    if abroad and known:
+        return found or f"+{kept[2:]}"
     return found or f"+{region.calling_code}{kept}"
 
 
 def test_phone_against_brute_force(spark):
     chance = random.Random(7)
     starts = ["", "0", "00", "000", "+", "++", "44", "33", "0044", "0033", "+44", "+33",
-              "+440", "+330", "440", "330", "00440", "4400", "8", "448", "+1", "0049"]
+              "+440", "+330", "440", "330", "00440", "4400", "8", "448", "+1", "0049",
+              "001", "+49", "+490", "00353", "+3530", "0039", "+36", "+3606", "+7", "00972", "００44", "٠٧"]
     rows = []
     for _ in range(6000):
         body = "".join(chance.choice("0123456789") for _ in range(chance.randint(0, 14)))
@@ -142,10 +161,10 @@ def test_phone_against_brute_force(spark):
 def test_phone_regions_are_a_parameter(spark):
     spain = PhoneRegion(country="Spain", calling_code="34", lengths=(9,))
     germany = PhoneRegion(calling_code="49", lengths=(10, 11))
-    column = fn.phone(F.col("p"), F.col("c"), (*PHONE_REGIONS, spain, germany))
+    column = fn.phone(F.col("p"), F.col("c"), (*PHONE_REGIONS[:2], spain, germany))
     rows = [("612345678", "Spain"), ("0049 0301234567 8", "Spain"), ("0791", "Germany")]
     assert values(spark, rows, "p string, c string", column) == [
-        "+34612345678", "+4903012345678"[:3] + "3012345678", "0791",
+        "+34612345678", "+493012345678", "0791",
     ]
 
 
@@ -227,3 +246,21 @@ def test_percentage(spark):
     column = fn.percentage("a", "b")
     got = values(spark, rows, "a bigint, b bigint", column)
     assert got == [33.33, 66.67, 12.5, 0.0, 0.0]
+
+
+PATTERNS = [
+    "yyyy-MM-dd", "yyyyMMdd", "dd/MM/yyyy", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd['T'HH:mm:ss]", "yyyy[-MM[-dd]]",
+    "d. MMM yyyy", "'on' yyyy-MM-dd", "yyyy''MM''dd",
+]
+
+
+@pytest.mark.parametrize("pattern", PATTERNS)
+def test_dates_are_what_spark_parses(spark, pattern):
+    texts = [
+        "2024-01-05", "20240105", "05/01/2024", "2024-01-05T00:00:00", "2024-01", "2024", "5. Jan 2024", "on 2024-01-05",
+        "2024'01'05", "2024-02-30", "", " ", None,
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select(fn.parse_date(F.col("t"), (pattern,)), F.try_to_date("t", pattern)).collect()
+    assert [r[0] for r in got] == [r[1] for r in got]
+    assert any(r[1] for r in got)

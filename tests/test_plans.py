@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from checks import queries
 from conftest import SMALL
 from rollcall import operators as op
+from rollcall.operators.purchases import sample_ids
+from rollcall.sources import Scratch
 
-WRITING = {name for name in queries.QUERIES if "sink" in name or "roundtrip" in name}
+WRITING = {n for n in queries.QUERIES if "sink" in n or "roundtrip" in n or "staged" in n}
 
 
 def planned(df) -> str:
@@ -51,9 +53,7 @@ def test_scans_read_only_what_they_need(spark):
 
 
 def test_staged_frames_are_pruned(spark):
-    from rollcall.sources import stage
-
-    crm = stage(op.clean_crm(queries.Feeds(spark, SMALL).crm_raw), "crm")
+    crm = Scratch(spark).stage(op.clean_crm(queries.Feeds(spark, SMALL).crm_raw), "crm")
     plan = planned(op.completeness(crm, ["city"]))
     assert "ReadSchema: struct<city:string>" in plan
 
@@ -64,8 +64,6 @@ def test_groups_are_cut_before_they_are_shuffled(spark):
     assert "partial_max_by" in planned(op.latest_transaction(feeds.trx))
     facts = planned(feeds.facts)
     assert "partial_collect_list(transaction_id" in facts
-    below = facts.split("partial_collect_list(transaction_id")[1]
-    assert "_lane" in below and below.count("WindowGroupLimit") >= 2
     assert "partial_min(transaction_id" in planned(feeds.mapping)
     assert "partial_count" in planned(op.uniqueness(feeds.crm_raw, ["city", "country"]))
 
@@ -74,8 +72,48 @@ def test_facts_join_without_moving_rows(spark, settings):
     settings(autoBroadcastJoinThreshold="-1")
     plan = planned(queries.Feeds(spark, SMALL).facts)
     assert "SortMergeJoin" in plan
-    # Deduplication (in both halves), facts, lanes, samples; none for the join.
-    assert plan.count("Exchange hashpartitioning") == 5
+    # Deduplication (in both halves), facts, samples by task, lane and key; none for the join.
+    assert plan.count("Exchange hashpartitioning") == 6
+
+
+def test_samples_of_any_size_have_one_plan(spark):
+    trx = queries.Feeds(spark, SMALL).trx
+
+    def nodes(size):
+        plan = planned(sample_ids(trx, ["normalized_email"], size))
+        return [line.strip(" :+-").split("(")[0].split(" ")[0] for line in plan.splitlines()]
+
+    assert nodes(100) == nodes(1000) == nodes(5000)
+    plan = planned(sample_ids(trx, ["normalized_email"], 5000))
+    # ids meet per input task, per lane, per key
+    assert plan.count("partial_collect_list") == 3
+
+
+def staged(spark):
+    feeds, scratch = queries.Feeds(spark, SMALL), Scratch(spark)
+    return scratch.stage(feeds.crm, "crm"), scratch.stage(feeds.trx, "trx")
+
+
+def exchanges(df) -> int:
+    return planned(df).count("Exchange hashpartitioning")
+
+
+def test_all_pairs_take_one_join(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    crm, trx = staged(spark)
+    for df in (op.all_matches(crm, trx), op.all_matches(crm, trx, threshold=0.7)):
+        plan = planned(df)
+        assert plan.count("FileScan") == 2
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert plan.count("SortMergeJoin") == 1
+
+
+def test_a_keyed_mapping_is_joined_where_it_is(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    crm, trx = staged(spark)
+    keyed = op.build_master(crm, trx, op.reconcile(crm, trx, keyed=True))
+    plain = op.build_master(crm, trx, op.reconcile(crm, trx))
+    assert exchanges(keyed) == exchanges(plain) - 1
 
 
 def test_weak_rules_are_left_out_of_the_plan(spark):

@@ -136,3 +136,15 @@ def test_master_has_its_own_spec(spark):
     assert len(default.format_validity) == 0
     assert set(full.format_validity.asDict()) == {"email", "phone"}
     assert full.uniqueness.gold_customer_id.distinct_records == 1
+
+
+def test_labels_need_no_escaping(spark):
+    df = spark.createDataFrame([("a",)], "`it's \\` string")
+    before = spark.conf.get("spark.sql.parser.escapedStringLiterals")
+    spark.conf.set("spark.sql.parser.escapedStringLiterals", "true")
+    try:
+        label = "it's \\"
+        assert op.completeness(df, [label]).first().column_name == label
+        assert op.validity(df, [(label, label, "a")]).first().field == label
+    finally:
+        spark.conf.set("spark.sql.parser.escapedStringLiterals", before)

@@ -67,7 +67,7 @@ def many(spark, parts):
 
 
 @pytest.mark.parametrize("parts", [1, 8, 40])
-@pytest.mark.parametrize("size", [1, 100])
+@pytest.mark.parametrize("size", [1, 100, 2000, 5000])
 def test_sample_is_exact_whatever_the_partitioning(spark, parts, size, monkeypatch):
     monkeypatch.setattr(purchases, "SAMPLE_LANES", 5)
     df = many(spark, parts).withColumn("g", F.coalesce("normalized_email", F.lit("")))
@@ -82,3 +82,11 @@ def test_ids_that_are_missing_are_not_sampled(spark):
     df = spark.createDataFrame([("a", None), ("a", "T1"), ("b", None)], "g string, transaction_id string")
     got = {r.g: r.sample_transaction_ids for r in purchases.sample_ids(df, ["g"], 2).collect()}
     assert got == {"a": ["T1"], "b": []}
+
+
+def test_helper_columns_clash_with_none(trx):
+    names = ["_hash", "_task", "_lane", "_rank", "_email", "_missing", "_dialled", "_latest"]
+    extra = trx.withColumns({name: F.lit("x") for name in names})
+    plain = sorted(map(repr, op.aggregate_transactions(trx).collect()))
+    assert sorted(map(repr, op.aggregate_transactions(extra).collect())) == plain
+    assert sorted(map(repr, op.latest_transaction(extra).collect())) == sorted(map(repr, op.latest_transaction(trx).collect()))

@@ -39,40 +39,47 @@ def test_feeds_survive_a_round_trip(spark, crm_raw, trx_raw, tmp_path):
         assert sorted(map(repr, back.collect())) == sorted(map(repr, raw.collect()))
 
 
-def test_shared_folder_comes_from_the_session(spark, crm_raw):
-    assert sources.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-    staged = sources.stage(crm_raw, "crm")
-    assert staged.schema == CRM_RAW
-    assert sources.shared_folder(spark) in staged.inputFiles()[0]
-    assert sorted(map(repr, staged.collect())) == sorted(map(repr, crm_raw.collect()))
-    assert sources.new_folder(spark, "x") != sources.new_folder(spark, "x")
-
-
-def test_unset_folder_is_only_fine_locally():
+def test_staged_tables_go_with_their_run(spark, crm_raw, tmp_path):
+    for given, where in ((None, spark.conf.get("spark.checkpoint.dir")), (str(tmp_path), str(tmp_path))):
+        with sources.Scratch(spark, given) as scratch:
+            staged = scratch.stage(crm_raw, "crm")
+            assert staged.schema == CRM_RAW
+            assert where in staged.inputFiles()[0]
+            assert sorted(map(repr, staged.collect())) == sorted(map(repr, crm_raw.collect()))
+            assert sources.Scratch(spark, given).folder != scratch.folder
+        assert not Path(scratch.folder).exists()
+
+
+def test_a_folder_must_be_named():
     class Session:
-        def __init__(self, master):
-            self.settings = {}
-            self.conf = self
-            self.sparkContext = type("Context", (), {"master": master})
+        conf = {}
 
-        def get(self, name, default):
-            return self.settings.get(name, default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sources.Scratch(Session())
 
-        def set(self, name, value):
-            self.settings[name] = value
 
-    local = Session("local[2]")
-    assert sources.shared_folder(local) == sources.shared_folder(local)
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        sources.shared_folder(Session("yarn"))
+def test_main_leaves_nothing_staged(spark, crm_raw, trx_raw, tmp_path, monkeypatch, capsys):
+    from rollcall import __main__ as program
+
+    for raw, name in ((crm_raw, "crm"), (trx_raw, "trx")):
+        sources.write_feed(raw, str(tmp_path / name))
+    (tmp_path / "scratch").mkdir()
+    arguments = {"crm": "crm", "transactions": "trx", "layers": "layers", "reports": "reports", "scratch": "scratch"}
+    line = ["rollcall"] + [x for k, v in arguments.items() for x in (f"--{k}", str(tmp_path / v))]
+    monkeypatch.setattr("sys.argv", line)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    program.main()
+    assert "name_address" in capsys.readouterr().out
+    assert list((tmp_path / "scratch").iterdir()) == []
+    assert len(list((tmp_path / "reports").rglob("*.json"))) == 3
 
 
 def test_report_is_a_json_document(crm_raw, tmp_path):
     report = op.profile(op.clean_crm(crm_raw), "CRM", at=AT)
     path = sources.write_report(report, str(tmp_path), "CRM", AT)
     assert path == f"{tmp_path}/01-07-24/CRM_data_quality_report_20240701_123045.json"
-    (part,) = Path(path).glob("part-*")
-    text = part.read_text()
+    text = Path(path).read_text()
+    assert [p.name for p in Path(path).parent.iterdir() if not p.name.startswith(".")] == [Path(path).name]
     assert text.count("\n") > 20
     saved = json.loads(text)
     assert list(saved) == [
@@ -87,7 +94,8 @@ def test_report_is_a_json_document(crm_raw, tmp_path):
 
 @pytest.mark.parametrize("staged", [False, True])
 def test_whole_batch(spark, crm_raw, trx_raw, tmp_path, staged):
-    run = master_feeds(crm_raw, trx_raw, as_of=dt.date(2024, 6, 30), at=AT, staged=staged)
+    scratch = sources.Scratch(spark) if staged else None
+    run = master_feeds(crm_raw, trx_raw, as_of=dt.date(2024, 6, 30), at=AT, scratch=scratch)
     done = publish(run, str(tmp_path / "layers"), str(tmp_path / "reports"), at=AT)
     full = spark.read.parquet(str(tmp_path / "layers" / "gold_raw"))
     subset = spark.read.parquet(str(tmp_path / "layers" / "ba_gold"))
@@ -101,7 +109,7 @@ def test_whole_batch(spark, crm_raw, trx_raw, tmp_path, staged):
     }
     names = [Path(p).name.split("_")[0] for p in done.reports]
     assert names == ["CRM", "TRX", "GOLDEN"]
-    assert all(list(Path(p).glob("part-*")) for p in done.reports)
+    assert all(json.loads(Path(p).read_text())["total_records"] for p in done.reports)
 
 
 def test_settings_from_a_mapping():
