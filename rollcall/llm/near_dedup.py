@@ -42,7 +42,7 @@ CHANCE = 2.0**-BITS
 #: Standard deviations below the threshold at which a pair is still confirmed in full.
 MARGIN = 5.0
 #: Members of a key that one block holds.
-BLOCK = 256
+BLOCK = 512
 
 _SEEDS = np.random.default_rng(20240607)
 _FACTOR = _SEEDS.integers(0, 2**64, HASHES, dtype=np.uint64) | np.uint64(1)
