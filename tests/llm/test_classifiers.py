@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 from conftest import SMALL
+from llm_fixtures import documents, work  # noqa: F401
 from pyspark.sql import functions as F
 
 from rollcall.llm import quality, toxicity
@@ -129,7 +130,8 @@ def test_sentences_are_located(spark, documents):
 
 
 def test_noisy_or():
-    model = toxicity.ToxicityModel(np.array([0.0, 2.0] + [0.0] * (toxicity.SLOTS - 2)), -1.0)
-    bags = toxicity.Sentences(np.array([1, 1, 0], np.int32), np.array([0, 1, 3, 3]), np.array([0, 2, 3]))
+    model = toxicity.ToxicityModel({1: 2.0}, -1.0)
+    features = np.array([[0, -1], [1, -1]], np.int32)
+    bags = toxicity.Sentences(features, np.array([1, 1, 0]), np.array([0, 1, 3, 3]), np.array([0, 2, 3]))
     p = lambda z: 1 / (1 + np.exp(-z))
     assert np.allclose(model.scores(bags), [1 - (1 - p(1)) * (1 - p(1)), p(-1)])

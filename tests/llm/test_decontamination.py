@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import plain_words, shingles
+from llm_fixtures import documents, plain_words, shingles, work  # noqa: F401
 
 from rollcall.llm.decontamination import contaminated, decontaminated
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import components
+from llm_fixtures import components, work  # noqa: F401
 
 from rollcall.llm import embeddings
 from rollcall.llm.embeddings import fit_quantizer, linked_vectors

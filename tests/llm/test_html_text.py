@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_fixtures import work  # noqa: F401
 from rollcall.llm import html_text
 from rollcall.llm.html_text import blocks_of, common_lines, main_text
 

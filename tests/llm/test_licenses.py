@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from conftest import plain_words
+from llm_fixtures import documents, plain_words  # noqa: F401
 
 from rollcall.llm.licenses import NOTICES, PHRASES, license_scan
 

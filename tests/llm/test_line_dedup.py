@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import LOWER
+from llm_fixtures import LOWER, documents, work  # noqa: F401
 
 from rollcall.llm.line_dedup import without_repeated_lines
 

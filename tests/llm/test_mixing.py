@@ -4,7 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import CLASH, blank_words
+from llm_fixtures import CLASH, blank_words, work  # noqa: F401
 from pyspark.sql import functions as F
 
 from rollcall.llm.mixing import apportioned, mixed_documents, mixed_sources

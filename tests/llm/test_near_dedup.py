@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import blank_words, components, shingles
+from llm_fixtures import blank_words, components, documents, shingles, work  # noqa: F401
 from pyspark.sql import functions as F
 
 from rollcall.llm import near_dedup

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from conftest import SMALL, blank_words
+from conftest import SMALL
+from llm_fixtures import blank_words  # noqa: F401
 
 import __spark_entry__ as contract
 import corpus_pipeline

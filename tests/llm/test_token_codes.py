@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_fixtures import documents, work  # noqa: F401
 from rollcall.llm.catalogue import word_bpe
 from rollcall.llm.token_codes import Shard, WordTokenizer, pack, read_digests, read_ids, write_codes
 
