@@ -24,7 +24,7 @@ from rollcall.llm.words import BLANKS, hashed, text_column, words
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 20_000
 THRESHOLD = 0.7
-TREES, DEPTH, BINS, LEAF = 60, 3, 32, 20
+TREES, DEPTH, BINS, LEAF = 60, 3, 32, 3
 PENALTY = 5e-4
 
 #: Classes of bytes that texts are counted by.
