@@ -64,7 +64,7 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return license_scan(table(spark, folder, "documents", "doc_id", "text")).drop("spans")
+    return license_scan(table(spark, folder, "documents", "doc_id", "text"), Workspace(spark)).drop("spans")
 
 
 @_query

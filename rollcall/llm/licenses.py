@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.line_dedup import lowered
+from rollcall.llm.tables import Workspace
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -77,7 +78,7 @@ def templates(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFram
     return frame.select("template", "label", "k", _words(F.col("text")).alias("words"))
 
 
-def license_scan(documents: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
+def license_scan(documents: DataFrame, work: Workspace, phrases=PHRASES, notices=NOTICES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans per row.
 
     ``documents`` has doc_id and text. Words are runs of ASCII letters, ASCII digits and all
@@ -109,7 +110,8 @@ def license_scan(documents: DataFrame, phrases=PHRASES, notices=NOTICES) -> Data
     diagonals = votes.groupBy("row", "template", (place - F.col("at")).alias("diagonal")).agg(
         F.size(F.collect_set("at")).alias("votes")
     )
-    diagonals = diagonals.join(F.broadcast(known), "template")
+    # Phrases and notices both start from here.
+    diagonals = work.write(diagonals, "diagonals").join(F.broadcast(known), "template")
 
     exact = (F.col("k") == PHRASE_WORDS) & (F.col("votes") == F.size("words") - PHRASE_WORDS + 1)
     by_diagonal = Window.partitionBy("row", "template").orderBy("diagonal")
