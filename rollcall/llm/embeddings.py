@@ -30,8 +30,8 @@ from rollcall.llm.tables import Workspace
 #: Vectors that centroids and codebooks are fitted on, at most.
 SAMPLE = 16_384
 LISTS, SUBSPACES, CODES, ROUNDS = 4096, 8, 256, 8
-#: Vectors of one side of a block.
-BLOCK = 256
+#: Vectors of a list, and vectors that ask them, in one block.
+BLOCK, ASKING = 256, 2048
 COSINE = 0.9
 #: Room for rounding in bounds that must not lose a link.
 ROUNDING = 1e-6
@@ -139,8 +139,8 @@ def linked_vectors(
     number. No rows give no rows. Other columns aren't read.
 
     ``reach`` is how much of the largest distance between partners may lie across one border:
-    1 loses no link on any data, and 4 / sqrt(dimensions), the default, none on four
-    standard deviations of differences without a preferred direction.
+    1 loses no link on any data, and 3 / sqrt(dimensions), the default, none within three
+    standard deviations of differences without a preferred direction (99.9 %).
     """
     spark = vectors.sparkSession
     kind = "array<double>"
@@ -168,7 +168,7 @@ def linked_vectors(
     far = float(np.sqrt(2 - 2 * cosine)) + ROUNDING
     lists = int(min(LISTS, max(1, round(count**0.5))))
     quantizer = spark.sparkContext.broadcast(fit_quantizer(_units(sample, width), lists))
-    within = far * min(1.0, 4 / width**0.5 if reach is None else reach)
+    within = far * min(1.0, 3 / width**0.5 if reach is None else reach)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -200,7 +200,7 @@ def linked_vectors(
     )
     asking = indexed.select("rep", F.explode("probes").alias("at"))
     sizes = indexed.groupBy(F.col("list").alias("at")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    askers = asking.groupBy("at").agg(F.ceil(F.count("*") / BLOCK).alias("asking"))
+    askers = asking.groupBy("at").agg(F.ceil(F.count("*") / ASKING).alias("asking"))
     blocks = work.write(sizes.join(askers, "at"), "blocks")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     columns = ["at", "block", "asker", "role", "rep", "copies", "unit", "codes", "error", "home"]

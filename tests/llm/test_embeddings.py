@@ -54,6 +54,7 @@ def got(vectors, work, **options):
 @pytest.mark.parametrize("block", [16, 256])
 def test_equals_brute_force(spark, work, monkeypatch, block):
     monkeypatch.setattr(embeddings, "BLOCK", block)
+    monkeypatch.setattr(embeddings, "ASKING", 3 * block)
     rows = corpus()
     assert got(frame(spark, rows), work) == expected(rows)
 
