@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.tables import Workspace
-from rollcall.llm.words import NOT_ALPHANUMERIC, list_column, shingle_sets
+from rollcall.llm.words import NOT_ALPHANUMERIC, list_column, shingle_sets, slices
 
 WORDS = 5
 PERCENT = 80
@@ -27,7 +27,7 @@ PERCENT = 80
 
 def _with_shingles(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             sets = list(shingle_sets(batch.column(2), size, NOT_ALPHANUMERIC, short=False))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), list_column(sets)], ["id", "text_key", "shingles"]

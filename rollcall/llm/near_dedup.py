@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.components import components
 from rollcall.llm.tables import Workspace
-from rollcall.llm.words import BLANKS, list_column, mixed, shingle_sets
+from rollcall.llm.words import BLANKS, list_column, mixed, shingle_sets, slices
 
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
@@ -76,7 +76,7 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 def _sketches(size: int, separators: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             counts, prints, packs, keys = [], [], [], []
             for shingles in shingle_sets(batch.column(1), size, separators):
                 counts.append(len(shingles))
@@ -103,7 +103,7 @@ def _sketches(size: int, separators: bytes):
 
 def _sets(size: int, separators: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             arrays = list(shingle_sets(batch.column(1), size, separators))
             yield pa.RecordBatch.from_arrays([batch.column(0), list_column(arrays)], ["doc_id", "shingles"])
 

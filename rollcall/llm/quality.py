@@ -19,7 +19,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from rollcall.llm.labels import held_out, sampled, training_labels
 from rollcall.llm.tables import Workspace
-from rollcall.llm.words import BLANKS, hashed, text_column, words
+from rollcall.llm.words import BLANKS, hashed, slices, text_bytes, text_column, words
 
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 20_000
@@ -55,9 +55,8 @@ STATISTICS = (
 def _statistics(column: pa.Array) -> np.ndarray:
     """A row of statistics per text; all zero for a text without bytes."""
     texts = text_column(column)
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = texts.buffers()[2]
-    kinds = _KIND[np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)]
+    offsets, data = text_bytes(texts)
+    kinds = _KIND[np.frombuffer(data, np.uint8)]
     values, rows = words(texts)
     word = hashed(values)
     out = np.zeros((len(texts), len(STATISTICS)))
@@ -79,7 +78,9 @@ def _statistics(column: pa.Array) -> np.ndarray:
 
 
 def _as_struct(text: pa.Array) -> pa.Array:
-    found = _statistics(text)
+    batch = pa.RecordBatch.from_arrays([text], ["text"])
+    parts = [_statistics(part.column(0)) for part in slices([batch], 0)]
+    found = np.concatenate(parts) if parts else np.zeros((0, len(STATISTICS)))
     return pa.StructArray.from_arrays([pa.array(found[:, k]) for k in range(len(STATISTICS))], list(STATISTICS))
 
 

@@ -31,14 +31,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.tables import Workspace
-from rollcall.llm.words import text_column
+from rollcall.llm.words import slices, text_column
 
 MAGIC = b"DAC1"
 WIDTH = 8
 #: Ids after which a shard is closed; a longer document has a shard of its own.
 SHARD_IDS = 1 << 20
-#: Bytes of text that are tokenized at once, and words whose ids are remembered.
-SLICE, KNOWN = 2 << 20, 1 << 19
+#: Words whose ids are remembered.
+KNOWN = 1 << 18
 
 
 def encode(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -177,17 +177,6 @@ def tokenizer_of(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Runs of rows of some ``SLICE`` bytes of text, a row at least."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    start = 0
-    while start < len(size):
-        before = size[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(size, before + SLICE, "right")))
-        yield batch.slice(start, end - start)
-        start = end
-
-
 def _packed(path: str, end_id: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -203,7 +192,7 @@ def _packed(path: str, end_id: int, shard_ids: int):
             )
 
         for batch in batches:
-            for some in _slices(batch):
+            for some in slices([batch], 1):
                 found, lengths = tokenizer(some.column(1))
                 for name, own in zip(some.column(0).to_pylist(), np.split(found, np.cumsum(lengths)[:-1]), strict=True):
                     if held and held + len(own) + 1 > shard_ids:

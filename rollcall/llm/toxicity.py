@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.labels import held_out, sampled, training_labels
-from rollcall.llm.words import NOT_ALPHANUMERIC, text_column, words
+from rollcall.llm.words import NOT_ALPHANUMERIC, slices, text_column, words
 
 #: Labelled rows that the classifier is fitted on, at most, and the features' hash range.
 SAMPLE = 8_000
@@ -128,7 +128,7 @@ def fit(slots: np.ndarray, sentence: np.ndarray, row: np.ndarray, y: np.ndarray)
 
 def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, label and the distinct slots of each row."""
-    for batch in batches:
+    for batch in slices(batches, 2):
         bags = _bags(batch.column(2))
         ends = bags.sentences[bags.rows]
         slots = [np.unique(bags.features[np.unique(bags.words[a:b])]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -156,7 +156,7 @@ def _encoded(chosen: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.zeros(SLOTS + 1, bool)
         known[chosen] = True
-        for batch in batches:
+        for batch in slices(batches, 2):
             bags = _bags(batch.column(2))
             of_word = known[bags.features]
             sentence = np.repeat(np.arange(len(bags.sentences) - 1), np.diff(bags.sentences))
@@ -210,7 +210,7 @@ def scored_toxicity(
     model = documents.sparkSession.sparkContext.broadcast(train_toxicity(documents, labels, bound))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             bags = _bags(batch.column(2))
             logits = model.value.sentence_logits(bags)
             high = logits >= np.log(located / (1 - located))
@@ -241,7 +241,7 @@ def offending_sentences(documents: DataFrame, model: ToxicityModel, located: flo
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             bags = _bags(batch.column(1))
             p = 1 / (1 + np.exp(-np.clip(shared.value.sentence_logits(bags), -30, 30)))
             row = np.repeat(np.arange(len(bags.rows) - 1), np.diff(bags.rows))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +14,27 @@ BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 #: All ASCII but digits and letters.
 NOT_ALPHANUMERIC = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 
+#: Bytes of text that are worked on at once.
+SLICE = 2 << 20
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def slices(batches: Iterable[pa.RecordBatch], text: int, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows with about ``size`` bytes of text, a row at least.
+
+    Words and hashes take several times the room of the text; a slice bounds them.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def text_column(column: pa.Array) -> pa.Array:
     """Null becomes the empty text; offsets are 64 bits wide."""
     if isinstance(column, pa.ChunkedArray):
@@ -24,17 +42,24 @@ def text_column(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_string()).fill_null("")
 
 
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, memoryview]:
+    """Where each text of a :func:`text_column` begins and ends in its bytes, and these."""
+    _, offsets, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(len(column) + 1, np.int64), memoryview(b"")
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return ends - ends[0], memoryview(data)[ends[0] : ends[-1]]
+
+
 def _replaced(column: pa.Array, separators: bytes) -> pa.Array:
     """A-Z in lower case and separators as spaces. Bytes of other characters stay."""
     to = bytearray(range(256))
     to[0x41:0x5B] = range(0x61, 0x7B)
     for byte in separators:
         to[byte] = 0x20
-    valid, offsets, data = column.buffers()
-    if data is None:
-        return column
-    new = pa.py_buffer(data.to_pybytes().translate(bytes(to)))
-    return pa.Array.from_buffers(column.type, len(column), [None, offsets, new], offset=column.offset)
+    ends, data = text_bytes(column)
+    new = pa.py_buffer(bytes(data).translate(bytes(to)))
+    return pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(np.ascontiguousarray(ends)), new)
 
 
 def words(column: pa.Array, separators: bytes = BLANKS) -> tuple[pa.Array, np.ndarray]:
