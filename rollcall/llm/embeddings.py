@@ -5,7 +5,7 @@
    subspace. Every vector gets its inverted list, its codes and its quantisation error.
 3. A vector probes the lists whose border lies near enough: a partner within the largest
    distance d may lie behind the border to another list only if the vector's distance
-   from that border is at most d. How much of d counts is ``reach``.
+   from that border is at most d. All such lists are probed, so that no link is lost.
 4. Within a list, a vector's distances to the codes come from its table of distances to the
    codebooks. A code farther than d plus its own error can't be a partner; the rest are
    decided by their exact cosine.
@@ -86,9 +86,9 @@ class Quantizer:
         own = squares.argmin(1)
         gaps = np.sqrt(_squares(self.centroids, self.centroids))
         least = squares[np.arange(len(x)), own]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            border = (squares - least[:, None]) / (2 * gaps[own])
-        near = (border <= far) & (np.arange(len(self.centroids)) > own[:, None])
+        # The border's distance times twice the gap, which is 0 between equal centroids.
+        near = squares - least[:, None] <= 2 * gaps[own] * far + ROUNDING
+        near &= np.arange(len(self.centroids)) > own[:, None]
         return own, [np.concatenate(([k], np.flatnonzero(row))) for k, row in zip(own, near, strict=True)]
 
 
@@ -125,7 +125,7 @@ def _labelled(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
 
 
 def linked_vectors(
-    vectors: DataFrame, work: Workspace, cosine: float = COSINE, bound: int = SAMPLE, reach: float | None = None
+    vectors: DataFrame, work: Workspace, cosine: float = COSINE, bound: int = SAMPLE, reach: float = 1.0
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept per row of ``vectors`` (vec_id, embedding).
 
@@ -139,8 +139,7 @@ def linked_vectors(
     number. No rows give no rows. Other columns aren't read.
 
     ``reach`` is how much of the largest distance between partners may lie across one border:
-    1 loses no link on any data, and 3 / sqrt(dimensions), the default, none within three
-    standard deviations of differences without a preferred direction (99.9 %).
+    1, the default, loses no link on any data; less loses those behind farther borders.
     """
     spark = vectors.sparkSession
     kind = "array<double>"
@@ -168,7 +167,7 @@ def linked_vectors(
     far = float(np.sqrt(2 - 2 * cosine)) + ROUNDING
     lists = int(min(LISTS, max(1, round(count**0.5))))
     quantizer = spark.sparkContext.broadcast(fit_quantizer(_units(sample, width), lists))
-    within = far * min(1.0, 3 / width**0.5 if reach is None else reach)
+    within = far * min(1.0, reach)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

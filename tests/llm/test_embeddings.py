@@ -83,6 +83,45 @@ def test_recall_of_the_default_reach(spark, work):
     assert all(a[1] <= b[1] for a, b in zip(found, want, strict=True))
 
 
+def partnered(kind, n=1500, width=64, seed=12):
+    """Vectors and partners at a cosine of 0.905, in directions that the kind prefers."""
+    tries = np.random.default_rng(seed)
+    steep = np.arange(1, width + 1) ** -(1.5 if kind == "steep" else 1.0)
+    basis = tries.normal(size=(10, width)) if kind == "low" else None
+    centres = tries.normal(size=(12, width))
+    draw = {
+        "anisotropic": lambda: tries.normal(size=width) * steep,
+        "steep": lambda: tries.normal(size=width) * steep,
+        "low": lambda: tries.normal(size=10) @ basis,
+        "clustered": lambda: centres[tries.integers(12)] + tries.normal(size=width) * steep,
+        "ragged": lambda: np.pad(tries.normal(size=(m := int(tries.integers(4, 9)))), (0, width - m)),
+    }[kind]
+    rows = []
+    for k in range(n):
+        v, u = draw(), draw()
+        v /= np.linalg.norm(v)
+        u -= (u @ v) * v
+        u /= np.linalg.norm(u)
+        pair = [v, 0.905 * v + (1 - 0.905**2) ** 0.5 * u]
+        if kind == "ragged" and k:
+            pair = [np.trim_zeros(x, "b") for x in pair]
+        rows += [(2 * k + side, x.tolist()) for side, x in enumerate(pair)]
+    return rows
+
+
+@pytest.mark.parametrize("kind", ["anisotropic", "steep", "low", "clustered", "ragged"])
+def test_no_link_is_lost_in_preferred_directions(spark, work, kind):
+    rows = partnered(kind, n=700, width=384 if kind == "low" else 64)
+    assert got(frame(spark, rows), work) == expected(rows)
+
+
+def test_equal_centroids_probe_each_other():
+    centroids = np.array([[1.0, 0.0], [1.0, 0.0], [0.0, 1.0]])
+    quantizer = embeddings.Quantizer(centroids, [], np.array([0, 2]))
+    own, probes = quantizer.probes(np.array([[1.0, 0.0]]), 0.1)
+    assert own.tolist() == [0] and probes[0].tolist() == [0, 1]
+
+
 def test_unusable_vectors(spark, work):
     rows = [
         (1, [1, 0]), (2, [2, 0]), (None, [1, 0]), (3, None), (4, []), (5, [0, 0]), (6, [float("nan"), 1]), (7, [float("inf"), 1]),
