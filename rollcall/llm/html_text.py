@@ -1,8 +1,9 @@
 """Main text of web pages by markup and nearest-URL page differencing.
 
 1. A page's markup gives text blocks. Blocks of elements that never hold an article (menus,
-   sidebars, forms, comments ...) are left out; blocks inside an article or main element
-   are sure to belong to the article, others aren't.
+   sidebars, comments ...) are left out, those that only a name or a form marks unless they
+   hold most of the page; blocks inside an article or main element that holds as much as
+   the rest are sure to belong to the article, others aren't.
 2. Pages are paired by URL path within their host: each with the one whose path shares
    the longest beginning among its neighbours in path order.
 3. The text lines of a pair are aligned by longest common subsequence. Lines in common that
@@ -17,6 +18,7 @@ from __future__ import annotations
 import os.path
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from html.parser import HTMLParser
 from urllib.parse import urlsplit
 
@@ -37,7 +39,7 @@ CELLS = 1 << 24
 # Elements without text of the article, elements that end a text block,
 # elements without an end, and words in class, id or role of the former.
 OUTSIDE = frozenset(
-    "script style noscript template head title nav footer aside form button select option textarea input label iframe object "
+    "script style noscript template head title nav footer aside button select option textarea input label iframe object "
     "svg canvas audio video menu dialog datalist fieldset legend".split()
 )
 BLOCKS = frozenset(
@@ -55,39 +57,55 @@ MARKED = frozenset(
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _BLANK = re.compile(r"\s+")
 _NAMES = re.compile(r"[a-z]+")
+#: Words; scripts without blanks count by characters.
+_WORDS = re.compile(r"[\u2e80-\u9fff]|\w+")
+
+
+@dataclass(frozen=True)
+class _Place:
+    """Whether text is outside, in main (1), in an article (2) or both (3), the number of the article,
+    and the marked elements around it."""
+
+    outside: bool = False
+    held: int = 0
+    article: int = 0
+    marks: tuple[int, ...] = ()
 
 
 class _Blocks(HTMLParser):
-    """Collects (text, sure) per block."""
+    """Collects (text, place, whether it's links alone) per block."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int]] = []
-        #: Open elements: name, whether they are outside, and 1 in main, 2 in an article.
-        self.open: list[tuple[str, bool, int]] = []
+        self.blocks: list[tuple[str, _Place, bool]] = []
+        self.open: list[tuple[str, _Place]] = []
+        #: Marked elements: whether by a name, else a form.
+        self.named: list[bool] = []
+        self.articles = 0
         self.text: list[str] = []
         self.link_free = False
 
-    def _state(self) -> tuple[bool, int]:
-        return self.open[-1][1:] if self.open else (False, 0)
+    def _state(self) -> _Place:
+        return self.open[-1][1] if self.open else _Place()
 
     def _flush(self) -> None:
-        text = _BLANK.sub(" ", "".join(self.text)).strip()
-        # A block of links alone, outside an article, is a menu.
-        if text and (self.link_free or self._state()[1]):
-            self.blocks.append((text, self._state()[1]))
+        text, place = _BLANK.sub(" ", "".join(self.text)).strip(), self._state()
+        # List items of links alone, outside an article, are a menu.
+        if text and (self.link_free or place.held or not any(name == "li" for name, _ in self.open)):
+            self.blocks.append((text, place, not self.link_free))
         self.text, self.link_free = [], False
 
-    def _is_outside(self, tag: str, attrs: list[tuple[str, str | None]], held: int) -> bool:
+    def _is_outside(self, tag: str, given: dict[str, str | None], held: int) -> bool:
         if tag in OUTSIDE or tag == "header" and not held:
             return True
-        given = dict(attrs)
-        if "hidden" in given or given.get("aria-hidden") == "true" or _HIDDEN.search(given.get("style") or ""):
-            return True
-        if tag in ("html", "body", "main") or tag == "article" and not held:
+        return "hidden" in given or given.get("aria-hidden") == "true" or bool(_HIDDEN.search(given.get("style") or ""))
+
+    def _is_marked(self, tag: str, given: dict[str, str | None]) -> bool:
+        """Whether a whole class, id or role is made of marked words."""
+        if tag in ("html", "body", "main"):
             return False
-        names = " ".join(given.get(key) or "" for key in ("class", "id", "role")).lower()
-        return not MARKED.isdisjoint(_NAMES.findall(names))
+        names = " ".join(given.get(key) or "" for key in ("class", "id", "role")).lower().split()
+        return any((words := _NAMES.findall(name)) and MARKED.issuperset(words) for name in names)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
@@ -101,13 +119,20 @@ class _Blocks(HTMLParser):
             # An unclosed paragraph or list item ends where the next block or item begins.
             closes = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",)}
             self._close_within(closes.get(tag, ("p",)))
-        outside, held = self._state()
-        if tag in ("article", "main") and not any(sure for _, sure in self.blocks) and not held:
-            outside = False  # an element before it was never closed
-        if self._is_outside(tag, attrs, held):
-            outside = True
-        held = max(held, {"main": 1, "article": 2}.get(tag, 0))
-        self.open.append((tag, outside, held))
+        place, given = self._state(), dict(attrs)
+        if tag in ("article", "main") and not any(block.held for _, block, _ in self.blocks) and not place.held:
+            place = _Place()  # an element before it was never closed
+        if self._is_outside(tag, given, place.held):
+            place = replace(place, outside=True)
+        if tag == "form" or self._is_marked(tag, given):
+            place = replace(place, marks=(*place.marks, len(self.named)))
+            self.named.append(self._is_marked(tag, given))
+        if tag in ("article", "main") and not any(self.named[mark] for mark in place.marks):
+            if tag == "article" and not place.article:
+                self.articles += 1
+                place = replace(place, article=self.articles)
+            place = replace(place, held=place.held | {"main": 1, "article": 2}[tag])
+        self.open.append((tag, place))
 
     def _close_within(self, tags: tuple[str, ...]) -> None:
         for at in range(len(self.open) - 1, -1, -1):
@@ -135,25 +160,46 @@ class _Blocks(HTMLParser):
                 return  # an inline end doesn't close a block
 
     def handle_data(self, data: str) -> None:
-        if not self._state()[0]:
+        if not self._state().outside:
             self.text.append(data)
             if not self.link_free and data.strip():
-                self.link_free = not any(name == "a" for name, _, _ in self.open)
+                self.link_free = not any(name == "a" for name, _ in self.open)
 
 
 def blocks_of(html: str) -> tuple[list[str], list[bool]]:
     """The page's candidate blocks, and which are sure to be the article's.
 
-    With an article element, only its blocks are candidates; else with a main element
-    those of that; else all that isn't outside.
+    Marked elements are left out where they hold at most half of the page's words. With an article
+    element, only its blocks are candidates; else with a main element those of that; else
+    all that isn't outside.
     """
     parser = _Blocks()
     parser.feed(html)
     parser.close()
     parser._flush()
-    most = max((sure for _, sure in parser.blocks), default=0)
-    kept = [text for text, sure in parser.blocks if sure == most]
-    return kept, [most > 0] * len(kept)
+    words = [len(_WORDS.findall(text)) for text, _, _ in parser.blocks]
+    marked = [0] * len(parser.named)
+    for n, (_, place, _) in zip(words, parser.blocks, strict=True):
+        for mark in place.marks:
+            marked[mark] += n
+    left = {mark for mark, n in enumerate(marked) if 2 * n <= sum(words)}
+    live = [k for k, (_, place, _) in enumerate(parser.blocks) if left.isdisjoint(place.marks)]
+    articles, main, body, nested = {}, 0, 0, 0
+    for k in live:
+        _, place, links = parser.blocks[k]
+        if any(parser.named[mark] for mark in place.marks) or links and not place.held:
+            continue
+        if place.held & 2:
+            articles[place.article] = articles.get(place.article, 0) + words[k]
+            nested += words[k] * (place.held & 1)
+        elif place.held:
+            main += words[k]
+        else:
+            body += words[k]
+    level = 2 if articles else 1 if main else 0
+    certain = level > 0
+    kept = [parser.blocks[k] for k in live if parser.blocks[k][1].held & level == level]
+    return [text for text, _, _ in kept], [certain and not place.marks for _, place, _ in kept]
 
 
 def _row(row: int, matches: int, full: int) -> int:

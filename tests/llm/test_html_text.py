@@ -60,6 +60,26 @@ def test_blocks(html, blocks):
     assert blocks_of(html)[0] == blocks
 
 
+LONG = "a paragraph of the article with many words in it " * 4
+
+
+@pytest.mark.parametrize("name", ["elementor-widget elementor-widget-text-editor", "content-with-sidebar", "has-sidebar", "social-share-enabled", "post-comment-open"])
+def test_wrappers_that_hold_a_marked_word(name):
+    for around in ("{}", "<article>{}</article>"):
+        html = page(around.format(f"<div class='{name}'><p>text of the page</p></div><p>x</p>"))
+        assert blocks_of(html)[0] == ["text of the page", "x"]
+
+
+def test_page_wide_forms_and_marks_are_unsure():
+    assert blocks_of(page("<form action=x><div><p>all of the page</p></div></form>")) == (["all of the page"], [False])
+    assert blocks_of(page(f"<p>x</p><div class=widget><p>{LONG}</p></div>")) == (["x", LONG.strip()], [False, False])
+    assert blocks_of(page(f"<div class=widget><p>x</p></div><p>{LONG}</p><form>f</form>")) == ([LONG.strip()], [False])
+
+
+def test_headlines_of_links_are_unsure():
+    assert blocks_of(page("<h1><a href=x>Headline</a></h1><p>text</p>")) == (["Headline", "text"], [False, False])
+
+
 def site(spark, rows):
     names = "host string, path string, lines string, gone string"
     return spark.createDataFrame([(*row, *"xxxx") for row in rows], f"page_id long, url string, html string, {names}").repartition(3)
