@@ -170,8 +170,9 @@ def blocks_of(html: str) -> tuple[list[str], list[bool]]:
     """The page's candidate blocks, and which are sure to be the article's.
 
     Marked elements are left out where they hold at most half of the page's words. With an article
-    element, only its blocks are candidates; else with a main element those of that; else
-    all that isn't outside.
+    element that holds as many words as what is beside it, only articles are candidates;
+    else with a main element that holds as many as what is outside, all of that; else all
+    that isn't outside. Only what such an element holds by itself is sure.
     """
     parser = _Blocks()
     parser.feed(html)
@@ -196,8 +197,13 @@ def blocks_of(html: str) -> tuple[list[str], list[bool]]:
             main += words[k]
         else:
             body += words[k]
-    level = 2 if articles else 1 if main else 0
-    certain = level > 0
+    largest = max(articles.values(), default=0)
+    if articles and largest >= max(main, body):
+        level, certain = 2, True
+    elif main and main + nested >= body:
+        level, certain = 1, not articles
+    else:
+        level, certain = 0, False
     kept = [parser.blocks[k] for k in live if parser.blocks[k][1].held & level == level]
     return [text for text, _, _ in kept], [certain and not place.marks for _, place, _ in kept]
 

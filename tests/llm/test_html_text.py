@@ -80,6 +80,14 @@ def test_headlines_of_links_are_unsure():
     assert blocks_of(page("<h1><a href=x>Headline</a></h1><p>text</p>")) == (["Headline", "text"], [False, False])
 
 
+def test_teasers_do_not_replace_the_article():
+    teasers = "<article class=card>teaser</article>" * 3
+    assert blocks_of(page(f"<main><p>{LONG}</p>{teasers}</main>"))[0] == [LONG.strip(), *["teaser"] * 3]
+    assert blocks_of(page(f"<div><p>{LONG}</p></div><article>teaser</article>")) == ([LONG.strip(), "teaser"], [False, False])
+    assert blocks_of(page(f"<div><p>{LONG}</p></div><article class=comment>so bad</article>"))[0] == [LONG.strip()]
+    assert blocks_of(page(f"<article><p>{LONG}</p></article><p>beside</p>")) == ([LONG.strip()], [True])
+
+
 def site(spark, rows):
     names = "host string, path string, lines string, gone string"
     return spark.createDataFrame([(*row, *"xxxx") for row in rows], f"page_id long, url string, html string, {names}").repartition(3)
