@@ -8,7 +8,9 @@
    the longest beginning among its neighbours in path order.
 3. The text lines of a pair are aligned by longest common subsequence. Lines in common that
    aren't sure are the site's, not the article's, and are deleted. Where most of a page's
-   text is in common, the pair are copies of one article, and it stays.
+   text is in common, a second neighbour decides: its lines in common are
+   deleted if it's no copy either, and lines that all three have if they leave text of the
+   page's own. Else the pages are copies of one article, and it stays.
 
 Only hashes of lines travel between pages.
 """
@@ -31,8 +33,10 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.tables import Workspace
 
-#: A page that has this share of its text in common with its neighbour is a copy of it.
+#: A page that has more than this share of its text in common with its neighbour may be a copy of it.
 COPY = 0.5
+#: It is none if, without the lines that a second neighbour has too, this share is its own.
+OWN = 0.1
 #: Cells of an alignment that are kept as bits at once; larger ones are divided.
 CELLS = 1 << 24
 
@@ -307,14 +311,28 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _of_the_site(hashes: np.ndarray, sizes: np.ndarray, others: np.ndarray, second: np.ndarray | None) -> np.ndarray:
+    """Places of lines that the neighbours show to be the site's."""
+    found, most = common_lines(hashes, others), COPY * sizes.sum()
+    if sizes[found].sum() <= most:
+        return found
+    if second is None:
+        return found[:0]
+    also = common_lines(hashes, second)
+    if sizes[also].sum() <= most:
+        return also
+    found = np.intersect1d(found, also)
+    # Copies of one article are the same up to a date or a counter.
+    return found if sizes.sum() - sizes[found].sum() >= OWN * sizes.sum() else found[:0]
+
+
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for page, hashes, sizes, sure, others in batch[["page", "hashes", "sizes", "sure", "others"]].itertuples(index=False):
-            found = common_lines(np.asarray(hashes), np.asarray(others))
+        for page, hashes, sizes, sure, others, second in batch[["page", "hashes", "sizes", "sure", "others", "second"]].itertuples(index=False):
             sizes, sure = np.asarray(sizes), np.asarray(sure, bool)
-            if sizes[found].sum() <= COPY * sizes.sum():
-                rows.append((page, found[~sure[found]].tolist()))
+            found = _of_the_site(np.asarray(hashes), sizes, np.asarray(others), None if second is None else np.asarray(second))
+            rows.append((page, found[~sure[found]].tolist()))
         yield pd.DataFrame(rows, columns=["page", "gone"])
 
 
@@ -329,7 +347,8 @@ def _nearer(path: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
 
 
 def partners(paths: DataFrame, work: Workspace) -> DataFrame:
-    """(host, path, partner) of distinct (host, path): the nearest other path of the host.
+    """(host, path, partner, second) of distinct (host, path): the nearest other path of the
+    host, and the neighbour on the other side, at the host's ends the partner's other one, if any.
 
     Paths are dealt out by range, so that a host of any size is spread; neighbours across the
     ends of ranges come from a table with a row per range.
@@ -348,8 +367,12 @@ def partners(paths: DataFrame, work: Workspace) -> DataFrame:
     )
     same = lambda name: F.when(F.col(f"{name}.host") == F.col("host"), F.col(f"{name}.path"))
     nearer = F.pandas_udf(_nearer, "string")
-    found = near.select(*order, nearer("path", same("before"), same("after")).alias("partner"))
-    return found.where("partner is not null")
+    found = near.select(*order, same("before").alias("before"), same("after").alias("after"))
+    found = found.withColumn("partner", nearer("path", "before", "after")).where("partner is not null")
+    other = F.when(F.col("partner").eqNullSafe(F.col("before")), F.col("after")).otherwise(F.col("before"))
+    beyond = found.select("host", F.col("path").alias("partner"), F.col("before").alias("one"), F.col("after").alias("two"))
+    further = F.when(F.col("one").eqNullSafe(F.col("path")), F.col("two")).otherwise(F.col("one"))
+    return found.join(beyond, ["host", "partner"]).select(*order, "partner", F.coalesce(other, further).alias("second"))
 
 
 def main_text(pages: DataFrame, work: Workspace) -> DataFrame:
@@ -379,12 +402,13 @@ def main_text(pages: DataFrame, work: Workspace) -> DataFrame:
     placed = parsed.where("host is not null")
     paths = placed.groupBy("host", "path").agg(F.min_by("hashes", "page").alias("others"))
     pairs = partners(paths, work)
-    others = pairs.join(paths.toDF("host", "partner", "others"), ["host", "partner"])
+    others = pairs.join(paths.toDF("host", "partner", "others"), ["host", "partner"]).select("host", "path", "others", F.col("second").alias("aside"))
+    others = others.join(paths.toDF("host", "aside", "second"), ["host", "aside"], "left")
     unsure = placed.where(F.exists("sure", lambda s: ~s)).select("host", "path", "page", "hashes", "sizes", "sure")
     gone = (
         unsure.distinct()
-        .join(others.select("host", "path", "others"), ["host", "path"])
-        .select("page", "hashes", "sizes", "sure", "others")
+        .join(others.select("host", "path", "others", "second"), ["host", "path"])
+        .select("page", "hashes", "sizes", "sure", "others", "second")
         .mapInPandas(_shared, "page long, gone array<int>")
         .where(F.size("gone") > 0)
     )

@@ -109,6 +109,20 @@ def test_differencing_deletes_what_neighbours_share(spark, work):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_short_articles_lose_the_site_around_them(spark, work):
+    frame = f"<p>{'menu and notice ' * 15}</p><p>{{}}</p><p>{'footer text ' * 15}</p>"
+    own = lambda k: " ".join(f"word{k}x{i}" for i in range(20))
+    rows = [(k, f"https://a.example/{k}", page(frame.format(own(k)))) for k in range(5)]
+    # three copies of one article, but for a counter
+    rows += [(10 + k, f"https://b.example/{k}", page(f"<p>{own(9)}</p><p>{own(8)}</p><p>{k}</p>")) for k in range(3)]
+    # two copies beside another article
+    rows += [(20 + k, f"https://c.example/{k}", page(f"<p>The site</p><p>{own(7 if k else 6)}</p>")) for k in range(3)]
+    got = {r.page_id: r.text for r in main_text(site(spark, rows), work).collect()}
+    assert [got[k] for k in range(5)] == [own(k) for k in range(5)]
+    assert [got[10 + k] for k in range(3)] == [f"{own(9)}\n\n{own(8)}\n\n{k}" for k in range(3)]
+    assert got[21] == own(7)
+
+
 def test_articles_keep_what_they_share(spark, work):
     html = "<article><h1>{}</h1><p>Licensed under a license</p><p>text {}</p></article>"
     rows = [(k, f"http://a.example/{k}", page(html.format(k, "x" * 200 + str(k)))) for k in range(4)]
