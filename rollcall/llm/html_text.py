@@ -5,7 +5,8 @@
    hold most of the page; blocks inside an article or main element that holds as much as
    the rest are sure to belong to the article, others aren't.
 2. Pages are paired by URL path within their host: each with the one whose path shares
-   the longest beginning among its neighbours in path order.
+   the longest beginning among its neighbours in path order. Different pages of one path are
+   paired in order of their query strings.
 3. The text lines of a pair are aligned by longest common subsequence. Lines in common that
    aren't sure are the site's, not the article's, and are deleted. Where most of a page's
    text is in common, a second neighbour decides: its lines in common are
@@ -279,14 +280,14 @@ def _aligned(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array(found[::-1], np.int64)
 
 
-def _site(url: str | None) -> tuple[str | None, str | None]:
-    """Host and path; None without a host."""
+def _site(url: str | None) -> tuple[str | None, str | None, str | None]:
+    """Host, path and query string; None without a host."""
     try:
         parts = urlsplit((url or "").strip())
         host = (parts.hostname or "").removeprefix("www.")
     except ValueError:
-        return None, None
-    return (host, parts.path or "/") if host else (None, None)
+        return None, None, None
+    return (host, parts.path or "/", parts.query) if host else (None, None, None)
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,14 +301,13 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(k).slice(start, 256) for k in range(3)),
-                    pa.array([host for host, _ in sites], pa.string()),
-                    pa.array([path for _, path in sites], pa.string()),
+                    *(pa.array([site[k] for site in sites], pa.string()) for k in range(3)),
                     pa.array(lines, pa.list_(pa.string())),
                     pa.array([sure for _, sure in found], pa.list_(pa.bool_())),
                     pa.array([np.array([xxhash.xxh3_64_intdigest(t) for t in text], np.uint64).view(np.int64) for text in lines], pa.list_(pa.int64())),
                     pa.array([[len(t) for t in text] for text in lines], pa.list_(pa.int32())),
                 ],
-                ["page_id", "url", "page", "host", "path", "lines", "sure", "hashes", "sizes"],
+                ["page_id", "url", "page", "host", "path", "query", "lines", "sure", "hashes", "sizes"],
             )
 
 
@@ -375,6 +375,16 @@ def partners(paths: DataFrame, work: Workspace) -> DataFrame:
     return found.join(beyond, ["host", "partner"]).select(*order, "partner", F.coalesce(other, further).alias("second"))
 
 
+def _apart(placed: DataFrame) -> DataFrame:
+    """``placed`` with the path as ``base``, and query strings in ``path`` where they name different pages."""
+    print_ = F.xxhash64("hashes")
+    several = placed.groupBy("host", "path").agg(
+        ((F.min(print_) < F.max(print_)) & (F.min("query") < F.max("query"))).alias("several")
+    )
+    found = placed.withColumn("base", F.col("path")).join(several, ["host", "path"])
+    return found.withColumn("path", F.when(F.col("several"), F.concat_ws("?", "base", "query")).otherwise(F.col("base")))
+
+
 def main_text(pages: DataFrame, work: Workspace) -> DataFrame:
     """page_id, url, text, n_chars per row of ``pages`` (page_id, url, html).
 
@@ -382,8 +392,10 @@ def main_text(pages: DataFrame, work: Workspace) -> DataFrame:
     one space; character references are decoded. n_chars counts its code points.
 
     Null and empty pages, and pages without an article's text, give the empty text. Pages
-    without a host in their URL, or alone on their host, are not compared. Rows of one path share
-    a neighbour; of its own rows, the one with the smallest hash is compared. Null
+    without a host in their URL, or alone on their host, are not compared. Different
+    pages of one path are compared with each other, in order of their query strings, and with
+    a page of a neighbouring path. Rows of one path and query string share a neighbour; of its
+    own rows, the one with the smallest hash is compared. Null
     page_ids and repeated rows give rows of their own. No rows give no rows. Other columns
     aren't read. Pages of any length and number of lines work.
     """
@@ -394,16 +406,23 @@ def main_text(pages: DataFrame, work: Workspace) -> DataFrame:
     parsed = work.write(
         rows.mapInArrow(
             _parsed,
-            "page_id long, url string, page long, host string, path string, lines array<string>, sure array<boolean>, "
+            "page_id long, url string, page long, host string, path string, query string, lines array<string>, sure array<boolean>, "
             "hashes array<long>, sizes array<int>",
         ),
         "pages",
     )
-    placed = parsed.where("host is not null")
-    paths = placed.groupBy("host", "path").agg(F.min_by("hashes", "page").alias("others"))
-    pairs = partners(paths, work)
-    others = pairs.join(paths.toDF("host", "partner", "others"), ["host", "partner"]).select("host", "path", "others", F.col("second").alias("aside"))
-    others = others.join(paths.toDF("host", "aside", "second"), ["host", "aside"], "left")
+    placed = _apart(parsed.where("host is not null"))
+    paths = placed.groupBy("host", "path").agg(F.min_by("hashes", "page").alias("others"), F.min("base").alias("base"))
+    # Pages of one path are likely to be alike: a neighbouring path is the second witness.
+    bases = paths.groupBy("host", "base").agg(F.min("path").alias("path"))
+    next_to = partners(bases.select("host", F.col("base").alias("path")), work).select("host", F.col("path").alias("base"), F.col("partner").alias("next"))
+    next_to = next_to.join(bases.toDF("host", "next", "beside"), ["host", "next"]).select("host", "base", "beside")
+    pairs = partners(paths, work).join(paths.select("host", "path", "base"), ["host", "path"]).join(next_to, ["host", "base"], "left")
+    inside = F.startswith("partner", F.concat("base", F.lit("?"))) & (F.col("path") != F.col("base"))
+    pairs = pairs.withColumn("second", F.when(inside, F.coalesce("beside", "second")).otherwise(F.col("second")))
+    others = pairs.join(paths.select("host", F.col("path").alias("partner"), "others"), ["host", "partner"])
+    others = others.select("host", "path", "others", F.col("second").alias("aside"))
+    others = others.join(paths.select("host", F.col("path").alias("aside"), F.col("others").alias("second")), ["host", "aside"], "left")
     unsure = placed.where(F.exists("sure", lambda s: ~s)).select("host", "path", "page", "hashes", "sizes", "sure")
     gone = (
         unsure.distinct()

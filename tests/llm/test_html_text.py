@@ -123,6 +123,19 @@ def test_short_articles_lose_the_site_around_them(spark, work):
     assert got[21] == own(7)
 
 
+def test_pages_of_one_path_are_compared(spark, work):
+    frame = "<p>The name of the site</p><p>{}</p><p>All rights reserved</p>"
+    own = lambda k: " ".join(f"word{k}x{i}" for i in range(20))
+    rows = [(k, f"http://a.example/index.php?id={k}", page(frame.format(own(k)))) for k in range(4)]
+    # one page under several names, but for a counter: the neighbouring path decides
+    rows += [(10 + k, f"http://b.example/x?ref={k}", page(frame.format(own(9)) + f"<p>{k}</p>")) for k in range(3)]
+    rows += [(20, "http://b.example/y", page(frame.format(own(8))))]
+    got = {r.page_id: r.text for r in main_text(site(spark, rows), work).collect()}
+    assert [got[k] for k in range(4)] == [own(k) for k in range(4)]
+    assert [got[10 + k] for k in range(3)] == [f"{own(9)}\n\n{k}" for k in range(3)]
+    assert got[20] == own(8)
+
+
 def test_articles_keep_what_they_share(spark, work):
     html = "<article><h1>{}</h1><p>Licensed under a license</p><p>text {}</p></article>"
     rows = [(k, f"http://a.example/{k}", page(html.format(k, "x" * 200 + str(k)))) for k in range(4)]
