@@ -1,7 +1,13 @@
 from __future__ import annotations
 
+import itertools
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
 from conftest import SMALL
-from llm_fixtures import blank_words  # noqa: F401
+from llm_fixtures import blank_words, components, plain_words, shingles  # noqa: F401
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -35,6 +41,53 @@ def test_stages_over_documents(spark, tmp_path):
     assert sorted(whole.collect()) == sorted(docs.collect())
 
 
+def test_rows_equal_plain_python(spark, tmp_path):
+    """Every stage after the classifier, and run(), fed by the quality stage's accepted ids."""
+    docs, kept = spark.read.parquet(f"{SMALL}/documents.parquet"), []
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        stage(spark, docs, SMALL).write.parquet(f"{tmp_path}/{number}.parquet")
+        docs = spark.read.parquet(f"{tmp_path}/{number}.parquet")
+        kept.append([(r.doc_id, r.text) for r in docs.collect()])
+
+    sets = {i: shingles(blank_words(t), 5) for i, t in kept[0]}
+    assert len(sets) == len(kept[0])
+    links = [
+        (a, b)
+        for a, b in itertools.combinations(sorted(sets), 2)
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    first = components(sets, links)
+    want = {(i, t) for i, t in kept[0] if first[i] == i}
+    assert len(kept[1]) == len(want) < len(kept[0])
+    assert set(kept[1]) == want
+
+    items = [shingles(plain_words(r.text), 5, short=False) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    held = {i: shingles(plain_words(t), 5, short=False) for i, t in want}
+    want = {(i, t) for i, t in want if not any(x and 100 * len(x & held[i]) >= 80 * len(x) for x in items)}
+    assert len(kept[2]) == len(want) < len(kept[1])
+    assert set(kept[2]) == want
+
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/2.parquet/*.parquet')")
+        found = connection.execute(catalogue.ORACLE_SQL["op9_mixing"])
+        at = [x[0] for x in found.description].index
+        taken = {r[at("doc_id")]: r[at("taken")] for r in found.fetchall() if r[at("taken")]}
+    words = Counter()
+    for i, text in kept[3]:
+        words[i] += len(blank_words(text))
+    assert words == taken
+
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(catalogue.word_bpe())
+    codes = Counter()
+    for i, text in kept[3]:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        codes[i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+    whole = corpus_pipeline.run(spark, SMALL).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in whole) == codes
+
+
 def test_no_documents(spark, tmp_path):
     for name in ("documents", "benchmark", "labels"):
         spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
