@@ -3,9 +3,7 @@
 from rollcall.functions.contact import (
     all_present,
     blank_to_null,
-    dialled,
     email,
-    international,
     phone,
 )
 from rollcall.functions.dates import parse_date
@@ -23,9 +21,7 @@ __all__ = [
     "all_present",
     "blank_to_null",
     "data_quality_score",
-    "dialled",
     "email",
-    "international",
     "is_active",
     "match_quality",
     "parse_date",

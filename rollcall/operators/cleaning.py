@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.functions import dialled, email, international, parse_date
+from rollcall.functions import email, parse_date, phone
 from rollcall.operators.keys import unused
 from rollcall.rules import Settings
 from rollcall.schemas import CRM_RAW, TRANSACTION_RAW
@@ -16,8 +16,8 @@ from rollcall.schemas import CRM_RAW, TRANSACTION_RAW
 
 def tidy_crm(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Trim, normalise and type the customer feed, row by row."""
-    number = unused(raw, "_dialled")
-    return _prepared(raw, number).select(
+    dates = ("registration_date", "last_updated")
+    return _normalised(raw, "email", dates, settings).select(
         F.trim("customer_id").alias("customer_id"),
         F.trim("first_name").alias("first_name"),
         F.trim("last_name").alias("last_name"),
@@ -26,17 +26,16 @@ def tidy_crm(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
         F.trim("address").alias("address"),
         F.trim("city").alias("city"),
         "country",
-        _date("registration_date", settings),
-        _date("last_updated", settings),
-        email(F.col("email")).alias("normalized_email"),
-        _phone(number, settings),
+        *dates,
+        "normalized_email",
+        "normalized_phone",
     )
 
 
 def tidy_transactions(raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Trim, normalise and type the purchase feed, row by row."""
-    number = unused(raw, "_dialled")
-    return _prepared(raw, number).select(
+    dates = ("purchase_date",)
+    return _normalised(raw, "customer_email", dates, settings).select(
         F.trim("transaction_id").alias("transaction_id"),
         "customer_email",
         F.trim("first_name").alias("first_name"),
@@ -45,28 +44,24 @@ def tidy_transactions(raw: DataFrame, settings: Settings = Settings()) -> DataFr
         F.trim("shipping_address").alias("shipping_address"),
         F.trim("city").alias("city"),
         "country",
-        _date("purchase_date", settings),
-        email(F.col("customer_email")).alias("normalized_email"),
-        _phone(number, settings),
+        *dates,
+        "normalized_email",
+        "normalized_phone",
     )
 
 
-def _prepared(raw: DataFrame, dialled_as: str) -> DataFrame:
-    """What the phone rule looks at more than once, computed once."""
+def _normalised(raw: DataFrame, address: str, dates: Sequence[str], settings: Settings) -> DataFrame:
+    """With the country trimmed, dates parsed, email and phone normalised."""
+    raw = raw.withColumn("country", F.trim("country"))
     return raw.withColumns(
-        {"country": F.trim("country"), dialled_as: dialled(F.col("phone"))}
+        {
+            **{name: parse_date(F.col(name), settings.date_formats) for name in dates},
+            "normalized_email": email(F.col(address)),
+            "normalized_phone": phone(F.col("phone"), F.col("country"), settings.phone_regions),
+        }
     )
 
 
-def _phone(dialled_as: str, settings: Settings) -> Column:
-    number = international(F.col(dialled_as), F.col("country"), settings.phone_regions)
-    return number.alias("normalized_phone")
-
-
-def _date(name: str, settings: Settings) -> Column:
-    return parse_date(F.col(name), settings.date_formats).alias(name)
-
-
 def latest_per_key(
     df: DataFrame, key: str, newest: str, ties: Sequence[str] | None = None
 ) -> DataFrame:
