@@ -16,6 +16,7 @@ from rollcall.llm.line_dedup import without_repeated_lines
 from rollcall.llm.mixing import mixed_sources
 from rollcall.llm.near_dedup import near_duplicates
 from rollcall.llm.quality import scored_quality
+from rollcall.llm.suffix_dedup import without_repeated_bytes
 from rollcall.llm.tables import Workspace, table
 from rollcall.llm.token_codes import read_digests, write_codes
 from rollcall.llm.toxicity import scored_toxicity
@@ -93,3 +94,9 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents", "doc_id", "text")
     return scored_quality(documents, table(spark, folder, "labels", "doc_id", "quality"), Workspace(spark))
+
+
+@_query
+def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = without_repeated_bytes(table(spark, folder, "documents", "doc_id", "text"), Workspace(spark))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
