@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from rollcall.llm import oracle
 from rollcall.llm.decontamination import contaminated
 from rollcall.llm.embeddings import linked_vectors
+from rollcall.llm.fill_middle import filled_middle
 from rollcall.llm.html_text import main_text
 from rollcall.llm.licenses import license_scan
 from rollcall.llm.line_dedup import without_repeated_lines
+from rollcall.llm.merkle import manifest, proof_digest
 from rollcall.llm.mixing import mixed_sources
 from rollcall.llm.near_dedup import near_duplicates
 from rollcall.llm.quality import scored_quality
@@ -100,3 +102,19 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = without_repeated_bytes(table(spark, folder, "documents", "doc_id", "text"), Workspace(spark))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    proven = manifest(documents, Workspace(spark))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+@_query
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    filled = filled_middle(table(spark, folder, "documents", "doc_id", "text"))
+    digests = [F.sha2(name, 256).alias(f"{name}_sha256") for name in ("output", "restored")]
+    return filled.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)

@@ -129,10 +129,111 @@ SELECT doc_id, size, source_size, target, CAST(passes * size
 FROM cut
 """
 
+# Bytes as two hexadecimal digits each; a window of 50 bytes is 100 of them.
+SUFFIX_DEDUP = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+windows AS (
+  SELECT doc_id, k, substr(x, 2 * k + 1, 100) AS s
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS k FROM texts)),
+holders AS (SELECT s, min(doc_id) AS holder FROM windows GROUP BY s),
+lost AS (
+  SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before
+  FROM windows JOIN holders USING (s) WHERE holder < doc_id),
+islands AS (
+  SELECT doc_id, k, count(*) FILTER (WHERE before IS NULL OR k > before + 50) OVER (PARTITION BY doc_id ORDER BY k) AS island FROM lost),
+spans AS (SELECT doc_id, min(k) AS a, max(k) + 50 AS b FROM islands GROUP BY doc_id, island),
+gaps AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM spans)
+SELECT doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(sum(b - a), 0) AS BIGINT) AS n_removed, count(a) AS n_spans,
+  sha256(unhex(coalesce(string_agg(substr(x, 2 * p + 1, 2 * (a - p)), '' ORDER BY a), '')
+    || substr(x, 2 * coalesce(max(b), 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN gaps USING (doc_id) GROUP BY doc_id, x
+"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def _merkle(fanout: int = 16, heights: tuple[int, int] = (6, 3)) -> str:
+    """Trees of at most so many levels below and above the sources' roots."""
+    crc = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+      string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0]))),
+      lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1))))"""
+    leaf = lambda text: f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+    steps = [
+        f"""docs AS (SELECT doc_id, source, {leaf('text')} AS leaf,
+      CASE WHEN {crc} % 5 = 0 THEN {leaf(LOWER.format('text'))} ELSE {leaf('text')} END AS folded,
+      row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place FROM documents)""",
+        """a0 AS (SELECT source, place, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM docs)""",
+    ]
+
+    def levels(name: str, height: int) -> None:
+        for k in range(height):
+            steps.append(
+                f"""{name}{k + 1} AS (SELECT source, place // {fanout} AS place, list(digest ORDER BY place) AS run,
+      CASE WHEN any_value(n) > 1 THEN sha256(string_agg(digest, '' ORDER BY place)) ELSE any_value(digest) END AS digest,
+      (any_value(n) + {fanout - 1}) // {fanout} AS n, any_value(n) > 1 AS several FROM {name}{k} GROUP BY source, place // {fanout})"""
+            )
+
+    def climb(before: str, name: str, height: int, place: str) -> str:
+        for k in range(height):
+            slot = f"({place} // {fanout**k} % {fanout})"
+            left, right = f"array_to_string(run[:{slot}], '')", f"array_to_string(run[{slot} + 2:], '')"
+            steps.append(
+                f"""on_{name}{k} AS (SELECT p.* EXCLUDE (proof, folded), CASE WHEN several THEN proof || {left} || {right} ELSE proof END AS proof,
+      CASE WHEN several THEN sha256({left} || folded || {right}) ELSE folded END AS folded
+      FROM {before} p JOIN {name}{k + 1} x ON x.source IS NOT DISTINCT FROM p.{'source' if name == 'a' else 'every'}
+        AND x.place = p.{place} // {fanout ** (k + 1)})"""
+            )
+            before = f"on_{name}{k}"
+        return before
+
+    levels("a", heights[0])
+    steps.append(f"""b0 AS (SELECT 'all' AS source, row_number() OVER (ORDER BY source ASC NULLS FIRST) - 1 AS place, source AS own,
+      digest, count(*) OVER () AS n FROM a{heights[0]})""")
+    levels("b", heights[1])
+    steps.append("starts AS (SELECT docs.*, '' AS proof FROM docs)")
+    top = climb("starts", "a", heights[0], "place")
+    steps.append(f"""tops AS (SELECT p.*, b0.place AS tree, 'all' AS every, b0.digest AS subroot
+      FROM {top} p JOIN b0 ON b0.own IS NOT DISTINCT FROM p.source)""")
+    top = climb("tops", "b", heights[1], "tree")
+    chain = ",\n".join(steps)
+    return f"""WITH {chain}
+SELECT doc_id, leaf, subroot, (SELECT digest FROM b{heights[1]}) AS root, sha256(proof) AS proof_sha256,
+  folded AS folded_root, folded = (SELECT digest FROM b{heights[1]}) AS verified FROM {top}"""
+
+
+FILL_MIDDLE = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^
+]*
+|[^
+]+') AS lines,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, len(lines) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(lines) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(lines) + 1) AS y,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM texts),
+parts AS (
+  SELECT *, array_to_string(lines[:least(x, y)], '') AS prefix, array_to_string(lines[least(x, y) + 1:greatest(x, y)], '') AS middle,
+    array_to_string(lines[greatest(x, y) + 1:], '') AS suffix FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
 STATEMENTS = {
     "op1_decontamination": DECONTAMINATION,
     "op3_embedding_dedup": EMBEDDING_LINKS,
     "op4_line_dedup": LINE_DEDUP,
     "op7_near_dedup": NEAR_DEDUP,
     "op9_mixing": MIXING,
+    "op11_suffix_dedup": SUFFIX_DEDUP,
+    "op12_merkle": _merkle(),
+    "op13_fill_middle": FILL_MIDDLE,
 }
