@@ -195,3 +195,17 @@ def phone_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def date_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_sql(spark, sf_dir, DATE_CASES_SQL)
+
+
+# Which of three batches brings a row. Copies of one id mostly come in different ones.
+CRM_LOT = "(cast(coalesce(substr(trim(customer_id), 4), '0') as int) + cast(right(last_updated, 1) as int)) % 3"
+TRX_LOT = "(cast(substr(transaction_id, 4) as int) + cast(right(purchase_date, 1) as int)) % 3"
+BATCHES = 3
+
+# Days of the snapshots that a history is made of: what had been bought by then.
+SNAPSHOT_DAYS = (dt.date(1996, 1, 1), dt.date(1998, 1, 1), dt.date(2001, 12, 31))
+
+
+def batches(feed: DataFrame, lot: str) -> list[DataFrame]:
+    """All rows of a feed in its batches."""
+    return [feed.filter(f"{lot} = {k}") for k in range(BATCHES)]

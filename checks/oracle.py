@@ -248,6 +248,49 @@ STEPS = {
 }
 
 
+def _until(table: str, tidy: str, key: str, newest: str, columns: tuple[str, ...], lots: int) -> str:
+    """The newest rows of the first batches."""
+    lot = {"crm": fixture.CRM_LOT, "trx": fixture.TRX_LOT}[table]
+    lot = lot.replace(f"right({newest}, 1)", f"right(CAST({newest} AS VARCHAR), 1)")
+    return _newest(f"(SELECT * FROM {tidy} WHERE {lot} < {lots})", key, newest, columns)
+
+
+def _touched() -> str:
+    """Customers that the last batch brings or renews, or that share a key with a transaction it changes."""
+    last = fixture.BATCHES
+    crm = [_until("crm", "crm_tidy", "customer_id", "last_updated", CRM_TIDY, k + 1) for k in range(last)]
+    trx = [_until("trx", "trx_tidy", "transaction_id", "purchase_date", TRX_TIDY, k + 1) for k in range(last)]
+    rules = (("normalized_email",), ("normalized_phone",), ("first_name", "last_name", "city", "country"))
+    shared = " UNION ".join(
+        "SELECT c.customer_id FROM versions c JOIN changed t ON "
+        + " AND ".join(f"c.{k} = t.{k} AND trim(c.{k}) <> ''" for k in keys)
+        for keys in rules
+    )
+    return f"""(WITH versions AS ({' UNION '.join(f'({x})' for x in crm)}),
+      before AS ({trx[-2]}), now AS ({trx[-1]}),
+      changed AS ((TABLE now EXCEPT TABLE before) UNION (TABLE before EXCEPT TABLE now))
+      {shared} UNION SELECT customer_id FROM (({crm[-1]}) EXCEPT ({crm[-2]})))"""
+
+
+def _snapshots() -> str:
+    """The merged record after each day, as ``s``, 0 on."""
+    parts = []
+    for number, day in enumerate(fixture.SNAPSHOT_DAYS):
+        bought = {"trx": f"SELECT * FROM ({STEPS['trx']}) WHERE purchase_date <= DATE '{day}'"}
+        steps = ", ".join(f"{name} AS ({sql})" for name, sql in (STEPS | bought).items())
+        parts.append(f"SELECT {number} AS s, m AS record FROM (WITH {steps} SELECT * FROM merged) m")
+    return " UNION ALL ".join(parts)
+
+
+def _history() -> str:
+    days = ", ".join(f"DATE '{day}'" for day in fixture.SNAPSHOT_DAYS)
+    same = "OVER (PARTITION BY record.crm_id ORDER BY s)"
+    return f"""WITH snapshots AS ({_snapshots()}),
+      marked AS (SELECT *, s = 0 OR lag(record) {same} IS DISTINCT FROM record AS begins FROM snapshots),
+      intervals AS (SELECT record, [{days}][s + 1] AS valid_from, [{days}][lead(s) {same} + 1] AS valid_to FROM marked WHERE begins)
+      SELECT unnest(record), valid_from, valid_to FROM intervals"""
+
+
 def _chain(final: str) -> str:
     """``final`` after all steps; DuckDB evaluates only those it needs."""
     steps = ",\n".join(f"{name} AS ({sql})" for name, sql in STEPS.items())
@@ -420,6 +463,9 @@ FINAL = {
     "analytics_subset": f"SELECT {_list(ANALYTICS_COLUMNS)} FROM master",
     "master_sample": f"SELECT {_list(SAMPLE_COLUMNS)} FROM master "
     "ORDER BY gold_customer_id LIMIT 10",
+    "incremental_master": f"SELECT {_MASTER} FROM master",
+    "incremental_touched": f"""SELECT crm_id, match_type, txn_id, total_transactions FROM merged m
+      WHERE EXISTS (SELECT 1 FROM {_touched()} t WHERE t.customer_id IS NOT DISTINCT FROM m.crm_id)""",
     "sink_master_parquet": f"SELECT {_MASTER} FROM master",
     "sink_analytics_parquet": f"SELECT {_list(ANALYTICS_COLUMNS)} FROM master",
     "sink_quality_json": _CRM_LINES,
@@ -427,4 +473,4 @@ FINAL = {
 
 
 def statements() -> dict[str, str]:
-    return {name: _chain(final) for name, final in FINAL.items()}
+    return {name: _chain(final) for name, final in FINAL.items()} | {"master_history": _history()}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from checks import fixture
 from rollcall import functions as fn
 from rollcall import operators as op
+from rollcall.plans import Mastery, apply_all
 from rollcall.rules import MASTER_PROFILE, MATCH_RULES, ProfileSpec
 from rollcall.sources import (
     Scratch,
@@ -389,6 +390,44 @@ def master_sample(feeds: Feeds) -> DataFrame:
     return op.master_sample(feeds.master)
 
 
+# --- batch by batch -------------------------------------------------------------
+
+
+def _mastery(feeds: Feeds) -> Mastery:
+    """The state after all batches of both feeds."""
+    crm = fixture.batches(feeds.crm_raw, fixture.CRM_LOT)
+    trx = fixture.batches(feeds.trx_raw, fixture.TRX_LOT)
+    state = Mastery(feeds.spark, f"{output_folder(feeds.spark).folder}/mastery")
+    return apply_all(state, list(zip(crm, trx, strict=True)))
+
+
+@query
+def incremental_master(feeds: Feeds) -> DataFrame:
+    return _comparable(_mastery(feeds).master(as_of=fixture.AS_OF))
+
+
+@query
+def incremental_touched(feeds: Feeds) -> DataFrame:
+    state = _mastery(feeds)
+    last = state.touched_by(state.version())
+    return last.select("crm_id", "match_type", "txn_id", "total_transactions")
+
+
+@query
+def master_history(feeds: Feeds) -> DataFrame:
+    scratch, history = output_folder(feeds.spark), None
+    for number, day in enumerate(fixture.SNAPSHOT_DAYS):
+        trx = feeds.trx.filter(F.col("purchase_date") <= day)
+        mapping = op.reconcile(feeds.crm, trx, keyed=True)
+        snapshot = scratch.stage(op.survivorship(feeds.crm, trx, mapping), f"snapshot_{number}")
+        if history is None:
+            history = op.first_history(snapshot, day)
+        else:
+            history = op.next_history(history, snapshot, day, "crm_id")
+        history = scratch.stage(history, f"history_{number}")
+    return _comparable(history)
+
+
 # --- sinks --------------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from rollcall.operators.cleaning import (
     tidy_transactions,
     with_lineage,
 )
+from rollcall.operators.history import at_moment, changes, first_history, next_history
 from rollcall.operators.mastering import (
     analytics_view,
     build_master,
@@ -40,12 +41,15 @@ __all__ = [
     "aggregate_transactions",
     "all_matches",
     "analytics_view",
+    "at_moment",
     "best_match",
     "build_master",
+    "changes",
     "clean_crm",
     "clean_transactions",
     "completeness",
     "derive",
+    "first_history",
     "freshness",
     "latest_per_key",
     "latest_transaction",
@@ -54,6 +58,7 @@ __all__ = [
     "match_pairs",
     "match_rate",
     "match_stats",
+    "next_history",
     "profile",
     "profile_lines",
     "reconcile",

@@ -30,10 +30,8 @@ from rollcall.schemas import (
 )
 
 
-def attach_facts(
-    customers: DataFrame, trx: DataFrame, sample_size: int, match_blank: bool = False
-) -> DataFrame:
-    """Left join purchase facts (``trx``) to ``crm``-aliased customers by email.
+def attach_facts(customers: DataFrame, facts: DataFrame, match_blank: bool = False) -> DataFrame:
+    """Left join purchase facts (as ``trx``) to ``crm``-aliased customers by email.
 
     Customers without an email match nothing, but a plain outer join would send
     all of them to one task. They get a join key of their own instead, which
@@ -48,7 +46,7 @@ def attach_facts(
     email = F.col("crm.normalized_email")
     email = email if match_blank else blank_to_null(email)
     key = F.coalesce(email, F.concat(F.lit("no email "), F.coalesce("crm.customer_id", F.lit(""))))
-    facts, keys = hash_led(email_facts(trx, sample_size, match_blank), ["normalized_email"])
+    facts, keys = hash_led(facts, ["normalized_email"])
     condition = (
         (F.xxhash64(key) == F.col(f"trx.{keys[0]}"))
         & (key == F.col("trx.normalized_email"))
@@ -73,6 +71,19 @@ def survivorship(
     A customer without an id keeps its fields, too. A mapping that ``reconcile``
     has ``keyed`` is joined where its rows are.
     """
+    facts = email_facts(trx, settings.sample_size, matches_blank_emails(settings))
+    return merge_facts(crm, facts, mapping, settings)
+
+
+def matches_blank_emails(settings: Settings) -> bool:
+    by_email = [rule for rule in settings.match_rules if rule.keys == ("normalized_email",)]
+    return any(rule.match_blank for rule in by_email)
+
+
+def merge_facts(
+    crm: DataFrame, facts: DataFrame, mapping: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """:func:`survivorship` with the purchase facts per email (``email_facts``)."""
     if not set(ID_KEY) <= set(mapping.columns):
         mapping = mapping.select(*MAPPING_COLUMNS, *id_key("crm_customer_id"))
     same = reduce(
@@ -92,9 +103,7 @@ def survivorship(
     }
     wanted = [c for c in MASTER_COLUMNS if c in fields]
     wanted += [c for c in fields if c not in MASTER_COLUMNS]
-    by_email = [rule for rule in settings.match_rules if rule.keys == ("normalized_email",)]
-    match_blank = any(rule.match_blank for rule in by_email)
-    merged = attach_facts(customers, trx, settings.sample_size, match_blank)
+    merged = attach_facts(customers, facts, matches_blank_emails(settings))
     return merged.select(*[fields[name].alias(name) for name in wanted])
 
 

@@ -149,31 +149,49 @@ def _rule_keys(
     )
 
 
+def lowest_per_key(
+    trx: DataFrame, rules: Sequence[MatchRule] = MATCH_RULES, threshold: float = 0.5
+) -> DataFrame:
+    """The lowest transaction id per rule and key: all that :func:`reconcile` needs of
+    the transactions. Two of them merge into one by the minimum per key."""
+    ranked = _ranked(rules, threshold)
+    transactions = _rule_keys(trx, "transaction_id", ranked)
+    parts = [c for c in transactions.columns if c != "transaction_id"]
+    keyed, keys = hash_led(transactions, parts)
+    return keyed.groupBy(*keys).agg(F.min("transaction_id").alias("transaction_id")).drop(keys[0])
+
+
+def customer_keys(
+    crm: DataFrame, rules: Sequence[MatchRule] = MATCH_RULES, threshold: float = 0.5
+) -> DataFrame:
+    """customer_id and the keys it has, laid out as in :func:`lowest_per_key`."""
+    return _rule_keys(crm, "customer_id", _ranked(rules, threshold))
+
+
 def _candidates(
-    crm: DataFrame, trx: DataFrame, ranked: Sequence[MatchRule]
+    crm: DataFrame, links: DataFrame, ranked: Sequence[MatchRule]
 ) -> DataFrame:
     """Per customer and rule that matches: rank and lowest transaction id."""
-    if not ranked:
-        return crm.select(
-            "customer_id",
-            F.lit(0).alias(_RANK),
-            F.lit(None).cast("string").alias("transaction_id"),
-        ).filter(F.lit(False))
     customers = _rule_keys(crm, "customer_id", ranked)
     parts = [c for c in customers.columns if c != "customer_id"]
     customers, keys = hash_led(customers, parts)
-    transactions, _ = hash_led(_rule_keys(trx, "transaction_id", ranked), parts)
-    lowest = F.min("transaction_id").alias("transaction_id")
     # A key may belong to very many customers. Spark splits such a partition of a
     # join, but only if both sides were shuffled for that join and nothing else;
     # hashing the reduced keys anew parts it from the shuffle of the aggregate.
-    reduced = transactions.groupBy(*keys).agg(lowest).drop(keys[0])
-    reduced, _ = hash_led(reduced, parts)
+    reduced, _ = hash_led(links, parts)
     return customers.join(reduced, keys, "inner").select(
         "customer_id", _RANK, "transaction_id"
     )
 
 
+def _no_candidates(crm: DataFrame) -> DataFrame:
+    return crm.select(
+        "customer_id",
+        F.lit(0).alias(_RANK),
+        F.lit(None).cast("string").alias("transaction_id"),
+    ).filter(F.lit(False))
+
+
 def _strongest(candidates: DataFrame) -> DataFrame:
     """Grouped by what is never NULL, so that a later join on the id, a missing one
     included, finds the rows where they are."""
@@ -222,7 +240,10 @@ def best_match(
     Confidence decides, then the rule's priority, then the lowest transaction id.
     """
     ranked = _ranked(rules, threshold)
-    return _as_mapping(_strongest(_candidates(crm, trx, ranked)), ranked)
+    if not ranked:
+        return _as_mapping(_strongest(_no_candidates(crm)), ranked)
+    links = lowest_per_key(trx, rules, threshold)
+    return _as_mapping(_strongest(_candidates(crm, links, ranked)), ranked)
 
 
 def unmatched_customers(crm: DataFrame, matched: DataFrame) -> DataFrame:
@@ -254,15 +275,27 @@ def reconcile(
     grouped by, which saves :func:`~rollcall.operators.mastering.survivorship`
     their shuffle.
     """
+    links = lowest_per_key(trx, rules, threshold) if _ranked(rules, threshold) else None
+    return reconcile_keys(crm, links, rules, threshold, keyed)
+
+
+def reconcile_keys(
+    crm: DataFrame,
+    links: DataFrame | None,
+    rules: Sequence[MatchRule] = MATCH_RULES,
+    threshold: float = 0.5,
+    keyed: bool = False,
+) -> DataFrame:
+    """:func:`reconcile` with transactions that :func:`lowest_per_key` has reduced."""
     ranked = _ranked(rules, threshold)
-    nobody = crm.select(
+    found = crm.select(
         "customer_id",
         F.lit(len(ranked)).alias(_RANK),
         F.lit(None).cast("string").alias("transaction_id"),
     )
-    found = _candidates(crm, trx, ranked)
-    strongest = _strongest(found.unionByName(nobody))
-    return _as_mapping(strongest, ranked, ID_KEY if keyed else ())
+    if ranked:
+        found = _candidates(crm, links, ranked).unionByName(found)
+    return _as_mapping(_strongest(found), ranked, ID_KEY if keyed else ())
 
 
 # --- figures ------------------------------------------------------------------

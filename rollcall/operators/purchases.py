@@ -104,6 +104,28 @@ def email_facts(
     return keyed_facts(keyed, keys, sample_size).drop(keys[0])
 
 
+def merged_facts(parts: DataFrame, sample_size: int = 100) -> DataFrame:
+    """One row per email from several rows of :func:`email_facts`, over transactions that
+    have none in common. A row of an email is a part of its purchases."""
+    details = F.struct(*LATEST_DETAILS)
+    # The latest purchase is the one with the last date and the greatest id among those.
+    latest = F.max_by(details, F.struct("last_purchase_date", "latest_transaction_id"))
+    samples = F.flatten(F.collect_list("sample_transaction_ids"))
+    keyed, keys = hash_led(parts, ["normalized_email"])
+    return (
+        keyed.groupBy(*keys)
+        .agg(
+            F.min("first_purchase_date").alias("first_purchase_date"),
+            F.max("last_purchase_date").alias("last_purchase_date"),
+            F.sum("total_transactions").alias("total_transactions"),
+            F.slice(F.sort_array(samples), 1, sample_size).alias("sample_transaction_ids"),
+            latest.alias("_latest"),
+        )
+        .select("normalized_email", "first_purchase_date", "last_purchase_date", "total_transactions",
+                "sample_transaction_ids", "_latest.*")
+    )
+
+
 def aggregate_transactions(trx: DataFrame, sample_size: int = 100) -> DataFrame:
     """Purchase facts per email; transactions without one form a group, too."""
     # Two columns that are never NULL stand in for the email.

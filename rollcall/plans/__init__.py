@@ -1,5 +1,6 @@
-"""The whole batch."""
+"""The whole batch, and batch after batch."""
 
 from rollcall.plans.batch import Mastered, master_feeds, publish
+from rollcall.plans.incremental import Mastery, apply_all
 
-__all__ = ["Mastered", "master_feeds", "publish"]
+__all__ = ["Mastered", "Mastery", "apply_all", "master_feeds", "publish"]

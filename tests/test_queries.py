@@ -17,11 +17,11 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries.QUERIES) == set(oracle.FINAL)
+    assert set(queries.QUERIES) == set(oracle.statements())
     assert set(queries.QUERIES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(oracle.FINAL))
+@pytest.mark.parametrize("name", list(oracle.statements()))
 def test_spark_and_sql_agree(spark, con, name):
     assert compare.differences(spark, con, SMALL, name) is None
 
