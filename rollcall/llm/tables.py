@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -45,7 +46,17 @@ class Workspace:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.paths[name])
 
-    def remove(self, name: str) -> None:
-        """Delete a table that no later job reads."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def remove(self, *names: str) -> None:
+        """Delete tables that no later job reads."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def let_go(self) -> None:
+        """Have Spark delete shuffle files of jobs that are over.
+
+        Its context cleaner does so once the driver's JVM has collected the plans, which a driver
+        that does little may put off for long.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
