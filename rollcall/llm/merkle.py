@@ -20,7 +20,7 @@ from rollcall.llm.tables import Workspace
 #: Children of a node.
 FANOUT = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_STEP = "struct<left:string,right:string>"
+_STEP = "struct<left:binary,right:binary>"
 
 
 def field(value: Column) -> Column:
@@ -51,7 +51,10 @@ def ranked(frame: DataFrame, order: list[Column], work: Workspace, name: str) ->
 
 
 def _siblings(nodes: DataFrame, fanout: int) -> DataFrame:
-    """``nodes`` with the digests left and right of each in its run, joined as text."""
+    """``nodes`` with the digests left and right of each in its run, joined.
+
+    All joins are merge joins, so that a level of any size is worked on alike.
+    """
     slot = F.col("idx") % fanout
     if fanout == 2:
         place = F.col("idx").bitwiseXOR(F.lit(1).cast("long"))
@@ -59,47 +62,57 @@ def _siblings(nodes: DataFrame, fanout: int) -> DataFrame:
         shifts = F.sequence(F.lit(1), F.lit(fanout - 1))
         place = F.explode(F.transform(shifts, lambda shift: F.col("idx") - slot + (slot + shift) % fanout))
     asked = nodes.select("tree", F.col("idx").alias("asking"), "n", place.alias("idx")).where("idx < n").drop("n")
-    found = asked.join(nodes.select("tree", "idx", "digest"), ["tree", "idx"])
+    found = asked.join(nodes.select("tree", "idx", "digest").hint("merge"), ["tree", "idx"])
     of_node = found.groupBy("tree", F.col("asking").alias("idx")).agg(
-        F.array_sort(F.collect_list(F.struct("asking", F.col("idx").alias("place"), "digest"))).alias("others")
+        F.array_sort(F.collect_list(F.struct(F.col("idx").alias("place"), "digest"))).alias("others")
     )
-    side = lambda keeps: F.array_join(F.transform(F.filter("others", keeps), lambda x: x["digest"]), "")
-    sides = of_node.select(
-        "tree", "idx",
-        side(lambda x: x["place"] < x["asking"]).alias("left"), side(lambda x: x["place"] > x["asking"]).alias("right"),
-    )
-    # The only node of a last run has no siblings.
-    none = {"left": F.coalesce("left", F.lit("")), "right": F.coalesce("right", F.lit(""))}
-    return nodes.join(sides, ["tree", "idx"], "left").withColumns(none)
+    sides = nodes.join(of_node.hint("merge"), ["tree", "idx"], "left")
+
+    def side(keeps) -> Column:
+        digests = F.transform(F.filter("others", keeps), lambda x: x["digest"])
+        # The only node of a last run has no siblings.
+        return F.coalesce(F.aggregate(digests, F.lit(b""), lambda a, b: F.concat(a, b)), F.lit(b""))
+
+    both = {"left": side(lambda x: x["place"] < F.col("idx")), "right": side(lambda x: x["place"] > F.col("idx"))}
+    return sides.withColumns(both).drop("others")
+
+
+def _text(digest: Column) -> Column:
+    return F.lower(F.hex(digest))
+
+
+def _digest(*digests: Column) -> Column:
+    """The digest of digests as hex text, as bytes."""
+    return F.unhex(F.sha2(_text(F.concat(*digests)), 256))
 
 
 def grow(leaves: DataFrame, work: Workspace, name: str, fanout: int = FANOUT) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Levels of trees from ``leaves`` (tree, idx, digest, n) up, and the roots of each height.
+    """Levels of trees from ``leaves`` (tree, idx, digest, n, and more) up, and the roots of each height.
 
-    ``levels[k]`` has tree, idx, left, right of the nodes of trees with several nodes at level k,
-    ``roots[k]`` has tree and digest of the trees with one.
+    ``levels[k]`` has tree, idx, digest, left, right of the nodes of trees with several nodes at level k,
+    ``roots[k]`` has tree and digest of the trees with one. Level 0 keeps the other columns of the leaves.
     """
     levels, roots, nodes = [], [], leaves
     while True:
-        roots.append(nodes.where("n = 1").select("tree", "digest"))
+        roots.append(nodes.where("n = 1"))
         several = nodes.where("n > 1")
         if several.isEmpty():
             return levels, roots
         level = work.write(_siblings(several, fanout), f"{name}-{len(levels)}")
-        levels.append(level.select("tree", "idx", "left", "right"))
+        levels.append(level.drop("n"))
         nodes = level.where(F.col("idx") % fanout == 0).select(
             "tree",
             F.expr(f"idx div {fanout}").alias("idx"),
-            F.sha2(F.concat("digest", "right"), 256).alias("digest"),
+            _digest(F.col("digest"), F.col("right")).alias("digest"),
             F.expr(f"(n + {fanout - 1}) div {fanout}").alias("n"),
         )
 
 
 def paths(levels: list[DataFrame], tops: list[DataFrame], work: Workspace, name: str, fanout: int = FANOUT) -> DataFrame:
-    """(tree, idx, path, and the columns of ``tops``) of all nodes of level 0.
+    """(tree, idx, path, the columns of ``tops``, and the other ones of the leaves) of all leaves.
 
     ``tops[k]`` has the trees whose root lies at level k, with the path from there on and
-    whatever else their leaves are to know.
+    whatever else their leaves are to know; ``tops[0]`` also has the other columns of its leaves.
     """
     below = None
     for k in reversed(range(len(tops))):
@@ -107,7 +120,8 @@ def paths(levels: list[DataFrame], tops: list[DataFrame], work: Workspace, name:
         if below is not None:
             above = below.withColumnRenamed("idx", "parent")
             step = F.array(F.struct("left", "right")).cast(f"array<{_STEP}>")
-            level = levels[k].withColumn("parent", F.expr(f"idx div {fanout}")).join(above, ["tree", "parent"])
+            level = levels[k].drop("digest") if k else levels[k]
+            level = level.withColumn("parent", F.expr(f"idx div {fanout}")).join(above.hint("merge"), ["tree", "parent"])
             own = own.unionByName(level.withColumn("path", F.concat(step, "path")).select(own.columns))
         below = work.write(own, f"{name}-{k}") if k else own
     return below
@@ -115,11 +129,13 @@ def paths(levels: list[DataFrame], tops: list[DataFrame], work: Workspace, name:
 
 def folded(digest: Column, path: Column) -> Column:
     """The root that a leaf and the siblings on its path give."""
-    return F.aggregate(path, digest, lambda d, s: F.sha2(F.concat(s["left"], d, s["right"]), 256))
+    return F.aggregate(path, digest, lambda d, s: _digest(s["left"], d, s["right"]))
 
 
 def proof_digest(path: Column) -> Column:
-    return F.sha2(F.array_join(F.transform(path, lambda s: F.concat(s["left"], s["right"])), ""), 256)
+    """sha256 of all siblings on a path, as hex text."""
+    siblings = F.transform(path, lambda s: _text(F.concat(s["left"], s["right"])))
+    return F.sha2(F.array_join(siblings, ""), 256)
 
 
 def manifest(documents: DataFrame, work: Workspace, fanout: int = FANOUT, tampered: int = 5) -> DataFrame:
@@ -152,35 +168,47 @@ def manifest(documents: DataFrame, work: Workspace, fanout: int = FANOUT, tamper
     sources = ranked(sources, [F.asc_nulls_first("source")], work, "sources").withColumnRenamed("rank", "tree")
     sources = work.write(sources, "trees").alias("s")
     leaves = rows.alias("r").join(sources, F.col("r.source").eqNullSafe(F.col("s.source")))
-    leaves = leaves.select("tree", (F.col("rank") - F.col("first")).alias("idx"), F.col("leaf").alias("digest"), "n", "doc_id", "changed")
-    leaves = work.write(leaves, "placed")
-    levels, subroots = grow(leaves.select("tree", "idx", "digest", "n"), work, "level", fanout)
+    leaves = leaves.select(
+        "tree",
+        (F.col("rank") - F.col("first")).alias("idx"),
+        F.unhex("leaf").alias("digest"),
+        "n",
+        "doc_id",
+        F.unhex("changed").alias("changed"),
+    )
+    levels, subroots = grow(work.write(leaves, "placed"), work, "level", fanout)
 
     # The roots of the sources are the leaves of one more tree.
-    trees = sources.select(F.lit(0).cast("long").alias("all"), "tree")
-    n_trees = trees.groupBy("all").agg(F.count("*").alias("n"))
-    tops = subroots[0].withColumn("height", F.lit(0))
+    n_trees = sources.count()
+    tops = subroots[0].select("tree", "digest").withColumn("height", F.lit(0))
     for height, roots in enumerate(subroots[1:], 1):
-        tops = tops.unionByName(roots.withColumn("height", F.lit(height)))
+        tops = tops.unionByName(roots.select("tree", "digest").withColumn("height", F.lit(height)))
     tops = work.write(tops, "subroots")
-    every = tops.withColumn("all", F.lit(0).cast("long")).join(n_trees, "all")
-    every = every.select(F.col("all").alias("tree"), F.col("tree").alias("idx"), "digest", "n")
+    every = tops.select(
+        F.lit(0).cast("long").alias("tree"), F.col("tree").alias("idx"), "digest", F.lit(n_trees).cast("long").alias("n"), "height"
+    )
     upper, root = grow(every, work, "upper", fanout)
     none = F.array().cast(f"array<{_STEP}>")
-    starts = [one.select("tree", F.col("digest").alias("root"), none.alias("path")) for one in root]
-    over = paths(upper, starts, work, "above", fanout).drop("tree").withColumnRenamed("idx", "tree")
-    over = work.write(tops.withColumnRenamed("digest", "subroot").join(over, "tree"), "over")
-    below = paths(
-        levels, [over.where(F.col("height") == k).drop("height") for k in range(len(subroots))], work, "paths", fanout
-    )
-    proven = leaves.join(below, ["tree", "idx"])
-    proven = proven.withColumn("folded_root", folded(F.coalesce("changed", "digest"), F.col("path")))
+    own = [F.col("digest").alias("subroot"), "height"]
+    starts = [
+        one.select("tree", F.col("digest").alias("root"), none.alias("path"), *(() if height else own))
+        for height, one in enumerate(root)
+    ]
+    upper = [upper[0].withColumnRenamed("digest", "subroot"), *upper[1:]] if upper else []
+    over = paths(upper, starts, work, "above", fanout)
+    over = work.write(over.select(F.col("idx").alias("tree"), "subroot", "root", "path", "height"), "over")
+    carried = ["digest", "doc_id", "changed"]
+    lone = subroots[0].select("tree", *carried).join(over.where("height = 0").drop("height"), "tree")
+    starts = [lone, *[over.where(F.col("height") == k).drop("height") for k in range(1, len(subroots))]]
+    proven = paths(levels, starts, work, "paths", fanout)
+    root_of = folded(F.coalesce("changed", "digest"), F.col("path"))
+    proven = proven.withColumn("folded_root", root_of)
     return proven.select(
         "doc_id",
-        F.col("digest").alias("leaf"),
-        "subroot",
-        "root",
+        _text(F.col("digest")).alias("leaf"),
+        _text(F.col("subroot")).alias("subroot"),
+        _text(F.col("root")).alias("root"),
         "path",
-        "folded_root",
+        _text(F.col("folded_root")).alias("folded_root"),
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
