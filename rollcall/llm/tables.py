@@ -38,9 +38,9 @@ class Workspace:
         self.paths[name] = f"{self.folder}/{uuid.uuid4().hex[:8]}-{name}"
         return self.paths[name]
 
-    def write(self, frame: DataFrame, name: str) -> DataFrame:
+    def write(self, frame: DataFrame, name: str, **options: str) -> DataFrame:
         """The frame, written once and read back."""
-        frame.write.parquet(self.path(name))
+        frame.write.parquet(self.path(name), **options)
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
