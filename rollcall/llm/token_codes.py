@@ -22,6 +22,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -37,8 +38,14 @@ MAGIC = b"DAC1"
 WIDTH = 8
 #: Ids after which a shard is closed; a longer document has a shard of its own.
 SHARD_IDS = 1 << 20
-#: Words whose ids are remembered.
+#: Pieces of words whose ids are remembered.
 KNOWN = 1 << 18
+#: Pieces of letters that are encoded as one text.
+JOINED = 64
+#: Bytes of text whose distinct words are looked up at once.
+LOOKED_UP = 4 << 20
+#: Punctuation at the end of a word that is a piece of its own. An apostrophe may begin a suffix.
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def encode(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -126,10 +133,12 @@ class Shard:
 
 
 class WordTokenizer:
-    """A tokenizer whose words never reach over ASCII white space, each word encoded once.
+    """A tokenizer whose words never reach over ASCII white space, each piece of a word encoded once.
 
-    The ids of the first ``KNOWN`` distinct words are remembered, which are mostly the
-    frequent ones; others are encoded anew in each slice that has them.
+    A piece is a word, or what comes before and after the boundary between a letter or digit and
+    the ASCII punctuation that ends a word, where the tokenizer cuts as well. The ids of
+    the first ``KNOWN`` distinct pieces are remembered, which are mostly the frequent ones; others
+    are encoded anew in each slice that has them.
     """
 
     def __init__(self, path: str):
@@ -138,39 +147,88 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, int] = {}
+        self.word_end = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        if suffix:
+            self.word_end[[k for word, k in self.tokenizer.get_vocab().items() if word.endswith(suffix)]] = True
+        self.pieces: dict[str, int] = {}
         self.ids, self.ends = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
-    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words one after another, and where they begin and end."""
-        encoded = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after another, and where they begin and end."""
+        encoded = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)))))
-        return np.fromiter((i for ids in encoded for i in ids), np.uint32, int(ends[-1])), ends
+        return np.fromiter(chain.from_iterable(encoded), np.uint32, int(ends[-1])), ends
+
+    def _encoded_letters(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """:func:`_encoded` for pieces of letters: many in one text, told apart by the ids that end a word."""
+        texts = [" ".join(pieces[k : k + JOINED]) for k in range(0, len(pieces), JOINED)]
+        ids, _ = self._encoded(texts)
+        ends = np.flatnonzero(self.word_end[ids]) + 1
+        if len(ends) != len(pieces) or (len(ids) and ends[-1] != len(ids)):
+            # Some letters become others that the tokenizer cuts at.
+            return self._encoded(pieces)
+        return ids, np.concatenate(([0], ends))
+
+    def _split(self, word: str) -> tuple[str, str]:
+        """A word and the punctuation at its end, if the tokenizer cuts there."""
+        body = word.rstrip(TAIL)
+        if len(body) in (0, len(word)) or not body[-1].isalpha() or "<|" in word:
+            return word, ""
+        return body, word[len(body) :]
+
+    def _known(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of pieces that are remembered, -1 for others."""
+        return np.fromiter(map(self.pieces.get, pieces, repeat(-1)), np.int64, len(pieces))
+
+    def _numbered(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First and second piece of each word (-1: none), and ids and ends of all pieces."""
+        first, second = self._known(words), np.full(len(words), -1)
+        strange = np.flatnonzero(first < 0)
+        both = [part for k in strange.tolist() for part in self._split(words[k])]
+        distinct = list(dict.fromkeys(both))
+        number = self._known(distinct)
+        new = [distinct[k] for k in np.flatnonzero(number < 0).tolist()]
+        letters, others = [x for x in new if x.isalpha()], [x for x in new if not x.isalpha()]
+        fresh, known, ids, ends = letters + others, len(self.pieces), self.ids, self.ends
+        for more, places in (self._encoded_letters(letters), self._encoded(others)):
+            ids, ends = np.concatenate((ids, more)), np.concatenate((ends, places[1:] + ends[-1]))
+        numbers = dict(zip(distinct, number.tolist(), strict=True)) | dict(zip(fresh, range(known, known + len(fresh)), strict=True))
+        parts = np.fromiter(map(numbers.get, both), np.int64, len(both)).reshape(-1, 2)
+        first[strange], second[strange] = parts[:, 0], parts[:, 1]
+        if known < KNOWN and fresh:
+            self.pieces.update(zip(fresh[: KNOWN - known], range(known, KNOWN), strict=False))
+            self.ends = ends[: len(self.pieces) + 1]
+            self.ids = ids[: self.ends[-1]]
+        return first, second, ids, ends
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has."""
         parts = pc.ascii_split_whitespace(text_column(texts))
         coded = parts.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        new = [name for name in names if name not in self.known]
-        ids, ends = self._encoded(new)
-        ids, ends = np.concatenate((self.ids, ids)), np.concatenate((self.ends, ends[1:] + self.ends[-1]))
-        first, room = len(self.known), max(0, KNOWN - len(self.known))
-        number = dict(zip(new, range(first, first + len(new)), strict=True))
-        own = np.fromiter((number[name] if name in number else self.known[name] for name in names), np.int64, len(names))
-        if room and new:
-            self.known.update(zip(new[:room], range(first, first + room), strict=False))
-            self.ids, self.ends = ids[: ends[len(self.known)]], ends[: len(self.known) + 1]
-
-        word = own[np.asarray(coded.indices)]
-        n = ends[word + 1] - ends[word]
+        first, second, ids, ends = self._numbered(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # Ids of the distinct words one after another.
+        pieces = np.stack((first, second), axis=1).ravel()
+        pieces = pieces[pieces >= 0]
+        ids = ids[_runs(ends[pieces], ends[pieces + 1] - ends[pieces])]
+        n = np.diff(ends)
+        n = n[first] + np.where(second >= 0, n[second], 0) if len(n) else np.zeros(len(first), np.int64)
+        starts = np.cumsum(n) - n
+
+        word = np.asarray(coded.indices)
+        n = n[word]
+        found = ids[_runs(starts[word], n)]
         places = np.concatenate(([0], np.cumsum(n)))
-        # The p-th id of all is the (p - its word's first place)-th of its word.
-        found = ids[np.arange(places[-1]) + np.repeat(ends[word] - places[:-1], n)]
         of_text = np.asarray(parts.offsets, np.int64)
         return found, np.diff(places[of_text - of_text[0]])
 
 
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length says, one run after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
 @lru_cache(maxsize=1)
 def tokenizer_of(path: str) -> WordTokenizer:
     """One tokenizer per Python worker, which serves many tasks."""
@@ -192,7 +250,7 @@ def _packed(path: str, end_id: int, shard_ids: int):
             )
 
         for batch in batches:
-            for some in slices([batch], 1):
+            for some in slices([batch], 1, LOOKED_UP):
                 found, lengths = tokenizer(some.column(1))
                 for name, own in zip(some.column(0).to_pylist(), np.split(found, np.cumsum(lengths)[:-1]), strict=True):
                     if held and held + len(own) + 1 > shard_ids:

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm_fixtures import documents, work  # noqa: F401
+from rollcall.llm import token_codes
 from rollcall.llm.catalogue import word_bpe
 from rollcall.llm.token_codes import Shard, WordTokenizer, pack, read_digests, read_ids, write_codes
 
@@ -67,6 +68,26 @@ def test_files_equal_the_tokenizer(documents, work, tokenizer, shard_ids):
     assert ids[2] == tokenizer.encode(ROWS[7][1], add_special_tokens=False).ids + [2]
 
 
+def test_a_text_of_several_slices(documents, work, tokenizer):
+    words = ["Größe", "tail,", "x1.", "it's", "end...", "12", "ΑΣ.", "a<|b", "ein", "(so)", "İst"]
+    text = " ".join(f"{words[k % 11]}{'' if k % 5 else chr(97 + k % 26) * (k % 9)}" for k in range(1_500_000))
+    write_codes(documents([(1, "before"), (2, text), (3, "after it")]), work.path("codes"), word_bpe())
+    ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [2], "<u4")
+    got = {r.doc_id: r for r in read_digests(work.read("codes"), work).collect()}
+    assert (got[2].n_tokens, got[2].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+    assert [got[k].start for k in (1, 2, 3)] == [0, 2, 2 + len(ids)]
+
+
+@pytest.mark.parametrize("known", [0, 3, 1 << 18])
+def test_pieces_with_little_room(tokenizer, monkeypatch, known):
+    monkeypatch.setattr(token_codes, "KNOWN", known)
+    texts = ["One, two; one two. THREE!", "One... two's Ünï, 5% x² (so) “so”, İst İst, ΑΣ. ΑΣ", "<|endoftext|>, a<|b, end,"] * 2
+    own = WordTokenizer(word_bpe())
+    for text in texts:
+        found, _ = own(pa.array([text]))
+        assert found.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_no_documents(documents, work):
     write_codes(documents([(1, "x")]).limit(0), work.path("codes"), word_bpe())
     assert read_digests(work.read("codes"), work).collect() == []
