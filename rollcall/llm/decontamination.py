@@ -22,13 +22,14 @@ from rollcall.llm.tables import Workspace
 from rollcall.llm.words import NOT_ALPHANUMERIC, list_column, shingle_sets, slices
 
 WORDS = 5
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PERCENT = 80
 
 
-def _with_shingles(size: int):
+def _with_shingles(size: int, short: bool, also: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2):
-            sets = list(shingle_sets(batch.column(2), size, NOT_ALPHANUMERIC, short=False))
+            sets = list(shingle_sets(batch.column(2), size, NOT_ALPHANUMERIC, short, also))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), list_column(sets)], ["id", "text_key", "shingles"]
             )
@@ -36,12 +37,15 @@ def _with_shingles(size: int):
     return run
 
 
-def shingled(texts: DataFrame, id_column: str, size: int = WORDS) -> DataFrame:
-    """id, text_key, shingles: hashes of ``size`` consecutive words, distinct and sorted."""
+def shingled(
+    texts: DataFrame, id_column: str, size: int = WORDS, short: bool = False, also: tuple[int, ...] = ()
+) -> DataFrame:
+    """id, text_key, shingles: hashes of ``size`` consecutive words, distinct and sorted, and those
+    that :func:`~rollcall.llm.words.shingle_sets` adds."""
     text = F.col("text").cast("string")
     return texts.select(
         F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text")
-    ).mapInArrow(_with_shingles(size), "id long, text_key long, shingles array<long>")
+    ).mapInArrow(_with_shingles(size, short, also), "id long, text_key long, shingles array<long>")
 
 
 def contaminated(
@@ -54,12 +58,16 @@ def contaminated(
     distinct shingles of ``size`` words; words are runs of ASCII letters, ASCII digits
     and all non-ASCII characters, A-Z lower-cased.
 
-    Null or empty texts and texts under ``size`` words have no shingles: such an item is
-    never found, such a document never reported. A null doc_id or item_id is reported as
+    An item under ``size`` words is one shingle, its whole sequence of words, and looked up among
+    the documents' runs of as many words. Documents are cut into runs of those lengths alone that
+    items have. Null and empty texts and those without words hold nothing and are never found. A null doc_id or item_id is reported as
     null. Repeated rows give the pair once; an item that occurs twice under two ids
     is reported under both. No documents or no items give no rows.
     """
-    items = shingled(benchmark, "item_id", size).where(F.size("shingles") > 0)
+    n_words = F.size(F.regexp_extract_all(F.col("text").cast("string"), F.lit(WORD), F.lit(0))).alias("n")
+    lengths = benchmark.select(n_words).where((F.col("n") > 0) & (F.col("n") < size)).distinct().collect()
+    also = tuple(sorted(row.n for row in lengths))
+    items = shingled(benchmark, "item_id", size, short=True).where(F.size("shingles") > 0)
     items = items.withColumn("n_item", F.size("shingles"))
     # The partition's upper end: the next power of two.
     items = items.withColumn("upper", F.pow(F.lit(2), F.ceil(F.log2("n_item"))).cast("int"))
@@ -72,7 +80,7 @@ def contaminated(
         "id", "text_key", F.explode(sketch).alias("value"), F.least(of_lower, F.col("n_item")).alias("at_least")
     ).toDF("item_id", "item_key", "value", "at_least")
 
-    held = shingled(documents, "doc_id", size)
+    held = shingled(documents, "doc_id", size, also=also)
     looked_up = held.select(
         "id", "text_key", F.size("shingles").alias("n_doc"), F.explode("shingles").alias("shingle")
     ).withColumn("value", F.xxhash64("shingle"))
@@ -89,7 +97,7 @@ def contaminated(
         "doc_id", "text"
     )
     some = texts.join(keys, F.xxhash64("text") == F.col("key"), "left_semi")
-    full = shingled(some, "doc_id", size).toDF("doc_id", "key", "shingles")
+    full = shingled(some, "doc_id", size, also=also).toDF("doc_id", "key", "shingles")
     item_sets = items.select("id", "text_key", "n_item", F.col("shingles").alias("item_shingles"))
     pairs = candidates.join(
         full.withColumnsRenamed({"doc_id": "id_", "key": "key_"}),

@@ -28,8 +28,9 @@ def _components(ids: str, links: str) -> str:
 DECONTAMINATION = f"""
 WITH docs AS (SELECT doc_id, {_words('text', PLAIN)} AS w FROM documents),
 items AS (SELECT item_id, {_words('text', PLAIN)} AS w FROM benchmark),
-held AS (SELECT doc_id, unnest({_shingles('w', 5)}) AS s FROM docs),
-sets AS (SELECT item_id, {_shingles('w', 5)} AS asked FROM items),
+held AS (SELECT doc_id, unnest({_shingles('w', 5)}) AS s FROM docs
+  {' '.join(f"UNION ALL SELECT doc_id, unnest({_shingles('w', k)}) FROM docs WHERE EXISTS (SELECT 1 FROM items WHERE len(w) = {k})" for k in range(1, 5))}),
+sets AS (SELECT item_id, CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')] ELSE {_shingles('w', 5)} END AS asked FROM items),
 asked AS (SELECT item_id, len(asked) AS n_item, unnest(asked) AS s FROM sets)
 SELECT doc_id, item_id, CAST(count(*) AS INTEGER) AS n_shared, CAST(n_item AS INTEGER) AS n_item,
   CAST(count(*) AS DOUBLE) / n_item AS containment

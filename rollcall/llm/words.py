@@ -87,12 +87,13 @@ def hashed(values: pa.Array) -> np.ndarray:
 
 
 def shingle_sets(
-    column: pa.Array, size: int, separators: bytes = BLANKS, short: bool = True
+    column: pa.Array, size: int, separators: bytes = BLANKS, short: bool = True, also: tuple[int, ...] = ()
 ) -> Iterator[np.ndarray]:
     """Per row the sorted distinct hashes of ``size`` consecutive words.
 
     With ``short``, a row of fewer words has its whole sequence as its one shingle;
-    without, it has none. A row without words has none.
+    without, it has none. A row without words has none. ``also`` adds runs of fewer words, hashed
+    as a row would be that has no other words.
     """
     values, rows = words(column, separators)
     word = hashed(values)
@@ -101,19 +102,28 @@ def shingle_sets(
     for k in range(size):
         rolled = rolled * _STEP + word[k : k + ends]
     rolled = mixed(rolled)
+    fewer = {n: _sequences(word, n) for n in also}
     for start, end in zip(rows[:-1], rows[1:], strict=True):
-        if end - start >= size:
+        if also:
+            runs = [rolled[start : max(start, end - size + 1)]]
+            yield np.unique(np.concatenate(runs + [fewer[n][start : max(start, end - n + 1)] for n in also]))
+        elif end - start >= size:
             yield np.unique(rolled[start : end - size + 1])
         elif short and end > start:
-            whole = np.uint64(end - start)
-            with np.errstate(over="ignore"):
-                for one in word[start:end]:
-                    whole = whole * _STEP + one
-            yield mixed(np.array([whole]))
+            yield _sequences(word[start:end], int(end - start))
         else:
             yield np.empty(0, np.uint64)
 
 
+def _sequences(word: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of ``size`` words that depends on how many they are."""
+    places = max(len(word) - size + 1, 0)
+    total = np.full(places, size, np.uint64)
+    for k in range(size):
+        total = total * _STEP + word[k : k + places]
+    return mixed(total)
+
+
 def list_column(arrays: list[np.ndarray]) -> pa.Array:
     """Arrays of 64-bit hashes as one column of ``array<bigint>``."""
     lengths = np.fromiter(map(len, arrays), np.int64, len(arrays))

@@ -16,7 +16,7 @@ def benchmark_items(spark):
 def corpus():
     tries = random.Random(2)
     word = lambda: f"w{tries.randrange(3000)}"
-    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([5, 6, 9, 20, 33, 80, 300])]
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate([5, 6, 9, 20, 33, 80, 300, 1, 2, 4])]
     rows = []
     for item, text in items:
         words = text.split()
@@ -36,9 +36,9 @@ def test_equals_brute_force(documents, benchmark_items, work):
     got = contaminated(documents(rows), benchmark_items(items), work)
     want = set()
     for doc, text in rows:
-        held = shingles(plain_words(text), 5, False)
         for item, other in items:
-            asked = shingles(plain_words(other), 5, False)
+            asked, n = shingles(plain_words(other), 5), len(plain_words(other))
+            held = shingles(plain_words(text), min(n, 5), False)
             if 100 * len(held & asked) >= 80 * len(asked):
                 want.add((doc, item, len(held & asked), len(asked)))
     assert {(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in got.collect()} == want
@@ -50,11 +50,20 @@ def test_nulls_ties_and_empty(documents, benchmark_items, work):
     rows = [(None, text), (1, text), (1, text), (2, None), (3, ""), (4, "one two"), (None, "nothing at all to be seen here")]
     items = [(None, text), (7, text), (8, None), (9, ""), (10, "one two")]
     got = contaminated(documents(rows), benchmark_items(items), work).collect()
-    assert sorted((r.doc_id or -1, r.item_id or -1) for r in got) == [(-1, -1), (-1, 7), (1, -1), (1, 7)]
+    assert sorted((r.doc_id or -1, r.item_id or -1) for r in got) == [(-1, -1), (-1, 7), (-1, 10), (1, -1), (1, 7), (1, 10), (4, 10)]
     assert contaminated(documents(rows).limit(0), benchmark_items(items), work).collect() == []
     assert contaminated(documents(rows), benchmark_items(items).limit(0), work).collect() == []
 
 
+def test_items_of_few_words(documents, benchmark_items, work):
+    rows = [(1, "Yes"), (2, "no, yes: no"), (3, "yesno no"), (4, ""), (5, "a b c d"), (6, "x a b C D e"), (7, "a b c"), (8, "no yes")]
+    items = [(1, "yes"), (2, "No yes!"), (3, "a b c d"), (4, "..."), (5, "d a")]
+    got = contaminated(documents(rows), benchmark_items(items), work).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_shared, r.n_item, r.containment) for r in got) == [
+        (d, i, 1, 1, 1.0) for d, i in [(1, 1), (2, 1), (2, 2), (5, 3), (6, 3), (8, 1), (8, 2)]
+    ]
+
+
 def test_filter(documents, benchmark_items, work):
     text = "one two three four five six"
     rows = [(None, text), (None, "clean"), (1, text + " and more"), (2, None), (2, text), (3, "clean words here")]
