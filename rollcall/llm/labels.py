@@ -11,6 +11,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
+#: Hashes that the sample's share is taken of: enough for a bound of one row in 10^15.
+HASHES = 1 << 52
+
+
+def in_share(value: Column, bound: int, rows: int, hashes: int = HASHES) -> Column:
+    """Whether a row belongs to a sample of about ``bound`` of so many ``rows``, by a hash."""
+    return F.pmod(F.xxhash64(value), F.lit(hashes)) < max(1, int(min(1.0, bound / max(1, rows)) * hashes))
+
+
 def training_labels(labels: DataFrame, label: str, bound: int) -> DataFrame:
     """(doc_id, label) of at most about ``bound`` labelled ids outside the test split.
 
@@ -21,8 +30,7 @@ def training_labels(labels: DataFrame, label: str, bound: int) -> DataFrame:
     rows = rows.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.groupBy("doc_id").agg(F.avg("label").alias("mean")).where("mean <> 0.5")
     rows = rows.select("doc_id", (F.col("mean") > 0.5).cast("int").alias("label"))
-    share = min(1.0, bound / max(1, rows.count()))
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    return rows.where(in_share(F.col("doc_id"), bound, rows.count()))
 
 
 def sampled(rows: DataFrame, bound: int) -> DataFrame:

@@ -10,7 +10,7 @@ from llm_fixtures import documents, work  # noqa: F401
 from pyspark.sql import functions as F
 
 from rollcall.llm import quality, toxicity
-from rollcall.llm.labels import held_out, training_labels
+from rollcall.llm.labels import held_out, in_share, training_labels
 from rollcall.llm.quality import STATISTICS, fit_rules, of_quality, scored_quality, statistics
 from rollcall.llm.toxicity import offending_sentences, scored_toxicity, train_toxicity
 
@@ -135,3 +135,12 @@ def test_noisy_or():
     bags = toxicity.Sentences(features, np.array([1, 1, 0]), np.array([0, 1, 3, 3]), np.array([0, 2, 3]))
     p = lambda z: 1 / (1 + np.exp(-z))
     assert np.allclose(model.scores(bags), [1 - (1 - p(1)) * (1 - p(1)), p(-1)])
+
+
+def test_a_share_of_a_huge_table_is_not_empty(spark):
+    rows = spark.range(1000).select("id")
+    # As if there were 10^12 rows for each one of the bound: a fixed share of the hashes is left.
+    assert rows.where(in_share(F.col("id"), 8000, 10**19, hashes=1 << 4)).count() > 0
+    assert rows.where(in_share(F.col("id"), 8000, 10**13)).count() == 0
+    assert rows.where(in_share(F.col("id"), 8000, 7000)).count() == 1000
+    assert 0 < rows.where(in_share(F.col("id"), 100, 1000)).count() < 250
