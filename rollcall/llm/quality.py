@@ -144,9 +144,16 @@ def _holds(rule: Rule, x: np.ndarray) -> np.ndarray:
 
 
 def _lasso(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and intercept of L1-penalised logistic regression, by accelerated proximal steps."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    z = ((x - mean) / scale).astype(np.float32)
+    """Weights and intercept of L1-penalised logistic regression, by accelerated proximal steps.
+
+    ``x`` holds 0 and 1 in 32 bits, and is overwritten.
+    """
+    mean = x.mean(axis=0, dtype=np.float64)
+    scale = np.sqrt(mean * (1 - mean)) + 1e-9
+    # In place: x is the largest thing that the driver holds.
+    z = x
+    z -= mean.astype(np.float32)
+    z /= scale.astype(np.float32)
     # A Lipschitz bound of the gradient by a few power iterations.
     v = np.ones(z.shape[1], np.float32)
     for _ in range(20):
@@ -211,12 +218,14 @@ def fit_rules(x: np.ndarray, y: np.ndarray, seed: int = 5, penalty: float = PENA
         share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
         return RuleEnsemble((), float(np.log(share / (1 - share))))
     # Rules that hold for the same rows of the sample are one.
-    distinct: dict[bytes, tuple[Rule, np.ndarray]] = {}
+    distinct: dict[bytes, Rule] = {}
     for rule in sorted(rules, key=lambda r: (len(r), sorted((b.statistic, b.above, b.value) for b in r))):
-        holds = _holds(rule, x)
-        distinct.setdefault(np.packbits(holds).tobytes(), (rule, holds))
-    kept = [rule for rule, _ in distinct.values()]
-    weights, intercept = _lasso(np.stack([holds for _, holds in distinct.values()], axis=1).astype(np.float32), y, penalty)
+        distinct.setdefault(np.packbits(_holds(rule, x)).tobytes(), rule)
+    kept = list(distinct.values())
+    columns = np.empty((len(x), len(kept)), np.float32)
+    for k, held in enumerate(distinct):
+        columns[:, k] = np.unpackbits(np.frombuffer(held, np.uint8), count=len(x))
+    weights, intercept = _lasso(columns, y, penalty)
     chosen = [(rule, float(w)) for rule, w in zip(kept, weights, strict=True) if abs(w) > 1e-6]
     return RuleEnsemble(tuple(chosen), float(intercept))
 
@@ -261,11 +270,13 @@ def of_quality(
 
     Without training labels nothing can be rejected, and all rows stay.
     """
-    model = train_quality(with_statistics(documents, work), labels, bound)
-    if model == UNTRAINED:
-        return documents
     name = "stats"
     while name in documents.columns:
         name += "_"
-    scored = documents.withColumn(name, statistics(F.col("text").cast("string")))
-    return scored.where(model.column(name) >= threshold).select(*(documents[c] for c in documents.columns))
+    # Texts and their statistics are written together: one pass of Python over the texts.
+    scored = work.write(documents.withColumn(name, statistics(F.col("text").cast("string"))), "measured")
+    features = scored.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(name).alias("stats"))
+    model = train_quality(features, labels, bound)
+    if model != UNTRAINED:
+        scored = scored.where(model.column(name) >= threshold)
+    return scored.select(*documents.columns)
