@@ -3,9 +3,11 @@
 1. Vectors become unit vectors; equal rows are one class with a count.
 2. A bounded sample gives coarse centroids and, of the residuals to them, a codebook per
    subspace. Every vector gets its inverted list, its codes and its quantisation error.
-3. A vector probes the lists whose border lies near enough: a partner within the largest
-   distance d may lie behind the border to another list only if the vector's distance
-   from that border is at most d. All such lists are probed, so that no link is lost.
+3. A vector probes the lists whose border lies near enough. A partner at the largest
+   distance d may lie behind any border that is at most d away, but only if it lies straight
+   behind it. How near those borders are that partners do lie behind is measured on the
+   sample, in the directions that its vectors differ by (:func:`calibrated`). With ``reach=1`` all lists
+   are probed that could hold a partner at all.
 4. Within a list, a vector's distances to the codes come from its table of distances to the
    codebooks. A code farther than d plus its own error can't be a partner; the rest are
    decided by their exact cosine.
@@ -33,6 +35,8 @@ LISTS, SUBSPACES, CODES, ROUNDS = 4096, 8, 256, 8
 #: Vectors of a list, and vectors that ask them, in one block.
 BLOCK, ASKING = 256, 2048
 COSINE = 0.9
+#: Vectors that the reach of probes is measured on, the share of partners to reach, and the margin.
+MEASURED, REACHED, MARGIN = 4096, 0.999, 1.1
 #: Room for rounding in bounds that must not lose a link.
 ROUNDING = 1e-6
 
@@ -92,6 +96,50 @@ class Quantizer:
         return own, [np.concatenate(([k], np.flatnonzero(row))) for k, row in zip(own, near, strict=True)]
 
 
+def _needed(quantizer: Quantizer, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How far the probe of either vector of each pair has to reach to meet the other one's list."""
+    lists = np.arange(len(quantizer.centroids))
+    out = np.zeros(len(x))
+    for at in range(0, len(x), 512):
+        of_x, of_y = (_squares(v[at : at + 512], quantizer.centroids) for v in (x, y))
+        a, b, row = of_x.argmin(1), of_y.argmin(1), np.arange(len(of_x))
+        # The one in the earlier list asks.
+        asks = np.where((a < b)[:, None], of_x, of_y)
+        first, other = lists[np.minimum(a, b)], lists[np.maximum(a, b)]
+        gap = np.sqrt(((quantizer.centroids[first] - quantizer.centroids[other]) ** 2).sum(1))
+        beyond = (asks[row, other] - asks[row, first]) / (2 * np.where(gap > 0, gap, 1))
+        out[at : at + 512] = np.where(a == b, 0.0, np.maximum(0.0, beyond))
+    return out
+
+
+def calibrated(quantizer: Quantizer, x: np.ndarray, cosine: float, seed: int = 4) -> float:
+    """The share of the largest distance between partners within which a border lies that a partner is behind.
+
+    Measured on partners at the threshold, the farthest there are: each vector of a sample is turned
+    towards the difference of two vectors of its own list, so that partners lie in the
+    directions in which the data spreads; and on the linked pairs of the sample itself.
+    """
+    tries = np.random.default_rng(seed)
+    x = x[tries.permutation(len(x))[:MEASURED]]
+    own = np.concatenate([_squares(x[at : at + 512], quantizer.centroids).argmin(1) for at in range(0, len(x), 512)])
+    by_list = np.argsort(own, kind="stable")
+    begin, end = np.searchsorted(own[by_list], own), np.searchsorted(own[by_list], own, "right")
+    # Two of the list, or of all where it has too few.
+    few = end - begin < 3
+    begin, end = np.where(few, 0, begin), np.where(few, len(x), end)
+    turn = x[by_list[tries.integers(begin, end)]] - x[by_list[tries.integers(begin, end)]]
+    turn -= (turn * x).sum(1, keepdims=True) * x
+    length = np.linalg.norm(turn, axis=1)
+    fine = length > ROUNDING
+    if not fine.any():
+        return 1.0
+    partner = cosine * x[fine] + np.sqrt(1 - cosine**2) * turn[fine] / length[fine, None]
+    i, j = np.nonzero(np.triu(x @ x.T >= cosine, 1))
+    some = slice(None, 16 * MEASURED)
+    needed = np.concatenate((_needed(quantizer, x[fine], partner), _needed(quantizer, x[i[some]], x[j[some]])))
+    return float(min(1.0, MARGIN * np.quantile(needed, REACHED) / np.sqrt(2 - 2 * cosine)))
+
+
 def fit_quantizer(x: np.ndarray, lists: int, seed: int = 3) -> Quantizer:
     tries = np.random.default_rng(seed)
     centroids = _clustered(x, lists, tries)
@@ -125,7 +173,7 @@ def _labelled(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
 
 
 def linked_vectors(
-    vectors: DataFrame, work: Workspace, cosine: float = COSINE, bound: int = SAMPLE, reach: float = 1.0
+    vectors: DataFrame, work: Workspace, cosine: float = COSINE, bound: int = SAMPLE, reach: float | None = None
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept per row of ``vectors`` (vec_id, embedding).
 
@@ -139,7 +187,8 @@ def linked_vectors(
     number. No rows give no rows. Other columns aren't read.
 
     ``reach`` is how much of the largest distance between partners may lie across one border:
-    1, the default, loses no link on any data; less loses those behind farther borders.
+    1 loses no link on any data. None, the default, measures on the sample how much it takes
+    for all but a thousandth of the farthest partners.
     """
     spark = vectors.sparkSession
     kind = "array<double>"
@@ -166,8 +215,10 @@ def linked_vectors(
     sample = sample.orderBy("print_1", "print_2").limit(bound).select("embedding").toPandas()["embedding"]
     far = float(np.sqrt(2 - 2 * cosine)) + ROUNDING
     lists = int(min(LISTS, max(1, round(count**0.5))))
-    quantizer = spark.sparkContext.broadcast(fit_quantizer(_units(sample, width), lists))
-    within = far * min(1.0, reach)
+    sample = _units(sample, width)
+    fitted = fit_quantizer(sample, lists)
+    within = far * (calibrated(fitted, sample, cosine) if reach is None else min(1.0, reach))
+    quantizer = spark.sparkContext.broadcast(fitted)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

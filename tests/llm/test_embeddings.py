@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import duckdb
 import numpy as np
 import pytest
 from llm_fixtures import components, work  # noqa: F401
 
 from rollcall.llm import embeddings
 from rollcall.llm.embeddings import fit_quantizer, linked_vectors
+from rollcall.llm.oracle import STATEMENTS
 
 
 def frame(spark, rows):
@@ -56,7 +58,7 @@ def test_equals_brute_force(spark, work, monkeypatch, block):
     monkeypatch.setattr(embeddings, "BLOCK", block)
     monkeypatch.setattr(embeddings, "ASKING", 3 * block)
     rows = corpus()
-    assert got(frame(spark, rows), work) == expected(rows)
+    assert got(frame(spark, rows), work, reach=1.0) == expected(rows)
 
 
 def test_small_sample_still_finds_all(spark, work):
@@ -110,9 +112,39 @@ def partnered(kind, n=1500, width=64, seed=12):
 
 
 @pytest.mark.parametrize("kind", ["anisotropic", "steep", "low", "clustered", "ragged"])
-def test_no_link_is_lost_in_preferred_directions(spark, work, kind):
+def test_links_in_preferred_directions(spark, work, kind):
+    """None is lost with ``reach=1``, and one in a hundred at most by default."""
     rows = partnered(kind, n=700, width=384 if kind == "low" else 64)
-    assert got(frame(spark, rows), work) == expected(rows)
+    want, vectors = expected(rows), frame(spark, rows)
+    assert got(vectors, work, reach=1.0) == want
+    found = got(vectors, work)
+    assert sum(x[1] for x in found) >= 0.99 * sum(x[1] for x in want)
+    assert all(a[1] <= b[1] for a, b in zip(found, want, strict=True))
+
+
+def test_default_reach_is_measured():
+    """Isotropic partners cross few borders straight; in few dimensions they do."""
+    tries = np.random.default_rng(2)
+    wide, flat = tries.normal(size=(3000, 64)), np.pad(tries.normal(size=(3000, 2)), ((0, 0), (0, 62)))
+    reach = []
+    for x in (wide, flat):
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        reach.append(embeddings.calibrated(fit_quantizer(x, 50), x, 0.9))
+    assert reach[0] < 0.6 < reach[1] <= 1
+
+
+def test_the_sql_agrees_on_vectors_that_link(spark, work, tmp_path):
+    rows = corpus(n=200)
+    path = str(tmp_path / "embeddings.parquet")
+    frame(spark, rows).write.parquet(path)
+    with duckdb.connect() as connection:
+        connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}/*.parquet'")
+        result = connection.execute(STATEMENTS["op3_embedding_dedup"])
+        at = [x[0] for x in result.description].index
+        columns = [at(c) for c in ("vec_id", "n_links", "component_id", "kept")]
+        want = sorted((tuple(row[k] for k in columns) for row in result.fetchall()), key=repr)
+    assert sum(x[1] for x in want) > 200
+    assert got(spark.read.parquet(path), work) == want
 
 
 def test_equal_centroids_probe_each_other():
