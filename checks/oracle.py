@@ -464,6 +464,9 @@ FINAL = {
     "master_sample": f"SELECT {_list(SAMPLE_COLUMNS)} FROM master "
     "ORDER BY gold_customer_id LIMIT 10",
     "incremental_master": f"SELECT {_MASTER} FROM master",
+    # An empty field of a CSV file is NULL; an email of blanks stays one.
+    "stream_trx_clean_dedup": "SELECT * REPLACE (nullif(customer_email, '') AS customer_email, "
+    "CASE WHEN customer_email <> '' THEN normalized_email END AS normalized_email) FROM trx",
     "incremental_touched": f"""SELECT crm_id, match_type, txn_id, total_transactions FROM merged m
       WHERE EXISTS (SELECT 1 FROM {_touched()} t WHERE t.customer_id IS NOT DISTINCT FROM m.crm_id)""",
     "sink_master_parquet": f"SELECT {_MASTER} FROM master",

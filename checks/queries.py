@@ -24,6 +24,7 @@ from rollcall.sources import (
     write_master,
     write_report,
 )
+from rollcall.streaming import stream_feed, stream_into
 
 EMAIL_RULE, PHONE_RULE, NAME_RULE = MATCH_RULES
 SPEC = ProfileSpec()
@@ -413,6 +414,17 @@ def incremental_touched(feeds: Feeds) -> DataFrame:
     return last.select("crm_id", "match_type", "txn_id", "total_transactions")
 
 
+@query
+def stream_trx_clean_dedup(feeds: Feeds) -> DataFrame:
+    folder = output_folder(feeds.spark).folder
+    for number, part in enumerate(fixture.batches(feeds.trx_raw, fixture.TRX_LOT)):
+        write_feed(part, f"{folder}/feed/{number}")
+    state = Mastery(feeds.spark, f"{folder}/mastery")
+    rows = stream_feed(feeds.spark, f"{folder}/feed/*", "transactions", files=4)
+    stream_into(state, rows, "transactions", f"{folder}/progress").awaitTermination()
+    return _without_time(state.cleaned("transactions"))
+
+
 @query
 def master_history(feeds: Feeds) -> DataFrame:
     scratch, history = output_folder(feeds.spark), None

@@ -26,7 +26,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of ``benchmark``; texts under five words hold none."""
+    """Documents that hold no item of ``benchmark``; short items count as runs of as many words."""
     return decontaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), Workspace(spark))
 
 

@@ -21,6 +21,7 @@ minimum, so the keys of replaced rows alone are reduced anew from their transact
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -42,6 +43,11 @@ TABLES = ("customers", "transactions", "facts", "links", "merged")
 _VERSION = "version"
 
 
+def _short(tag: str | None) -> str:
+    """A tag as part of a file name."""
+    return hashlib.sha256(tag.encode()).hexdigest()[:32] if tag else ""
+
+
 def _semi(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is among ``keys``; neither side's keys are NULL."""
     named, columns = hash_led(df, on)
@@ -78,12 +84,21 @@ class Mastery:
 
     # --- tables -------------------------------------------------------------------
 
-    def version(self) -> int:
-        """The last whole version; 0 before the first batch."""
+    def _done(self) -> dict[int, str]:
+        """Whole versions, and the tags of their batches."""
         folder, files = hadoop_path(self.spark, f"{self.folder}/done")
         if not files.exists(folder):
-            return 0
-        return max((int(f.getPath().getName()) for f in files.listStatus(folder)), default=0)
+            return {}
+        names = (f.getPath().getName() for f in files.listStatus(folder))
+        return {int(number): tag for number, _, tag in (name.partition("-") for name in names)}
+
+    def _finish(self, version: int, tag: str | None = None) -> None:
+        mark, files = hadoop_path(self.spark, f"{self.folder}/done/{version}-{_short(tag)}")
+        files.create(mark).close()
+
+    def version(self) -> int:
+        """The last whole version; 0 before the first batch."""
+        return max(self._done(), default=0)
 
     def _read(self, table: str, upto: int | None = None) -> DataFrame | None:
         """All versions of a table's rows, up to a version."""
@@ -99,14 +114,23 @@ class Mastery:
     # --- one batch ----------------------------------------------------------------
 
     def apply(
-        self, crm_raw: DataFrame, trx_raw: DataFrame, at: dt.datetime | Column | None = None
+        self,
+        crm_raw: DataFrame,
+        trx_raw: DataFrame,
+        at: dt.datetime | Column | None = None,
+        tag: str | None = None,
     ) -> int:
-        """Take in a batch of raw rows of either feed; the number of the new version.
+        """Take in a batch of raw rows of either feed; the number of its version.
+
+        A ``tag`` names the batch: the one of a whole version is not taken in again.
 
         A batch may bring new ids, newer or older rows of known ids, and rows seen before.
         The order of batches doesn't matter for the result, nor how rows are dealt to them.
         """
-        known = self.version()
+        done = self._done()
+        if tag is not None and _short(tag) in done.values():
+            return next(version for version, name in done.items() if name == _short(tag))
+        known = max(done, default=0)
         version = known + 1
         settings = self.settings
         with Scratch(self.spark, f"{self.folder}/scratch") as scratch:
@@ -120,8 +144,7 @@ class Mastery:
             self._append(self._links(trx, transactions, known), "links", version)
             touched = scratch.stage(self._touched(crm, trx, version), "touched")
             self._append(self._remastered(touched, version), "merged", version)
-        done, files = hadoop_path(self.spark, f"{self.folder}/done/{version}")
-        files.create(done).close()
+        self._finish(version, tag)
         return version
 
     def _changes(self, table: str, new: DataFrame, known: int, scratch: Scratch) -> _Changes:
@@ -221,13 +244,17 @@ class Mastery:
 
     # --- what there is --------------------------------------------------------------
 
-    def merged(self, version: int | None = None) -> DataFrame:
-        """Every customer's record before derived fields, as of a version."""
-        rows = self._read("merged", version)
+    def cleaned(self, table: str, version: int | None = None) -> DataFrame:
+        """The newest cleaned row of every customer or transaction."""
+        rows = self._read(table, version)
         if rows is None:
             raise ValueError("no batch has been applied yet")
         return _last(rows, ID_KEY).drop(_VERSION, *ID_KEY)
 
+    def merged(self, version: int | None = None) -> DataFrame:
+        """Every customer's record before derived fields, as of a version."""
+        return self.cleaned("merged", version)
+
     def master(
         self,
         as_of: AsOf = None,
@@ -252,8 +279,7 @@ class Mastery:
             rows = self._read(table, version)
             on = sample.get(table) or [c for c in rows.columns if c not in ("transaction_id", _VERSION)]
             new._append(_last(rows, list(on)).drop(_VERSION), table, 1)
-        done, files = hadoop_path(self.spark, f"{new.folder}/done/1")
-        files.create(done).close()
+        new._finish(1)
         return new
 
 

@@ -12,6 +12,8 @@ from rollcall import operators as op
 from rollcall.plans import Mastery, apply_all, master_feeds
 from rollcall.rules import MatchRule, Settings
 from rollcall.schemas import CRM_RAW, TRANSACTION_RAW
+from rollcall.sources import write_feed
+from rollcall.streaming import stream_feed, stream_into
 
 AS_OF = dt.date(2024, 6, 30)
 
@@ -127,6 +129,26 @@ def test_needs_a_rule_and_a_batch(spark, tmp_path):
         Mastery(spark, str(tmp_path)).merged()
 
 
+# --- streams --------------------------------------------------------------------
+
+
+def test_a_stream_of_files_is_one_batch_after_another(spark, tmp_path):
+    _, trx = feeds(5, purchases=24)
+    whole = op.clean_transactions(spark.createDataFrame([[None if x == "" else x for x in row] for row in trx], TRANSACTION_RAW))
+    for k in range(2):
+        part = spark.createDataFrame(trx[k::2], TRANSACTION_RAW)
+        write_feed(part.coalesce(1), str(tmp_path / "feed" / str(k)))
+    state = Mastery(spark, str(tmp_path / "state"))
+    rows_in = stream_feed(spark, str(tmp_path / "feed" / "*"), "transactions", files=1)
+    stream_into(state, rows_in, "transactions", str(tmp_path / "progress")).awaitTermination()
+    assert state.version() == 2
+    assert rows(state.cleaned("transactions")) == rows(whole)
+    # Nothing new, and a micro-batch that comes again.
+    stream_into(state, rows_in, "transactions", str(tmp_path / "progress")).awaitTermination()
+    assert state.apply(spark.createDataFrame([], CRM_RAW), whole.limit(0), tag=f"{tmp_path / 'progress'}#0") == 1
+    assert state.version() == 2
+
+
 # --- history ------------------------------------------------------------------
 
 
