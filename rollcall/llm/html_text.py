@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.tables import Workspace
@@ -59,6 +59,14 @@ MARKED = frozenset(
     "notice notices notification pager pagination popup promo promoted promotion related replies reply search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+#: Of these, the names of what is never an article, however much of a page it holds.
+NEVER = frozenset(
+    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
+    "disqus footer gdpr masthead menubar nav navbar navigation newsletter notice notices pager pagination replies reply sidebar "
+    "sponsor sponsored subscribe".split()
+)
+#: Words that say nothing about what an element so named holds.
+NEUTRAL = frozenset("area block body box container form group holder inner item items list new reader section thread user users wrap".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _BLANK = re.compile(r"\s+")
 _NAMES = re.compile(r"[a-z]+")
@@ -84,8 +92,8 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, _Place, bool]] = []
         self.open: list[tuple[str, _Place]] = []
-        #: Marked elements: whether by a name, else a form.
-        self.named: list[bool] = []
+        #: Marked elements: how, 0 if a form is all they are.
+        self.named: list[int] = []
         self.articles = 0
         self.text: list[str] = []
         self.link_free = False
@@ -105,12 +113,17 @@ class _Blocks(HTMLParser):
             return True
         return "hidden" in given or given.get("aria-hidden") == "true" or bool(_HIDDEN.search(given.get("style") or ""))
 
-    def _is_marked(self, tag: str, given: dict[str, str | None]) -> bool:
-        """Whether a whole class, id or role is made of marked words."""
+    def _marked(self, tag: str, given: dict[str, str | None]) -> int:
+        """Whether a whole class, id or role is made of marked and neutral words (1), all of them such as
+        no article has (2)."""
         if tag in ("html", "body", "main"):
-            return False
-        names = " ".join(given.get(key) or "" for key in ("class", "id", "role")).lower().split()
-        return any((words := _NAMES.findall(name)) and MARKED.issuperset(words) for name in names)
+            return 0
+        found = 0
+        for name in " ".join(given.get(key) or "" for key in ("class", "id", "role")).lower().split():
+            words = [word for word in _NAMES.findall(name) if word not in NEUTRAL]
+            if words and MARKED.issuperset(words):
+                found = max(found, 2 if NEVER.issuperset(words) else 1)
+        return found
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
@@ -129,9 +142,10 @@ class _Blocks(HTMLParser):
             place = _Place()  # an element before it was never closed
         if self._is_outside(tag, given, place.held):
             place = replace(place, outside=True)
-        if tag == "form" or self._is_marked(tag, given):
+        marked = self._marked(tag, given)
+        if tag == "form" or marked:
             place = replace(place, marks=(*place.marks, len(self.named)))
-            self.named.append(self._is_marked(tag, given))
+            self.named.append(marked)
         if tag in ("article", "main") and not any(self.named[mark] for mark in place.marks):
             if tag == "article" and not place.article:
                 self.articles += 1
@@ -174,7 +188,8 @@ class _Blocks(HTMLParser):
 def blocks_of(html: str) -> tuple[list[str], list[bool]]:
     """The page's candidate blocks, and which are sure to be the article's.
 
-    Marked elements are left out where they hold at most half of the page's words. With an article
+    Elements named as what an article never is (comments, sidebars, notices, …) are left out, other marked ones
+    where they hold at most half of the remaining words; those that stay are never sure. With an article
     element that holds as many words as what is beside it, only articles are candidates;
     else with a main element that holds as many as what is outside, all of that; else all
     that isn't outside. Only what such an element holds by itself is sure.
@@ -188,7 +203,9 @@ def blocks_of(html: str) -> tuple[list[str], list[bool]]:
     for n, (_, place, _) in zip(words, parser.blocks, strict=True):
         for mark in place.marks:
             marked[mark] += n
-    left = {mark for mark, n in enumerate(marked) if 2 * n <= sum(words)}
+    never = {mark for mark, how in enumerate(parser.named) if how == 2}
+    rest = sum(n for n, (_, place, _) in zip(words, parser.blocks, strict=True) if never.isdisjoint(place.marks))
+    left = never | {mark for mark, n in enumerate(marked) if 2 * n <= rest}
     live = [k for k, (_, place, _) in enumerate(parser.blocks) if left.isdisjoint(place.marks)]
     articles, main, body, nested = {}, 0, 0, 0
     for k in live:
@@ -329,11 +346,12 @@ def _of_the_site(hashes: np.ndarray, sizes: np.ndarray, others: np.ndarray, seco
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for page, hashes, sizes, sure, others, second in batch[["page", "hashes", "sizes", "sure", "others", "second"]].itertuples(index=False):
+        columns = ["id", "page", "hashes", "sizes", "sure", "others", "second"]
+        for name, page, hashes, sizes, sure, others, second in batch[columns].itertuples(index=False):
             sizes, sure = np.asarray(sizes), np.asarray(sure, bool)
             found = _of_the_site(np.asarray(hashes), sizes, np.asarray(others), None if second is None else np.asarray(second))
-            rows.append((page, found[~sure[found]].tolist()))
-        yield pd.DataFrame(rows, columns=["page", "gone"])
+            rows.append((name, page, found[~sure[found]].tolist()))
+        yield pd.DataFrame(rows, columns=["id", "page", "gone"])
 
 
 def _nearer(path: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
@@ -385,6 +403,11 @@ def _apart(placed: DataFrame) -> DataFrame:
     return found.withColumn("path", F.when(F.col("several"), F.concat_ws("?", "base", "query")).otherwise(F.col("base")))
 
 
+def page_hash(*columns: str) -> Column:
+    """Tells pages of one id apart."""
+    return F.xxhash64(*columns)
+
+
 def main_text(pages: DataFrame, work: Workspace) -> DataFrame:
     """page_id, url, text, n_chars per row of ``pages`` (page_id, url, html).
 
@@ -402,7 +425,7 @@ def main_text(pages: DataFrame, work: Workspace) -> DataFrame:
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     )
-    rows = rows.select("page_id", "url", F.xxhash64("page_id", "url", "html").alias("page"), "html")
+    rows = rows.select("page_id", "url", page_hash("page_id", "url", "html").alias("page"), "html")
     parsed = work.write(
         rows.mapInArrow(
             _parsed,
@@ -423,16 +446,18 @@ def main_text(pages: DataFrame, work: Workspace) -> DataFrame:
     others = pairs.join(paths.select("host", F.col("path").alias("partner"), "others"), ["host", "partner"])
     others = others.select("host", "path", "others", F.col("second").alias("aside"))
     others = others.join(paths.select("host", F.col("path").alias("aside"), F.col("others").alias("second")), ["host", "aside"], "left")
-    unsure = placed.where(F.exists("sure", lambda s: ~s)).select("host", "path", "page", "hashes", "sizes", "sure")
+    # Pages are told apart by their id and a hash; a missing id is as good as any.
+    name = F.coalesce("page_id", F.lit(0)).alias("id")
+    unsure = placed.where(F.exists("sure", lambda s: ~s)).select(name, "host", "path", "page", "hashes", "sizes", "sure")
     gone = (
         unsure.distinct()
         .join(others.select("host", "path", "others", "second"), ["host", "path"])
-        .select("page", "hashes", "sizes", "sure", "others", "second")
-        .mapInPandas(_shared, "page long, gone array<int>")
+        .select("id", "page", "hashes", "sizes", "sure", "others", "second")
+        .mapInPandas(_shared, "id long, page long, gone array<int>")
         .where(F.size("gone") > 0)
     )
     gone = work.write(gone, "gone")
-    kept = parsed.join(gone, "page", "left")
+    kept = parsed.withColumn("id", name).join(gone, ["id", "page"], "left")
     places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     left = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(places, lambda k: F.get("lines", k)))
     kept = kept.select("page_id", "url", F.array_join(left, "\n\n").alias("text"))

@@ -86,6 +86,11 @@ class Runs:
         return self._merged(names).where(F.col("documents") >= self.least).select(*_KEY, "keeper")
 
 
+def row_hash(*columns: str) -> Column:
+    """Tells rows of one id apart."""
+    return F.xxhash64(*columns)
+
+
 def without_repeated_lines(
     documents: DataFrame,
     work: Workspace,
@@ -108,7 +113,8 @@ def without_repeated_lines(
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+    # Rows are told apart by their id and a hash; a missing id is as good as any.
+    rows = rows.withColumns({"id": F.coalesce("doc_id", F.lit(0)), "row": row_hash("doc_id", "text")})
     # Batches of about equal numbers of rows, the largest ids first.
     shares = [k / batches for k in range(batches - 1, 0, -1)]
     borders = rows.agg(F.percentile_approx("doc_id", shares, 1000)).first()[0] or []
@@ -116,9 +122,9 @@ def without_repeated_lines(
     for border in borders:
         batch = batch + F.coalesce(F.col("doc_id") < border, F.lit(True)).cast("int")
     keys = F.transform(F.split(lowered(F.col("text")), "\n"), lambda line: F.btrim(line, F.lit(BLANK)))
-    lines = rows.select("doc_id", "row", batch.alias("batch"), F.posexplode(keys).alias("place", "key"))
+    lines = rows.select("doc_id", "id", "row", batch.alias("batch"), F.posexplode(keys).alias("place", "key"))
     lines = lines.where(F.char_length("key") >= least_characters).select(
-        "doc_id", "row", "batch", "place", F.xxhash64("key").alias("hash_1"), F.xxhash64(F.lit(1), "key").alias("hash_2")
+        "doc_id", "id", "row", "batch", "place", F.xxhash64("key").alias("hash_1"), F.xxhash64(F.lit(1), "key").alias("hash_2")
     )
     lines = work.write(lines, "lines")
 
@@ -129,11 +135,11 @@ def without_repeated_lines(
     keepers = work.write(runs.keepers(), "keepers")
 
     gone = lines.join(keepers.hint("merge"), _KEY).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    gone = gone.select("row", "place").distinct().groupBy("row").agg(F.collect_list("place").alias("gone"))
+    gone = gone.select("id", "row", "place").distinct().groupBy("id", "row").agg(F.collect_list("place").alias("gone"))
     gone = work.write(gone, "gone")
     places = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), "gone")
     kept = F.array_join(F.transform(places, lambda k: F.get("lines", k)), "\n")
-    split = rows.join(gone.hint("merge"), "row", "left").withColumn("lines", F.split("text", "\n"))
+    split = rows.join(gone.hint("merge"), ["id", "row"], "left").withColumn("lines", F.split("text", "\n"))
     return split.withColumn("n_lines", F.size("lines")).select(
         "doc_id",
         F.col("n_lines").cast("long").alias("n_lines"),

@@ -6,6 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm_fixtures import work  # noqa: F401
+from pyspark.sql import functions as F
+
 from rollcall.llm import html_text
 from rollcall.llm.html_text import blocks_of, common_lines, main_text
 
@@ -63,6 +65,30 @@ def test_blocks(html, blocks):
 LONG = "a paragraph of the article with many words in it " * 4
 
 
+CROWD = "".join(f"<p>reader number {k} has much more to say than the writer had</p>" for k in range(30))
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<article><p>short</p><section class='comments'>{CROWD}</section></article>",
+        f"<main><p>short</p><div class='sidebar'>{CROWD}</div></main>",
+        f"<p>short</p><div id='comments'>{CROWD}</div>",
+        *(f"<article><p>short</p><div class='{name}'>{CROWD}</div></article>" for name in ("comment-list", "user-comments", "comments-area")),
+        f"<article><p>short</p><div id='disqus_thread'>{CROWD}</div></article>",
+        f"<div><p>short</p><ul class='reader-comments'><li>{CROWD}</li></ul><div class='cookie-notice'>{CROWD}</div></div>",
+    ],
+)
+def test_what_no_article_is_goes_however_long_it_is(html):
+    assert blocks_of(page(html))[0] == ["short"]
+
+
+def test_marked_elements_that_stay_are_unsure():
+    blocks, sure = blocks_of(page("<article><p>few</p><div class='widget'><p>many more words than that few</p></div></article>"))
+    assert blocks == ["few", "many more words than that few"]
+    assert sure == [True, False]
+
+
 @pytest.mark.parametrize("name", ["elementor-widget elementor-widget-text-editor", "content-with-sidebar", "has-sidebar", "social-share-enabled", "post-comment-open"])
 def test_wrappers_that_hold_a_marked_word(name):
     for around in ("{}", "<article>{}</article>"):
@@ -93,7 +119,10 @@ def site(spark, rows):
     return spark.createDataFrame([(*row, *"xxxx") for row in rows], f"page_id long, url string, html string, {names}").repartition(3)
 
 
-def test_differencing_deletes_what_neighbours_share(spark, work):
+@pytest.mark.parametrize("equal", [False, True])
+def test_differencing_deletes_what_neighbours_share(spark, work, monkeypatch, equal):
+    if equal:  # pages with other ids keep their own lines, whatever their hash
+        monkeypatch.setattr(html_text, "page_hash", lambda *_: F.lit(7).cast("long"))
     frame = "<div>Site name</div><p>{}</p><p>{}</p><div>All rights reserved</div>"
     own = lambda k, n=3: " ".join(f"word{k}x{i}" for i in range(20 * n))
     rows = [(k, f"https://{'www.' * (k % 2)}a.example/news/{k:03}", page(frame.format(own(k), own(-k)))) for k in range(40)]

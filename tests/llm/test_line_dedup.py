@@ -5,6 +5,9 @@ import random
 import pytest
 from llm_fixtures import LOWER, documents, work  # noqa: F401
 
+from pyspark.sql import functions as F
+
+from rollcall.llm import line_dedup
 from rollcall.llm.line_dedup import without_repeated_lines
 
 BLANK = " \t\n\x0b\f\r"
@@ -54,3 +57,11 @@ def test_empty_and_only_null_ids(documents, work):
     assert without_repeated_lines(documents([(1, "x")]).limit(0), work).collect() == []
     got = without_repeated_lines(documents([(None, "a" * 50)] * 6), work).collect()
     assert [(r.n_lines, r.n_dropped) for r in got] == [(1, 0)] * 6
+
+
+def test_equal_hashes_of_different_rows(documents, work, monkeypatch):
+    """Rows with other ids keep their own lines, whatever their hash."""
+    monkeypatch.setattr(line_dedup, "row_hash", lambda *_: F.lit(7).cast("long"))
+    rows = list({doc: (doc, text) for doc, text in corpus() if doc is not None}.values())
+    got = without_repeated_lines(documents(rows), work).collect()
+    assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in got), key=repr) == expected(rows)
