@@ -372,6 +372,12 @@ def _list(columns: tuple[str, ...], *leave_out: str) -> str:
     return ", ".join(c for c in columns if c not in leave_out)
 
 
+_FULL_NAME = "lower({x}.first_name || ' ' || {x}.last_name)"
+_NEAR_NAMES = f"""SELECT *, levenshtein(name, other_name) AS edits
+  FROM (SELECT DISTINCT {_FULL_NAME.format(x='c')} AS name, city, country FROM crm c)
+  JOIN (SELECT DISTINCT {_FULL_NAME.format(x='t')} AS other_name, city, country FROM trx t) USING (city, country)
+  WHERE levenshtein(name, other_name) <= 1"""
+
 SPEC = ProfileSpec()
 _CRM_LINES = _lines("CRM", "crm", 14, SPEC.columns, SPEC.formats, "customer_id", "last_updated")
 _CONTACT = (("email", "email", EMAIL_PATTERN), ("phone", "phone", PHONE_PATTERN))
@@ -435,6 +441,12 @@ FINAL = {
             AS match_key
         FROM pairs p JOIN crm c ON c.customer_id IS NOT DISTINCT FROM p.crm_customer_id)
       GROUP BY match_type, match_key""",
+    "near_names": f"SELECT * FROM ({_NEAR_NAMES})",
+    "fuzzy_match": f"""SELECT customer_id AS crm_customer_id, transaction_id, match_key, edits FROM (
+      SELECT c.customer_id, t.transaction_id, {_FULL_NAME.format(x='c')} AS match_key, n.edits,
+        row_number() OVER (PARTITION BY c.customer_id ORDER BY n.edits, t.transaction_id) AS rn
+      FROM crm c JOIN ({_NEAR_NAMES}) n ON n.name = {_FULL_NAME.format(x='c')} AND n.city = c.city AND n.country = c.country
+      JOIN trx t ON n.other_name = {_FULL_NAME.format(x='t')} AND n.city = t.city AND n.country = t.country) WHERE rn = 1""",
     "best_match": "SELECT * FROM best",
     "unmatched_customers": "SELECT * FROM unmatched",
     "reconcile": "SELECT * FROM mapping",

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from checks import fixture
 from rollcall import functions as fn
 from rollcall import operators as op
+from rollcall.operators.fuzzy import full_name
 from rollcall.plans import Mastery, apply_all
 from rollcall.rules import MASTER_PROFILE, MATCH_RULES, ProfileSpec
 from rollcall.sources import (
@@ -276,6 +277,17 @@ def match_key_counts(feeds: Feeds) -> DataFrame:
     return op.match_key_counts(feeds.crm, feeds.trx)
 
 
+@query
+def near_names(feeds: Feeds) -> DataFrame:
+    sides = [df.withColumn("name", full_name()) for df in (feeds.crm, feeds.trx)]
+    return op.near_names(*sides)
+
+
+@query
+def fuzzy_match(feeds: Feeds) -> DataFrame:
+    return op.fuzzy_match(feeds.crm, feeds.trx)
+
+
 @query
 def best_match(feeds: Feeds) -> DataFrame:
     return op.best_match(feeds.crm, feeds.trx)

@@ -8,6 +8,7 @@ from rollcall.operators.cleaning import (
     tidy_transactions,
     with_lineage,
 )
+from rollcall.operators.fuzzy import fuzzy_match, near_names
 from rollcall.operators.history import at_moment, changes, first_history, next_history
 from rollcall.operators.mastering import (
     analytics_view,
@@ -51,6 +52,7 @@ __all__ = [
     "derive",
     "first_history",
     "freshness",
+    "fuzzy_match",
     "latest_per_key",
     "latest_transaction",
     "master_sample",
@@ -58,6 +60,7 @@ __all__ = [
     "match_pairs",
     "match_rate",
     "match_stats",
+    "near_names",
     "next_history",
     "profile",
     "profile_lines",
