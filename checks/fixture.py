@@ -209,3 +209,7 @@ SNAPSHOT_DAYS = (dt.date(1996, 1, 1), dt.date(1998, 1, 1), dt.date(2001, 12, 31)
 def batches(feed: DataFrame, lot: str) -> list[DataFrame]:
     """All rows of a feed in its batches."""
     return [feed.filter(f"{lot} = {k}") for k in range(BATCHES)]
+
+
+# Keys that several customers of the feed share: long chains in the larger test tables.
+HOUSEHOLD_KEYS = (("last_name", "city", "country"), ("registration_date", "city"))

@@ -291,6 +291,23 @@ def _history() -> str:
       SELECT unnest(record), valid_from, valid_to FROM intervals"""
 
 
+def _households() -> str:
+    """The smallest id reachable over hubs of shared keys, by recursion."""
+    hubs = " UNION ".join(
+        f"SELECT customer_id AS a, min(customer_id) OVER (PARTITION BY {', '.join(keys)}) AS b FROM crm "
+        f"WHERE customer_id IS NOT NULL AND {' AND '.join(f'{k} IS NOT NULL' for k in keys)}"
+        for keys in fixture.HOUSEHOLD_KEYS
+    )
+    steps = ",\n".join(f"{name} AS ({sql})" for name, sql in STEPS.items())
+    return f"""WITH RECURSIVE {steps}, one_way AS (SELECT a, b FROM ({hubs}) WHERE a <> b),
+      links AS (SELECT a, b FROM one_way UNION SELECT b, a FROM one_way),
+      reach(id, other) AS (SELECT customer_id, customer_id FROM crm WHERE customer_id IS NOT NULL
+        UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a),
+      named AS (SELECT id AS customer_id, min(other) AS household_id FROM reach GROUP BY id)
+      SELECT customer_id, household_id, count(*) OVER (PARTITION BY household_id) AS members FROM named
+      UNION ALL SELECT NULL, NULL, 1 FROM crm WHERE customer_id IS NULL"""
+
+
 def _chain(final: str) -> str:
     """``final`` after all steps; DuckDB evaluates only those it needs."""
     steps = ",\n".join(f"{name} AS ({sql})" for name, sql in STEPS.items())
@@ -488,4 +505,7 @@ FINAL = {
 
 
 def statements() -> dict[str, str]:
-    return {name: _chain(final) for name, final in FINAL.items()} | {"master_history": _history()}
+    return {name: _chain(final) for name, final in FINAL.items()} | {
+        "master_history": _history(),
+        "households": _households(),
+    }

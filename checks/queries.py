@@ -15,7 +15,7 @@ from rollcall import functions as fn
 from rollcall import operators as op
 from rollcall.operators.fuzzy import full_name
 from rollcall.plans import Mastery, apply_all
-from rollcall.rules import MASTER_PROFILE, MATCH_RULES, ProfileSpec
+from rollcall.rules import MASTER_PROFILE, MATCH_RULES, MatchRule, ProfileSpec
 from rollcall.sources import (
     Scratch,
     read_crm,
@@ -288,6 +288,14 @@ def fuzzy_match(feeds: Feeds) -> DataFrame:
     return op.fuzzy_match(feeds.crm, feeds.trx)
 
 
+@query
+def households(feeds: Feeds) -> DataFrame:
+    rules = [MatchRule(f"key{n}", keys, 1.0, n) for n, keys in enumerate(fixture.HOUSEHOLD_KEYS)]
+    crm = feeds.crm.withColumn("registration_date", F.col("registration_date").cast("string"))
+    scratch = output_folder(feeds.spark)
+    return op.households(scratch.stage(crm, "crm"), scratch, rules)
+
+
 @query
 def best_match(feeds: Feeds) -> DataFrame:
     return op.best_match(feeds.crm, feeds.trx)

@@ -10,6 +10,7 @@ from rollcall.operators.cleaning import (
 )
 from rollcall.operators.fuzzy import fuzzy_match, near_names
 from rollcall.operators.history import at_moment, changes, first_history, next_history
+from rollcall.operators.households import households, hub_links
 from rollcall.operators.mastering import (
     analytics_view,
     build_master,
@@ -53,6 +54,8 @@ __all__ = [
     "first_history",
     "freshness",
     "fuzzy_match",
+    "households",
+    "hub_links",
     "latest_per_key",
     "latest_transaction",
     "master_sample",
