@@ -213,3 +213,14 @@ def batches(feed: DataFrame, lot: str) -> list[DataFrame]:
 
 # Keys that several customers of the feed share: long chains in the larger test tables.
 HOUSEHOLD_KEYS = (("last_name", "city", "country"), ("registration_date", "city"))
+
+
+# Lines of the customer feed as they might arrive: some with a column too many or too few, some
+# with a character that stands for broken bytes.
+FEED_LINES_SQL = """
+SELECT n % 50 IN (3, 7, 11) AS damaged, n % 50 AS kind,
+  coalesce(customer_id, '') || ',' || first_name || CASE WHEN n % 50 = 11 THEN chr(65533) ELSE '' END || ',' || last_name
+  || ',' || coalesce(email, '') || ',' || coalesce(phone, '') || ',' || coalesce(address, '') || ',' || city || ',' || country
+  || ',' || registration_date || CASE n % 50 WHEN 7 THEN '' WHEN 3 THEN ',' || last_updated || ',x' ELSE ',' || last_updated END AS line
+FROM (SELECT *, cast(coalesce(substr(trim(customer_id), 4), '0') as int) AS n FROM ({crm_raw})) AS numbered
+"""

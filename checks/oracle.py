@@ -404,6 +404,10 @@ FINAL = {
     # An empty field of a CSV file is NULL.
     "crm_csv_roundtrip": "SELECT * REPLACE (nullif(email, '') AS email) FROM crm_raw",
     "trx_csv_roundtrip": "SELECT * REPLACE (nullif(customer_email, '') AS customer_email) FROM trx_raw",
+    "feed_accepted": "SELECT * REPLACE (nullif(email, '') AS email) FROM crm_raw "
+    "WHERE cast(coalesce(substr(trim(customer_id), 4), '0') as int) % 50 NOT IN (3, 7, 11)",
+    "feed_rejects": "SELECT CASE kind WHEN 11 THEN 'encoding' ELSE 'columns' END AS reason, line "
+    f"FROM ({fixture.FEED_LINES_SQL.format(crm_raw='SELECT * FROM crm_raw')}) WHERE damaged",
     "crm_clean": "SELECT * FROM crm_tidy",
     "trx_clean": "SELECT * FROM trx_tidy",
     "normalize_email": f"SELECT id, email, {mail('email')} AS normalized_email "

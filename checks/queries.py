@@ -16,9 +16,12 @@ from rollcall import operators as op
 from rollcall.operators.fuzzy import full_name
 from rollcall.plans import Mastery, apply_all
 from rollcall.rules import MASTER_PROFILE, MATCH_RULES, MatchRule, ProfileSpec
+from rollcall.schemas import CRM_RAW
 from rollcall.sources import (
     Scratch,
+    Sifted,
     read_crm,
+    read_sifted,
     read_transactions,
     write_analytics,
     write_feed,
@@ -112,6 +115,25 @@ def trx_csv_roundtrip(feeds: Feeds) -> DataFrame:
     return read_transactions(feeds.spark, path)
 
 
+def _sifted_feed(feeds: Feeds) -> Sifted:
+    # Spark's chr() ends at 255.
+    sql = fixture.FEED_LINES_SQL.replace("chr(65533)", "'\ufffd'").replace("({crm_raw})", "{crm_raw}")
+    lines = feeds.spark.sql(sql, crm_raw=feeds.crm_raw).select("line")
+    path = f"{output_folder(feeds.spark).folder}/lines"
+    lines.write.text(path)
+    return read_sifted(feeds.spark, path, CRM_RAW, header=False)
+
+
+@query
+def feed_accepted(feeds: Feeds) -> DataFrame:
+    return _sifted_feed(feeds).rows
+
+
+@query
+def feed_rejects(feeds: Feeds) -> DataFrame:
+    return _sifted_feed(feeds).rejects.select("reason", "line")
+
+
 @query
 def crm_clean(feeds: Feeds) -> DataFrame:
     return op.tidy_crm(feeds.crm_raw)

@@ -128,3 +128,17 @@ def test_settings_from_a_mapping():
     assert settings.profile.columns == ("city",)
     assert settings.profile.formats[0] == ("email", "normalized_email", "@")
     assert Settings.from_mapping({}) == Settings()
+
+
+def test_lines_that_do_not_fit_are_set_apart(spark, tmp_path):
+    head = ",".join(CRM_RAW.names)
+    good = "C1,Ann,Lee,a@x.org,1,\"1, High St\",Leeds,UK,2020-01-01,2020-01-02"
+    (tmp_path / "one.csv").write_bytes(f"{head}\n{good}\n{good},extra\nC2,too,few\n".encode())
+    (tmp_path / "two.csv").write_bytes(f"{head}\n".encode() + good.replace("Ann", "\u00c4nn").encode("latin-1") + b"\n")
+    found = sources.read_sifted(spark, str(tmp_path), CRM_RAW)
+    assert [(r.customer_id, r.address) for r in found.rows.collect()] == [("C1", "1, High St")]
+    assert found.rows.columns == CRM_RAW.names
+    rejects = sorted((r.file.rsplit("/")[-1], r.reason, r.line[:6]) for r in found.rejects.collect())
+    assert rejects == [("one.csv", "columns", "C1,Ann"), ("one.csv", "columns", "C2,too"), ("two.csv", "encoding", "C1,\ufffdnn")]
+    # Counting needs no column, and still counts right.
+    assert (found.rows.count(), found.rejects.count()) == (1, 3)
