@@ -130,12 +130,16 @@ SELECT doc_id, size, source_size, target, CAST(passes * size
 FROM cut
 """
 
-# Bytes as two hexadecimal digits each; a window of 50 bytes is 100 of them.
+# Bytes as two hexadecimal digits each; a window of 50 bytes is 100 of them. Pieces of 1000 windows
+# keep substr from walking through whole texts.
 SUFFIX_DEDUP = """
 WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+pieces AS (
+  SELECT doc_id, c, substr(x, 2000 * c + 1, 2098) AS y
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2000 + 1)) AS c FROM texts)),
 windows AS (
-  SELECT doc_id, k, substr(x, 2 * k + 1, 100) AS s
-  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS k FROM texts)),
+  SELECT doc_id, 1000 * c + j AS k, substr(y, 2 * j + 1, 100) AS s
+  FROM (SELECT doc_id, c, y, unnest(range(0, least(1000, length(y) // 2 - 49))) AS j FROM pieces)),
 holders AS (SELECT s, min(doc_id) AS holder FROM windows GROUP BY s),
 lost AS (
   SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before
@@ -178,7 +182,7 @@ def _merkle(fanout: int = 16, heights: tuple[int, int] = (6, 3)) -> str:
 
     def climb(before: str, name: str, height: int, place: str) -> str:
         for k in range(height):
-            slot = f"({place} // {fanout**k} % {fanout})"
+            slot = f"(p.{place} // {fanout**k} % {fanout})"
             left, right = f"array_to_string(run[:{slot}], '')", f"array_to_string(run[{slot} + 2:], '')"
             steps.append(
                 f"""on_{name}{k} AS (SELECT p.* EXCLUDE (proof, folded), CASE WHEN several THEN proof || {left} || {right} ELSE proof END AS proof,
