@@ -104,14 +104,15 @@ def email_facts(
     return keyed_facts(keyed, keys, sample_size).drop(keys[0])
 
 
-def merged_facts(parts: DataFrame, sample_size: int = 100) -> DataFrame:
+def merged_facts(parts: DataFrame, sample_size: int = 100, keys: Sequence[str] = ()) -> DataFrame:
     """One row per email from several rows of :func:`email_facts`, over transactions that
-    have none in common. A row of an email is a part of its purchases."""
+    have none in common. A row of an email is a part of its purchases. Parts that lie by
+    ``keys`` already, a hash and the email, merge where they are."""
     details = F.struct(*LATEST_DETAILS)
     # The latest purchase is the one with the last date and the greatest id among those.
     latest = F.max_by(details, F.struct("last_purchase_date", "latest_transaction_id"))
     samples = F.flatten(F.collect_list("sample_transaction_ids"))
-    keyed, keys = hash_led(parts, ["normalized_email"])
+    keyed, keys = (parts, keys) if keys else hash_led(parts, ["normalized_email"])
     return (
         keyed.groupBy(*keys)
         .agg(

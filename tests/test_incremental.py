@@ -106,6 +106,60 @@ class _Stay:
         return df
 
 
+class _Kept(_Stay):
+    """Frames as they are, by name."""
+
+    def __init__(self):
+        self.staged = {}
+
+    def stage(self, df, name):
+        self.staged[name] = df
+        return df
+
+
+def _purchase(number, mail, day):
+    return (f"T{number}", f"{mail}@x.org", f"F{mail}", "L", None, None, "Bath", "UK", day)
+
+
+def test_a_batch_writes_facts_and_links_of_its_own_rows_only(spark, tmp_path, crm_raw):
+    """What earlier batches know of a key is merged when it is read, not joined and written again."""
+    state, none = Mastery(spark, str(tmp_path / "state")), crm_raw.limit(0)
+    for number in (1, 2, 3):
+        state.apply(none, spark.createDataFrame([_purchase(number, "a", f"2024-01-0{number}")], TRANSACTION_RAW))
+    assert {r.transaction_id for r in state._read("links").filter("version = 3").collect()} == {"T3"}
+    assert [r.total_transactions for r in state._read("facts").filter("version = 3").collect()] == [1]
+    assert {r.transaction_id for r in state._merged_links(3).collect()} == {"T1"}
+    (fact,) = state._merged_facts(3).collect()
+    assert (fact.total_transactions, fact.latest_transaction_id, fact.sample_transaction_ids) == (3, "T3", ["T1", "T2", "T3"])
+
+
+def test_only_ids_seen_before_meet_known_rows(spark, tmp_path, crm_raw):
+    state = Mastery(spark, str(tmp_path / "state"))
+    old = [_purchase(n, n, "2024-01-01") for n in range(20)]
+    state.apply(crm_raw.limit(0), spark.createDataFrame(old, TRANSACTION_RAW))
+    new = [_purchase(n, n, "2024-02-01") for n in range(18, 40)] + [(None, *_purchase(0, "n", "2024-02-01")[1:])]
+    kept = _Kept()
+    changes = state._changes("transactions", op.clean_transactions(spark.createDataFrame(new, TRANSACTION_RAW)), 1, kept)
+    assert sorted(r.transaction_id for r in kept.staged["both_transactions"].collect()) == ["T18", "T18", "T19", "T19"]
+    assert changes.came.count() == 23
+    assert sorted(r.transaction_id for r in changes.gone.collect()) == ["T18", "T19"]
+
+
+def test_keys_are_reduced_anew_only_where_their_lowest_id_goes(spark, tmp_path, crm_raw):
+    state, none = Mastery(spark, str(tmp_path / "state")), crm_raw.limit(0)
+    state.apply(none, spark.createDataFrame([_purchase(n, "a", "2024-01-01") for n in (1, 2, 3)], TRANSACTION_RAW))
+    # A newer row with the same keys, and one that is not the lowest of the keys it leaves.
+    renewed = [_purchase(1, "a", "2024-02-01"), _purchase(3, "b", "2024-02-01")]
+    state.apply(none, spark.createDataFrame(renewed, TRANSACTION_RAW))
+    assert state._read("links").filter("anew").count() == 0
+    state.apply(none, spark.createDataFrame([_purchase(1, "b", "2024-03-01")], TRANSACTION_RAW))
+    anew = state._read("links").filter("anew").collect()
+    assert {(r.version, r.transaction_id) for r in anew} == {(3, "T2")}
+    assert {(r._key0, r.transaction_id) for r in state._merged_links(3).collect()} == {
+        ("a@x.org", "T2"), ("b@x.org", "T1"), ("Fa", "T2"), ("Fb", "T1"),
+    }
+
+
 def test_a_failed_batch_is_written_again(spark, tmp_path, crm_raw, trx_raw, monkeypatch):
     state = Mastery(spark, str(tmp_path / "state"))
     state.apply(crm_raw.limit(2), trx_raw.limit(2))
