@@ -64,5 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = work.write(stage(spark, docs, sf_dir), name)
         if before:
             work.remove(before)
+        # Shuffles and plans of one stage leave before the next one begins.
+        work.let_go()
         before = name
     return docs

@@ -276,7 +276,11 @@ def of_quality(
     # Texts and their statistics are written together: one pass of Python over the texts.
     scored = work.write(documents.withColumn(name, statistics(F.col("text").cast("string"))), "measured")
     features = scored.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(name).alias("stats"))
+    # Plans of what is over leave the driver before it trains, and those of the training before
+    # the rules, a long expression, are planned.
+    work.let_go()
     model = train_quality(features, labels, bound)
+    work.let_go()
     if model != UNTRAINED:
         scored = scored.where(model.column(name) >= threshold)
     return scored.select(*documents.columns)

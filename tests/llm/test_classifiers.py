@@ -144,3 +144,13 @@ def test_a_share_of_a_huge_table_is_not_empty(spark):
     assert rows.where(in_share(F.col("id"), 8000, 10**13)).count() == 0
     assert rows.where(in_share(F.col("id"), 8000, 7000)).count() == 1000
     assert 0 < rows.where(in_share(F.col("id"), 100, 1000)).count() < 250
+
+
+def test_plans_leave_the_driver_before_and_after_training(spark, documents, work, monkeypatch):
+    steps, train, let_go = [], quality.train_quality, work.let_go
+    monkeypatch.setattr(quality, "train_quality", lambda *given: (steps.append("train"), train(*given))[1])
+    work.let_go = lambda: (steps.append("let go"), let_go())
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
+    frame = documents([(k, "a fine text. " * (k % 2 + 1)) for k in range(20)])
+    assert quality.of_quality(frame, labels, work).columns == frame.columns
+    assert steps == ["let go", "train", "let go"]
