@@ -16,7 +16,7 @@ from rollcall.llm import catalogue
 
 def test_all_queries_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in catalogue.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(catalogue.QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(catalogue.ORACLE_SQL) <= set(catalogue.QUERIES)
 
