@@ -4,11 +4,12 @@
 2. Shallow trees, each grown on a random part of a bounded labelled sample, give their
    paths as conjunctions of bounds on statistics (Friedman and Popescu 2008).
 3. Lasso logistic regression weighs the rules; most weights are zero.
-4. What is left is compiled to one Spark column expression.
+4. What is left becomes one Spark column expression that reads the rules as data.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -184,14 +185,26 @@ class RuleEnsemble:
 
     def column(self, stats: str) -> Column:
         """The probability of label 1 from a struct column of statistics."""
-        logit = F.lit(self.intercept)
-        for rule, weight in self.rules:
-            holds = F.lit(True)
-            for b in sorted(rule, key=lambda b: (b.statistic, b.above)):
-                value = F.col(f"{stats}.{STATISTICS[b.statistic]}")
-                holds = holds & (value > b.value if b.above else value <= b.value)
-            logit = logit + F.when(holds, weight).otherwise(0.0)
-        return 1 / (1 + F.exp(-logit))
+        # Rules are data, not code: an expression of several hundred conditions would take more of the
+        # driver's memory to plan than the training, and its code is too long to compile.
+        side = lambda rule, above: [
+            {"statistic": b.statistic, "value": b.value} for b in sorted(rule, key=lambda b: b.statistic) if b.above == above
+        ]
+        rules = [{"weight": w, "over": side(rule, True), "upto": side(rule, False)} for rule, w in self.rules]
+        bounds = "array<struct<statistic:int,value:double>>"
+        rules = F.from_json(F.lit(json.dumps(rules)), f"array<struct<weight:double,over:{bounds},upto:{bounds}>>")
+        values = F.array(*(F.col(f"{stats}.{name}") for name in STATISTICS))
+
+        def logit(x: Column) -> Column:
+            def added(total: Column, rule: Column) -> Column:
+                over = F.forall(rule["over"], lambda b: F.get(x, b["statistic"]) > b["value"])
+                upto = F.forall(rule["upto"], lambda b: F.get(x, b["statistic"]) <= b["value"])
+                return total + F.when(over & upto, rule["weight"]).otherwise(0.0)
+
+            return F.aggregate(rules, F.lit(self.intercept), added)
+
+        # A lambda's argument is computed once per row.
+        return 1 / (1 + F.exp(-F.get(F.transform(F.array(values), logit), F.lit(0))))
 
     def text(self) -> list[str]:
         """The rules in words, the heaviest first."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm import quality, toxicity
 from rollcall.llm.labels import held_out, in_share, training_labels
-from rollcall.llm.quality import STATISTICS, fit_rules, of_quality, scored_quality, statistics
+from rollcall.llm.quality import STATISTICS, Bound, RuleEnsemble, fit_rules, of_quality, scored_quality, statistics
 from rollcall.llm.toxicity import offending_sentences, scored_toxicity, train_toxicity
 
 LARGER = SMALL.replace("0.001", "0.1")
@@ -154,3 +154,27 @@ def test_plans_leave_the_driver_before_and_after_training(spark, documents, work
     frame = documents([(k, "a fine text. " * (k % 2 + 1)) for k in range(20)])
     assert quality.of_quality(frame, labels, work).columns == frame.columns
     assert steps == ["let go", "train", "let go"]
+
+
+def test_many_rules_need_no_generated_code(spark, tmp_path):
+    """As many rules as training may give are no code that is too long to compile, as a filter, too."""
+    tries = np.random.default_rng(4)
+    x = tries.random((200, len(STATISTICS)))
+    rules = [
+        frozenset(Bound(int(k), bool(tries.integers(2)), float(tries.random())) for k in tries.choice(len(STATISTICS), 3, False))
+        for _ in range(600)
+    ]
+    model = RuleEnsemble(tuple((rule, float(tries.normal())) for rule in rules), 0.1)
+    rows = [(k, "some text", tuple(map(float, row))) for k, row in enumerate(x)]
+    kind = ", ".join(f"{name}: double" for name in STATISTICS)
+    spark.createDataFrame(rows, f"k int, text string, s struct<{kind}>").write.parquet(str(tmp_path / "rows"))
+    held = spark.conf.get("spark.sql.codegen.fallback")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        found = spark.read.parquet(str(tmp_path / "rows")).where(model.column("s") >= 0.5).select("k", "text").collect()
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", held)
+    logit = np.full(len(x), model.intercept)
+    for rule, weight in model.rules:
+        logit += np.where(quality._holds(rule, x), weight, 0.0)
+    assert sorted(r.k for r in found) == np.flatnonzero(1 / (1 + np.exp(-logit)) >= 0.5).tolist()
