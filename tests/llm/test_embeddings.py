@@ -175,3 +175,33 @@ def test_table_distances_are_those_of_the_codes():
     stood_for = q.centroids[2] + q.decoded(codes)
     want = np.linalg.norm(x[:30, None] - stood_for[None], axis=2)
     assert np.allclose(q.distances(x[:30], 2, codes), want)
+
+
+def test_several_sets_compare_fewer_pairs():
+    """Isotropic partners meet in one of several sets with far less probing; the pairs grow slower than the rows' square."""
+    tries, compared = np.random.default_rng(6), {}
+    for n in (4000, 16000):
+        x = tries.normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        sets, reach = embeddings.chosen(embeddings.fit_sets(x, n // embeddings.PER_LIST), x, 0.9)
+        assert len(sets) > 1
+        far = np.sqrt(0.2) * reach
+        compared[n] = 0
+        for q in sets:
+            own, probes = q.probes(x[:1000], far)
+            sizes = np.bincount(embeddings._squares(x, q.centroids).argmin(1), minlength=len(q.centroids))
+            compared[n] += sum(int(sizes[p].sum()) for p in probes)
+    assert compared[16000] < 3 * compared[4000]  # per row: with the square it would be 4
+    assert compared[16000] < 0.06 * 16000 * 1000
+
+
+@pytest.mark.parametrize("sets", [1, 2, 4])
+def test_pairs_of_several_sets_count_once(spark, work, monkeypatch, sets):
+    """Near copies meet in every set, far ones in some; no link counts twice."""
+    monkeypatch.setattr(embeddings, "SETS", (sets,))
+    monkeypatch.setattr(embeddings, "PER_LIST", 20)
+    monkeypatch.setattr(embeddings, "REACHED", 1.0)
+    rows = corpus(seed=13)
+    found, want = got(frame(spark, rows), work), expected(rows)
+    assert all(a[1] <= b[1] for a, b in zip(found, want, strict=True))
+    assert sum(x[1] for x in found) >= 0.995 * sum(x[1] for x in want)
