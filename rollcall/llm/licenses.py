@@ -5,6 +5,7 @@ have them. A hash at word p of a text and word t of a template votes for the dia
 where the template stands word for word, all of its hashes vote for one diagonal. Votes
 are added up per text, template and diagonal; neighbouring diagonals, apart by inserted or
 lost words, are merged; and the spans that they stand for are verified on the words.
+Texts without a vote are done after the first pass; only the words of others are moved.
 
 Phrases vote with pairs of words and must stand exactly. Notices vote with runs of four
 words and must share enough of theirs. Only DataFrame operations.
@@ -64,11 +65,24 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(lowered(text), SEPARATORS), lambda w: w != "")
 
 
+def _hash(words: Column, p: Column, k: int) -> Column:
+    return F.xxhash64(F.lit(k), *(F.get(words, p + i) for i in range(k)))
+
+
+def _starts(words: Column, k: int) -> Column:
+    """All places of k words; none where there are fewer."""
+    return F.when(F.size(words) >= k, F.sequence(F.lit(0), F.size(words) - k)).otherwise(F.array().cast("array<int>"))
+
+
 def _grams(words: Column, k: int) -> Column:
-    """A hash of k words from every place; none where there are fewer."""
-    starts = F.sequence(F.lit(0), F.size(words) - k)
-    hashes = F.transform(starts, lambda p: F.xxhash64(F.lit(k), *(F.get(words, p + i) for i in range(k))))
-    return F.when(F.size(words) >= k, hashes).otherwise(F.array().cast("array<bigint>"))
+    """A hash of k words from every place."""
+    return F.transform(_starts(words, k), lambda p: _hash(words, p, k))
+
+
+def _hits(words: Column, k: int, known: list[int]) -> Column:
+    """(place, hash) of the grams that are known."""
+    places = F.filter(_starts(words, k), lambda p: _hash(words, p, k).isin(known))
+    return F.transform(places, lambda p: F.struct(p.alias("place"), _hash(words, p, k).alias("hash")))
 
 
 def templates(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFrame:
@@ -101,13 +115,16 @@ def license_scan(documents: DataFrame, work: Workspace, phrases=PHRASES, notices
     own = F.when(F.col("k") == PHRASE_WORDS, _grams(F.col("words"), PHRASE_WORDS)).otherwise(_grams(F.col("words"), NOTICE_WORDS))
     places = known.select("template", F.posexplode(own).alias("at", "hash"))
 
-    pairs = rows.select("row", _words(F.col("text")).alias("words")).withColumn("pairs", _grams(F.col("words"), PHRASE_WORDS))
-    grams = pairs.select("row", F.size("pairs").alias("n"), F.posexplode(F.concat("pairs", _grams(F.col("words"), NOTICE_WORDS))).alias("place", "hash"))
     # The templates are constants, so their places are of a fixed number.
-    votes = grams.join(F.broadcast(places), "hash")
-    # Grams of four follow the pairs.
-    place = F.when(F.col("place") < F.col("n"), F.col("place")).otherwise(F.col("place") - F.col("n"))
-    diagonals = votes.groupBy("row", "template", (place - F.col("at")).alias("diagonal")).agg(
+    grams = {k: [r.hash for r in places.join(known.where(F.col("k") == k), "template").select("hash").distinct().collect()] for k in (PHRASE_WORDS, NOTICE_WORDS)}
+    hits = F.concat(*(_hits(F.col("words"), k, grams[k]) for k in (PHRASE_WORDS, NOTICE_WORDS)))
+    # Words stay only where a template votes, and move to the spans alone.
+    scanned = rows.withColumn("words", _words(F.col("text"))).select("row", "doc_id", "words", hits.alias("hits"))
+    scanned = scanned.select("row", "doc_id", F.size("words").alias("n_words"), F.when(F.size("hits") > 0, F.col("words")).alias("words"), "hits")
+    scanned = work.write(scanned, "scanned")
+    voting = scanned.where(F.size("hits") > 0)
+    votes = voting.select("row", F.inline("hits")).join(F.broadcast(places), "hash")
+    diagonals = votes.groupBy("row", "template", (F.col("place") - F.col("at")).alias("diagonal")).agg(
         F.size(F.collect_set("at")).alias("votes")
     )
     # Phrases and notices both start from here.
@@ -132,7 +149,7 @@ def license_scan(documents: DataFrame, work: Workspace, phrases=PHRASES, notices
     )
 
     # Both sides grow with the corpus.
-    held = rows.join(spans.hint("merge"), "row", "left").withColumn("words", _words(F.col("text")))
+    held = voting.join(spans.hint("merge"), "row", "left").drop("hits")
     of_span = lambda s: F.slice(F.col("words"), s["start"] + 1, s["stop"] - s["start"])
     verified = F.transform(
         F.coalesce("spans", F.array().cast(dict(spans.dtypes)["spans"])),
@@ -146,12 +163,14 @@ def license_scan(documents: DataFrame, work: Workspace, phrases=PHRASES, notices
             F.when(F.size(s["words"]) < SHORT, 1.0).otherwise(SHARE).alias("asked"),
         ),
     )
-    held = held.withColumn("spans", F.filter(verified, lambda s: s["share"] >= s["asked"]))
+    held = held.withColumn("spans", F.filter(verified, lambda s: s["share"] >= s["asked"])).drop("words")
+    none = F.array().cast(dict(held.dtypes)["spans"])
+    held = held.unionByName(scanned.where(F.size("hits") == 0).select("row", "doc_id", "n_words", none.alias("spans")))
     held = held.withColumn("base", F.filter("spans", lambda s: s["k"] == PHRASE_WORDS))
     joined = lambda name: F.array_join(F.array_sort(F.array_distinct(F.col(f"{name}.label"))), ",")
     return held.select(
         "doc_id",
-        F.size("words").cast("long").alias("n_words"),
+        F.col("n_words").cast("long").alias("n_words"),
         F.size("base").cast("long").alias("n_base"),
         F.array_min("base.start").alias("first_word"),
         F.array_max("base.start").alias("last_word"),

@@ -52,3 +52,17 @@ def test_notices_with_edits_in_long_texts(documents, work):
 
 def test_no_rows(documents, work):
     assert license_scan(documents([(1, "x")]).limit(0), work).collect() == []
+
+
+def test_only_voting_texts_move(documents, work, monkeypatch):
+    """Words of texts without a vote are neither kept nor moved; all rows have their results."""
+    kept = {}
+    write = type(work).write
+    monkeypatch.setattr(type(work), "write", lambda self, frame, name, **o: kept.setdefault(name, write(self, frame, name, **o)))
+    rows = [(k, "plain words " * 300) for k in range(50)] + [(60, "the mit license"), (61, "general public"), (62, None)]
+    got = {r.doc_id: r for r in license_scan(documents(rows), work).collect()}
+    assert len(got) == len(rows) and got[0].n_words == 600 and got[62].n_words == 0 and got[60].base_labels == "mit"
+    assert all(r.labels == "" and r.score == 0.0 and r.spans == [] for k, r in got.items() if k != 60)
+    scanned = {r.doc_id: r for r in kept["scanned"].collect()}
+    assert {k for k, r in scanned.items() if r.words is not None} == {60, 61}
+    assert [x.place for x in scanned[60].hits] == [1]
